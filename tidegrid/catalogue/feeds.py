@@ -208,17 +208,17 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 _stored: dict[tuple[str, str, str], str] = {}
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+def stored(spark: SparkSession, sf_dir: str, name: str, build, rebalance: bool = True) -> str:
     """Path of a table written once per application into the shared work folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         path = work_dir(use_utc(spark), name)
         df = build()
-        writer = df.write
-        if PARTITION in df.columns:
-            # One shuffle by day, so a day is written by few tasks and not by all of them.
-            writer = df.hint("rebalance", PARTITION).write.partitionBy(PARTITION)
-        writer.parquet(path)
+        by_day = PARTITION in df.columns
+        if by_day and rebalance:
+            # A day is written by few tasks and not by all of them; large days are split.
+            df = df.hint("rebalance", PARTITION)
+        (df.write.partitionBy(PARTITION) if by_day else df.write).parquet(path)
         _stored[key] = path
     return _stored[key]
 

@@ -1 +1,723 @@
-QUERIES = {}
+"""Expressions, ingestion, quality, grid, join and aggregate operators over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidegrid.catalogue import feeds
+from tidegrid.catalogue import oracle as o
+from tidegrid.catalogue.oracle import num, rounded, upto
+from tidegrid.config import COMPASS, REGION_CENTRES, SPEED_BUCKETS, TOPICS
+from tidegrid.functions import stats, text, times
+from tidegrid.functions.geo import haversine_m, in_box
+from tidegrid.functions.hexgrid import axial, grid_distance, hex_cell
+from tidegrid.functions.sql import register_functions
+from tidegrid.operators import ingest, joins, neighbours, quality, skew, spatial, tables
+from tidegrid.operators.parse import parse_json, project_required, quarantine, split_valid
+from tidegrid.plans import lookup as lookups
+from tidegrid.plans import refine
+from tidegrid.schemas import FEEDS
+from tidegrid.upkeep.tables import compact, table_stats
+
+CFG = feeds.CFG
+QUERIES: dict = {}
+MARK = "2024-01-15 00:00:00"
+CENTRE = (40.7128, -74.0060)
+WINDOW = "INTERVAL 15 MINUTE"
+
+
+def query(sql: str | None = None):
+    def register(fn):
+        QUERIES[fn.__name__] = (fn, sql)
+        return fn
+
+    return register
+
+
+def traffic_points(spark, sf):
+    return feeds.points(spark, sf, "view").select(
+        "cell", F.col("event_id").alias("t_id"), F.col("ts").alias("t_ts"), F.col("value").alias("speed"),
+        F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), "user_id",
+    )
+
+
+def aq_points(spark, sf):
+    return feeds.points(spark, sf, "click", "error").select(
+        "cell", F.col("event_id").alias("a_id"), F.col("ts").alias("a_ts"), F.col("value").alias("pm25"),
+        F.col("lat").alias("a_lat"), F.col("lon").alias("a_lon"),
+    )
+
+
+def sensors(spark, sf):
+    """Distinct positions with their user id."""
+    return feeds.points(spark, sf).select("user_id", "lat", "lon", "cell").distinct()
+
+
+_T = "(SELECT event_id AS t_id, ts AS t_ts, value AS speed, lat AS t_lat, lon AS t_lon, cell, user_id FROM ev WHERE event_type = 'view') t"
+_A = "(SELECT event_id AS a_id, ts AS a_ts, value AS pm25, lat AS a_lat, lon AS a_lon, cell FROM ev WHERE event_type IN ('click', 'error')) a"
+_SENSORS = "sensors AS (SELECT DISTINCT user_id, lat, lon, cell FROM ev)"
+
+
+# Parsing ---------------------------------------------------------------------
+
+@query(
+    upto(
+        "weather",
+        """SELECT 'nyc_traffic_raw' AS source_topic, count(*) FILTER (event_id % 10 <> 0) AS valid_rows,
+        count(*) FILTER (event_id % 10 = 0) AS broken_rows FROM ev WHERE event_type = 'view'
+        UNION ALL SELECT 'nyc_openaq_raw', count(*) FILTER (event_id % 10 <> 0), count(*) FILTER (event_id % 10 = 0) FROM ev WHERE event_type = 'click'
+        UNION ALL SELECT 'nyc_purpleair_raw', count(*) FILTER (event_id % 10 <> 0), count(*) FILTER (event_id % 10 = 0) FROM ev WHERE event_type = 'error'
+        UNION ALL SELECT 'nyc_weather_raw', count(*) FILTER (event_id % 10 <> 0), count(*) FILTER (event_id % 10 = 0) FROM ev WHERE event_type = 'signup'""",
+    )
+)
+def parse_split_valid(spark, sf):
+    counted = []
+    for name, messages in feeds.topics(spark, sf).items():
+        valid, broken = split_valid(parse_json(messages, FEEDS[name]))
+        counted += [
+            valid.select(F.lit(TOPICS[name]).alias("source_topic"), F.lit(1).alias("v"), F.lit(0).alias("b")),
+            broken.select("source_topic", F.lit(0).alias("v"), F.lit(1).alias("b")),
+        ]
+    rows = quarantine(*counted)
+    return rows.groupBy("source_topic").agg(F.sum("v").alias("valid_rows"), F.sum("b").alias("broken_rows"))
+
+
+@query(
+    """SELECT CASE event_type WHEN 'view' THEN 'nyc_traffic_raw' WHEN 'click' THEN 'nyc_openaq_raw'
+      WHEN 'error' THEN 'nyc_purpleair_raw' ELSE 'nyc_weather_raw' END AS source_topic,
+      ts + INTERVAL 20 SECOND AS kafka_timestamp, '{"event": ' || event_id || ', "cut": "' AS raw_payload
+    FROM events WHERE event_type IN ('view', 'click', 'error', 'signup') AND event_id % 10 = 0"""
+)
+def parse_quarantine(spark, sf):
+    return feeds.feeds(spark, sf).broken
+
+
+@query(upto("traffic", "SELECT id, cast(speed as varchar) AS speed, link_name, borough FROM traffic_raw WHERE speed IS NOT NULL"))
+def project_columns(spark, sf):
+    rows = feeds.feed(spark, sf, "traffic").where(text.number(F.col("speed")).isNotNull())
+    return project_required(rows, ["id", "speed", "link_name", "borough"])
+
+
+@query("SELECT source_topic, count(*) AS hits FROM (SELECT 'nyc_traffic_raw' AS source_topic FROM events WHERE event_type = 'view' AND event_id % 10 = 0 AND contains(cast(event_id as varchar), '12')) GROUP BY 1")
+def quarantine_search(spark, sf):
+    messages = feeds.topic(spark, sf, "traffic")
+    _, broken = split_valid(parse_json(messages, FEEDS["traffic"]))
+    number = F.regexp_extract("raw_payload", r'"event": (\d+)', 1)
+    return broken.where(text.contains_text(number, "12")).groupBy("source_topic").agg(F.count("*").alias("hits"))
+
+
+# Expressions -----------------------------------------------------------------
+
+@query(upto("aq_typed", "SELECT aq_source, aq_location_id, aq_location_name, aq_event_ts, lat AS aq_lat, lon AS aq_lon, pm25 AS aq_pm25_ugm3, aq_temperature, aq_humidity FROM aq_typed"))
+def contract_coalesce(spark, sf):
+    aq = refine.type_air_quality(feeds.feed(spark, sf, "openaq"), feeds.feed(spark, sf, "purpleair"), CFG)
+    return aq.drop("kafka_timestamp", "h3_index")
+
+
+@query(upto("ev", "SELECT event_id, lat, lon FROM ev"))
+def first_point(spark, sf):
+    p = feeds.points(spark, sf)
+    listed = F.concat_ws(" ", text.point_key(F.col("lat"), F.col("lon")), F.lit("40.7"), F.lit("x,y"))
+    lat, lon = text.first_point(listed)
+    return p.select("event_id", lat.alias("lat"), lon.alias("lon"))
+
+
+@query(
+    upto(
+        "ev",
+        """SELECT event_id, pos, lat + pos * cast(0.25 as double) AS lat, lon - pos * cast(0.5 as double) AS lon
+        FROM ev, (VALUES (0), (1), (2)) p(pos)""",
+    )
+)
+def point_list(spark, sf):
+    p = feeds.points(spark, sf)
+    pairs = [
+        text.point_key(F.col("lat") + F.lit(i * 0.25), F.col("lon") - F.lit(i * 0.5)) for i in range(3)
+    ]
+    listed = p.select("event_id", F.concat_ws(" ", *pairs).alias("points"))
+    exploded = listed.select("event_id", F.posexplode(F.split("points", " ")).alias("pos", "pair"))
+    lat, lon = text.first_point(F.col("pair"))
+    return exploded.select("event_id", "pos", lat.alias("lat"), lon.alias("lon"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 29 <> 0 THEN date_trunc('millisecond', ts) END AS event_ts FROM events")
+def local_to_utc(spark, sf):
+    p = feeds.points(spark, sf)
+    local = F.date_format(F.from_utc_timestamp("ts", CFG.local_zone), times.LOCAL_FORMAT)
+    written = F.when(F.col("event_id") % 29 != 0, local).otherwise("31/01/2024")
+    return p.select("event_id", times.local_to_utc(written, CFG.local_zone).alias("event_ts"))
+
+
+@query(upto("ev", "SELECT event_id, CASE WHEN k % 4 <> 0 THEN k END AS wind_mph, CASE WHEN k % 4 <> 0 THEN k ELSE -1 END AS wind_or_default FROM ev"))
+def first_int(spark, sf):
+    wind = F.when(F.col("k") % 4 == 0, "calm").otherwise(F.concat(F.lit("about "), F.col("k").cast("string"), F.lit(" mph")))
+    found = text.first_int(wind)
+    return feeds.points(spark, sf).select(
+        "event_id", found.alias("wind_mph"), text.or_default(found, -1).alias("wind_or_default")
+    )
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT event_id, degrees, [{', '.join(f"'{p}'" for p in COMPASS)}][cast(floor(degrees / {num(22.5)} + {num(0.5)}) as bigint) % 16 + 1] AS wind_from
+        FROM (SELECT event_id, cast((event_id * 1125) % 36000 as double) / {num(100.0)} AS degrees FROM ev)""",
+    )
+)
+def compass(spark, sf):
+    degrees = (F.col("event_id") * 1125 % 36000).cast("double") / F.lit(100.0)
+    return feeds.points(spark, sf).select("event_id", degrees.alias("degrees"), text.compass(degrees).alias("wind_from"))
+
+
+@query(
+    """SELECT event_id, time_bucket(INTERVAL 15 MINUTE, ts) AS bin_15m, date_trunc('hour', ts) AS bin_hour,
+    cast(hour(ts) as int) AS hour_of_day, cast(floor(epoch(ts) / 300) as bigint) AS bucket_5m FROM events"""
+)
+def time_bin(spark, sf):
+    ts = F.col("ts")
+    return feeds.points(spark, sf).select(
+        "event_id", times.time_bin(ts, 900).alias("bin_15m"), F.date_trunc("hour", ts).alias("bin_hour"),
+        F.hour(ts).alias("hour_of_day"), times.time_bucket(ts, 300).alias("bucket_5m"),
+    )
+
+
+@query(
+    "SELECT event_id, CASE WHEN value < 10 THEN '0-10 mph (gridlock)' WHEN value < 25 THEN '10-25 mph (slow)'"
+    " WHEN value < 45 THEN '25-45 mph (moderate)' ELSE '45+ mph (free flow)' END AS speed_bucket FROM events"
+)
+def bucketize(spark, sf):
+    return feeds.points(spark, sf).select("event_id", text.bucketize(F.col("value"), SPEED_BUCKETS).alias("speed_bucket"))
+
+
+@query(
+    f"""SELECT event_id, {rounded(f"(epoch(TIMESTAMP '2024-01-31') - floor(epoch(ts))) / cast(60 as double)")} AS lag_minutes,
+    {rounded(f"{num(100.0)} * (event_id % 7) / nullif(event_id % 3, 0)")} AS share FROM events"""
+)
+def lag_and_share(spark, sf):
+    ident = F.col("event_id")
+    return feeds.points(spark, sf).select(
+        "event_id", times.lag_minutes(F.col("ts"), times.as_of_literal("2024-01-31")).alias("lag_minutes"),
+        stats.pct(ident % 7, ident % 3).alias("share"),
+    )
+
+
+# Ingestion -------------------------------------------------------------------
+
+def _locations(spark, sf):
+    """One API location per click, with a PM2.5 sensor and another one."""
+    p, ident = feeds.points(spark, sf, "click"), F.col("event_id")
+    parameter = F.when(ident % 2 == 0, F.lit('{"id": 2, "name": "pm25"}')).otherwise("pm25")
+    found = p.select(
+        ident.alias("location_id"), F.when(ident % 5 != 0, F.concat(F.lit("loc "), F.col("user_id").cast("string"))).alias("location_name"),
+        F.when(ident % 8 != 0, F.col("lat").cast("string")).alias("latitude"), F.col("lon").cast("string").alias("longitude"),
+        F.array(
+            F.struct((ident * 10 + 1).alias("id"), parameter.alias("parameter")),
+            F.struct((ident * 10 + 2).alias("id"), F.lit("o3").alias("parameter")),
+        ).alias("sensors"),
+    )
+
+    def reading(value, stamp):
+        return F.struct(value.alias("value"), stamp.alias("utc"), F.lit("µg/m³").alias("units"))
+
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    offset = F.date_format(F.from_utc_timestamp("ts", "America/New_York"), "yyyy-MM-dd'T'HH:mm:ss'-05:00'")
+    first = reading(
+        F.when(ident % 11 != 0, F.col("value").cast("string")).otherwise("bad"),
+        F.when(ident % 3 == 0, offset).when(ident % 7 == 0, "noon").otherwise(stamp),
+    )
+    sensor = (ident * 10 + 1).alias("sensor_id")
+    results = F.when(ident % 13 == 0, F.array().cast("array<struct<value:string,utc:string,units:string>>")).otherwise(
+        F.array(first, reading(F.lit("1.0"), stamp))
+    )
+    return found, p.select(sensor, results.alias("results"))
+
+
+_NESTED = """(SELECT cast(event_id * 10 + 1 as varchar) AS sensor_id, 'openaq' AS source,
+    CASE WHEN event_id % 8 <> 0 THEN lat END AS lat, lon, CASE WHEN event_id % 11 <> 0 THEN value END AS pm25,
+    CASE WHEN event_id % 3 = 0 OR event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS "timestamp",
+    event_id AS location_id, CASE WHEN event_id % 5 <> 0 THEN 'loc ' || user_id ELSE 'unknown' END AS location_name,
+    'µg/m³' AS unit FROM ev WHERE event_type = 'click' AND event_id % 13 <> 0)"""
+_NESTED_OK = 'lat IS NOT NULL AND pm25 IS NOT NULL AND "timestamp" IS NOT NULL'
+
+
+@query(upto("ev", f"SELECT * FROM {_NESTED} WHERE {_NESTED_OK}"))
+def nested_sensors(spark, sf):
+    ok, _ = quality.split_contract(ingest.normalize_openaq(*_locations(spark, sf)), ["sensor_id", "lat", "lon", "pm25", "timestamp"])
+    return ok.drop("latitude", "longitude", "parameter", "value", "datetime_utc")
+
+
+@query(upto("ev", f"SELECT count(*) AS rejected FROM {_NESTED} WHERE NOT ({_NESTED_OK})"))
+def contract_rejects(spark, sf):
+    _, bad = quality.split_contract(ingest.normalize_openaq(*_locations(spark, sf)), ["sensor_id", "lat", "lon", "pm25", "timestamp"])
+    return bad.agg(F.count("*").alias("rejected"))
+
+
+@query(
+    upto(
+        "ev",
+        """SELECT cast(user_id as varchar) AS sensor_id, 'purpleair' AS source, lat, lon, value AS pm25,
+        strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp", 'purpleair::' || user_id AS message_key,
+        'node ' || user_id AS name, cast(k as double) AS temperature, cast(NULL as double) AS humidity
+        FROM ev WHERE event_type = 'error' AND event_id % 6 <> 0""",
+    )
+)
+def map_rows_from_arrays(spark, sf):
+    p = feeds.points(spark, sf, "error")
+    names = ["sensor_index", "name", "latitude", "longitude", "pm2.5_10minute", "temperature", "humidity"]
+    user = F.col("user_id").cast("string")
+    row = [
+        user, F.concat(F.lit("node "), user), F.col("lat").cast("string"), F.col("lon").cast("string"),
+        F.when(F.col("event_id") % 6 != 0, F.col("value").cast("string")), F.col("k").cast("string"), F.lit("n/a"),
+    ]
+    second = [*row[:4], F.lit(None).cast("string"), *row[5:]]
+    polls = p.select(
+        F.array(*(F.lit(n) for n in names)).alias("fields"),
+        F.array(F.array(*row), F.array(*second)).alias("data"), F.col("ts").alias("fetched_at"),
+    )
+    ok, _ = quality.split_contract(ingest.normalize_purpleair(polls), ["sensor_id", "lat", "lon", "pm25"])
+    keyed = ingest.with_message_key(ok, F.col("source"), F.col("sensor_id"))
+    return keyed.select("sensor_id", "source", "lat", "lon", "pm25", "timestamp", "message_key", "name", "temperature", "humidity")
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT name, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "startTime", cast(trunc(value - 20) as int) AS temperature,
+        cast(trunc(cast(k as double) / {num(4.0)}) as int) || ' mph' AS "windSpeed",
+        [{', '.join(f"'{p}'" for p in COMPASS)}][cast(floor(cast(k * 7 % 360 as double) / {num(22.5)} + {num(0.5)}) as bigint) % 16 + 1] AS "windDirection",
+        name || '::' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS message_key, c_lat AS source_lat, c_lon AS source_lon
+        FROM ev JOIN (SELECT *, row_number() OVER () - 1 AS i FROM {o.REGIONS}) ON i = user_id % 5 WHERE event_type = 'signup'""",
+    )
+)
+def weather_observations(spark, sf):
+    p = feeds.points(spark, sf, "signup")
+    centres = ingest.regions_dim(spark).select(
+        F.col("name").alias("borough"), F.col("lat").alias("source_lat"), F.col("lon").alias("source_lon")
+    )
+    number = F.create_map(*(x for i, (n, *_) in enumerate(REGION_CENTRES) for x in (F.lit(n), F.lit(i))))
+    centres = centres.withColumn("_i", number[F.col("borough")].cast("bigint"))
+    seen = p.join(centres, F.col("user_id") % 5 == F.col("_i")).select(
+        "borough", "source_lat", "source_lon", F.unix_timestamp("ts").alias("dt"), (F.col("value") - 20).alias("temp"),
+        (F.col("k") / F.lit(4.0)).alias("wind_speed"), (F.col("k") * 7 % 360).cast("double").alias("wind_deg"),
+        F.lit("clear").alias("description"),
+    )
+    keyed = ingest.with_message_key(ingest.normalize_weather(seen), F.col("borough"), F.col("startTime"))
+    return keyed.select("name", "startTime", "temperature", "windSpeed", "windDirection", "message_key", "source_lat", "source_lon")
+
+
+@query(f"SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '{MARK}' ORDER BY ts DESC, event_id LIMIT 1000")
+def incremental_batch(spark, sf):
+    batch, _ = ingest.incremental(feeds.points(spark, sf), "ts", times.as_of_literal(MARK), 1000, "event_id")
+    return batch.select("event_id", "ts")
+
+
+@query(f"SELECT max(ts) AS next_mark FROM events WHERE ts > TIMESTAMP '{MARK}'")
+def incremental_mark(spark, sf):
+    return ingest.incremental(feeds.points(spark, sf), "ts", times.as_of_literal(MARK), 1000, "event_id")[1]
+
+
+@query(upto("ev", f"SELECT event_id, lat, lon FROM ev WHERE {o.in_box()}"))
+def bbox_filter(spark, sf):
+    return ingest.within_bbox(feeds.points(spark, sf), "lat", "lon", CFG.box).select("event_id", "lat", "lon")
+
+
+@query(upto("ev", f"SELECT event_id, lat, lon FROM ev WHERE {o.haversine(num(CENTRE[0]), num(CENTRE[1]), 'lat', 'lon')} <= 25000"))
+def radius_filter(spark, sf):
+    return ingest.within_radius(feeds.points(spark, sf), "lat", "lon", CENTRE, 25000.0).select("event_id", "lat", "lon")
+
+
+# Quality ---------------------------------------------------------------------
+
+@query(
+    upto(
+        "aq_typed",
+        f"""SELECT 'traffic' AS feed, u.rule, n AS total_rows, u.bad AS invalid_rows FROM (
+          SELECT count(*) AS n, count(*) FILTER (event_ts IS NULL) AS a, count(*) FILTER (NOT ({o.in_box()})) AS b,
+            count(*) FILTER (speed IS NULL OR NOT speed BETWEEN 0 AND 100) AS c FROM traffic_raw),
+          LATERAL (VALUES ('null_critical', a), ('coords', b), ('speed', c)) u(rule, bad)
+        UNION ALL SELECT 'air_quality', u.rule, n, u.bad FROM (
+          SELECT count(*) AS n, count(*) FILTER (aq_location_id IS NULL) AS a, count(*) FILTER (NOT ({o.in_box()})) AS b,
+            count(*) FILTER (NOT pm25 BETWEEN 0 AND 2000) AS c FROM aq_typed),
+          LATERAL (VALUES ('null_critical', a), ('coords', b), ('pm25', c)) u(rule, bad)""",
+    )
+)
+def dq_report(spark, sf):
+    traffic = refine.type_traffic(feeds.feed(spark, sf, "traffic"), CFG)
+    aq = refine.type_air_quality(feeds.feed(spark, sf, "openaq"), feeds.feed(spark, sf, "purpleair"), CFG)
+    reports = [
+        quality.dq_report(df, rules).select(F.lit(name).alias("feed"), "*")
+        for name, df, rules in (("traffic", traffic, quality.traffic_rules(CFG)), ("air_quality", aq, quality.aq_rules(CFG)))
+    ]
+    return quarantine(*reports)
+
+
+@query(
+    upto(
+        "traffic",
+        f"""SELECT id, '' AS broken_rules FROM traffic UNION ALL
+        SELECT id, concat_ws(',', CASE WHEN event_ts IS NULL THEN 'null_critical' END,
+          CASE WHEN NOT ({o.in_box()}) THEN 'coords' END,
+          CASE WHEN speed IS NULL OR NOT speed BETWEEN 0 AND 100 THEN 'speed' END) FROM traffic_raw
+        WHERE id NOT IN (SELECT id FROM traffic)""",
+    )
+)
+def dq_clean(spark, sf):
+    rows = refine.type_traffic(feeds.feed(spark, sf, "traffic"), CFG)
+    clean, rejected = quality.apply_rules(rows, quality.traffic_rules(CFG))
+    return clean.select("id", F.lit("").alias("broken_rules")).unionByName(
+        rejected.select("id", F.concat_ws(",", "broken_rules").alias("broken_rules"))
+    )
+
+
+@query(upto("business", "SELECT count(*) FILTER (is_congestion_zone IS NULL) AS null_is_congestion_zone, count(*) FILTER (is_truck_route IS NULL) AS null_is_truck_route, count(*) FILTER (traffic_borough IS NULL) AS null_traffic_borough FROM business"))
+def null_counts(spark, sf):
+    return quality.null_counts(feeds.business(spark, sf), ["is_congestion_zone", "is_truck_route", "traffic_borough"])
+
+
+@query("SELECT count(*) AS present, cast(0 as bigint) AS missing FROM (VALUES (1), (2), (3), (4), (5), (6), (7)) v WHERE (SELECT count(*) FROM events) > 0")
+def missing_columns(spark, sf):
+    required = ["traffic_id", "traffic_event_ts", "h3_index", "traffic_speed", "aq_pm25_ugm3", "aq_event_ts", "has_aq_match"]
+    table = feeds.business(spark, sf)
+    missing = quality.missing_columns(table, required)
+    return table.agg(
+        F.lit(len(required) - len(missing)).cast("bigint").alias("present"), F.lit(len(missing)).cast("bigint").alias("missing")
+    )
+
+
+@query(upto("business", "SELECT count(*) AS checked_rows, cast(0 as bigint) AS violations FROM business WHERE aq_event_ts IS NOT NULL"))
+def window_violations(spark, sf):
+    return quality.window_violations(feeds.business(spark, sf), "traffic_event_ts", "aq_event_ts", CFG.aq_window_minutes * 60)
+
+
+@query(upto("business", "SELECT id FROM traffic_raw WHERE id NOT IN (SELECT traffic_id FROM business)"))
+def late_audit(spark, sf):
+    raw = feeds.feed(spark, sf, "traffic").select("id")
+    return quality.late_audit(raw, feeds.business(spark, sf), "id", "traffic_id")
+
+
+# Grid ------------------------------------------------------------------------
+
+_FINE = o.PLACED + "," + o.hex_steps("placed", "fine", 1200.0) + "," + o.hex_steps("placed", "coarse", 10000.0)
+
+
+@query(f"WITH {_FINE} SELECT f.event_id, f.cell AS cell_1200, c.cell AS cell_10000, f.q, f.r FROM fine f JOIN coarse c USING (event_id)")
+def hex_cells(spark, sf):
+    lat, lon = F.col("lat"), F.col("lon")
+    q, r = axial(lat, lon, 1200.0)
+    return feeds.points(spark, sf).select(
+        "event_id", hex_cell(lat, lon, 1200.0).alias("cell_1200"), hex_cell(lat, lon, 10000.0).alias("cell_10000"),
+        q.alias("q"), r.alias("r"),
+    )
+
+
+@query("SELECT count(*) AS cells, count(*) AS format_valid, count(*) AS edge_valid, count(*) AS cell_valid FROM events")
+def hex_validate(spark, sf):
+    return spatial.validate_cells(feeds.points(spark, sf, edge_m=1200.0), "lat", "lon", "cell", 1200.0)
+
+
+@query(
+    upto(
+        "ev",
+        """SELECT a.cell, 'hx10000_' || (a.q + dq) || '_' || (a.r + dr) AS neighbour,
+        cast((abs(dq) + abs(dr) + abs(dq + dr)) // 2 as int) AS steps
+        FROM (SELECT DISTINCT cell, q, r FROM ev) a, (SELECT unnest(range(-2, 3)) AS dq), (SELECT unnest(range(-2, 3)) AS dr)
+        WHERE abs(dq + dr) <= 2""",
+    )
+)
+def k_ring_pairs(spark, sf):
+    return spatial.k_ring(feeds.points(spark, sf).select("cell").distinct(), "cell", 2)
+
+
+@query(
+    upto(
+        "ev",
+        """SELECT a.user_id, b.user_id AS other_id, cast((abs(a.q - b.q) + abs(a.r - b.r) + abs(a.q - b.q + a.r - b.r)) // 2 as bigint) AS steps
+        FROM (SELECT DISTINCT user_id, q, r FROM ev) a JOIN (SELECT DISTINCT user_id, q, r FROM ev) b ON b.user_id = a.user_id + 1""",
+    )
+)
+def grid_steps(spark, sf):
+    s = sensors(spark, sf)
+    other = s.select((F.col("user_id") - 1).alias("user_id"), F.col("user_id").alias("other_id"), F.col("cell").alias("other"))
+    return s.join(other, "user_id").select("user_id", "other_id", grid_distance(F.col("cell"), F.col("other")).alias("steps"))
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT event_id, name, {rounded(o.haversine('lat', 'lon', 'c_lat', 'c_lon'), 4)} AS metres
+        FROM ev, {o.REGIONS}""",
+    )
+)
+def haversine_pairs(spark, sf):
+    """Distance of every event to the five fixed centres."""
+    centres = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(a).alias("lat"), F.lit(b).alias("lon")) for n, a, b in REGION_CENTRES))
+    p = feeds.points(spark, sf).withColumn("c", F.explode(centres))
+    metres = haversine_m(F.col("lat"), F.col("lon"), F.col("c.lat"), F.col("c.lon"))
+    return p.select("event_id", "c.name", stats.rounded(metres, 4).alias("metres"))
+
+
+@query(upto("ev", f"SELECT event_id, {rounded(o.haversine('lat', 'lon', num(40.7), num(-74.0)), 4)} AS metres FROM ev"))
+def sql_functions(spark, sf):
+    register_functions(spark)
+    return feeds.points(spark, sf).select(
+        "event_id", stats.rounded(F.expr("haversine_m(lat, lon, 40.7D, -74.0D)"), 4).alias("metres")
+    )
+
+
+# Joins -----------------------------------------------------------------------
+
+@query(
+    upto(
+        "lookup",
+        """SELECT t_id, coalesce(is_in_congestion_zone, false) AS is_in_congestion_zone,
+        coalesce(is_near_truck_route, false) AS is_near_truck_route,
+        coalesce(is_near_high_emission_bldg, false) AS is_near_high_emission_bldg
+        FROM (SELECT event_id AS t_id, cell FROM ev WHERE event_type = 'view') LEFT JOIN flags ON h3_lookup_index = cell""",
+    )
+)
+def static_lookup_join(spark, sf):
+    joined = joins.enrich_lookup(
+        traffic_points(spark, sf), feeds.stored_lookup(spark, sf), "cell", "h3_lookup_index", spatial.FLAGS
+    )
+    return joined.select("t_id", *spatial.FLAGS)
+
+
+_PAIR = f"t.cell = a.cell AND a_ts >= t_ts - {WINDOW} AND a_ts <= t_ts + {WINDOW}"
+
+
+@query(upto("ev", f"SELECT t_id, t.cell, t_ts, a_id, a_ts, pm25, a_id IS NOT NULL AS has_aq_match FROM {_T} LEFT JOIN {_A} ON {_PAIR}"))
+def interval_left(spark, sf):
+    left, right = traffic_points(spark, sf), aq_points(spark, sf)
+    hot = skew.find_hot(right, ["cell"], "a_ts", 900, 900, CFG.skew)
+    joined = joins.interval_join(left, right, ["cell"], "t_ts", "a_ts", 900, 900, "left", hot=hot)
+    return joined.select("t_id", "cell", "t_ts", "a_id", "a_ts", "pm25", F.col("a_id").isNotNull().alias("has_aq_match"))
+
+
+@query(upto("ev", f"SELECT t_id, t.cell, t_ts, a_id, a_ts, pm25 FROM {_T} JOIN {_A} ON {_PAIR}"))
+def interval_inner(spark, sf):
+    joined = joins.interval_join(traffic_points(spark, sf), aq_points(spark, sf), ["cell"], "t_ts", "a_ts", 900, 900)
+    return joined.select("t_id", "cell", "t_ts", "a_id", "a_ts", "pm25")
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT t_id, t_ts, w_id, w_ts FROM {_T} LEFT JOIN (SELECT event_id AS w_id, ts AS w_ts FROM ev
+        WHERE event_type = 'signup') ON w_ts >= t_ts - {WINDOW} AND w_ts <= t_ts + {WINDOW}""",
+    )
+)
+def interval_const_key(spark, sf):
+    left = traffic_points(spark, sf).withColumn("key", F.lit(CFG.weather_key))
+    right = feeds.points(spark, sf, "signup").select(
+        F.lit(CFG.weather_key).alias("key"), F.col("event_id").alias("w_id"), F.col("ts").alias("w_ts")
+    )
+    hot = skew.find_hot(right, ["key"], "w_ts", 900, 900, CFG.skew)
+    joined = joins.interval_join(left, right, ["key"], "t_ts", "w_ts", 900, 900, "left", hot=hot)
+    return joined.select("t_id", "t_ts", "w_id", "w_ts")
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT t_id, a_id FROM {_T} LEFT JOIN {_A} ON t.cell = a.cell
+        AND a_ts >= t_ts - INTERVAL 30 MINUTE AND a_ts <= t_ts + INTERVAL 10 MINUTE""",
+    )
+)
+def interval_asymmetric(spark, sf):
+    left, right = traffic_points(spark, sf), aq_points(spark, sf)
+    hot = skew.find_hot(right, ["cell"], "a_ts", 1800, 600, CFG.skew)
+    return joins.interval_join(left, right, ["cell"], "t_ts", "a_ts", 1800, 600, "left", hot=hot).select("t_id", "a_id")
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT t_id, a_id FROM {_T} JOIN {_A} ON t.cell = a.cell
+        AND abs(floor(epoch(t_ts)) - floor(epoch(a_ts))) <= 900""",
+    )
+)
+def abs_seconds_join(spark, sf):
+    joined = joins.abs_seconds_join(traffic_points(spark, sf), aq_points(spark, sf), ["cell"], "t_ts", "a_ts", 900)
+    return joined.select("t_id", "a_id")
+
+
+_NEAR = o.haversine("t_lat", "t_lon", "a_lat", "a_lon")
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT t_id, a_id, {rounded(_NEAR, 4)} AS metres FROM {_T} JOIN {_A}
+        ON a_ts >= t_ts - {WINDOW} AND a_ts <= t_ts + {WINDOW} WHERE {_NEAR} <= 2500""",
+    )
+)
+def distance_time_join(spark, sf):
+    joined = joins.distance_time_join(
+        traffic_points(spark, sf).drop("cell"), aq_points(spark, sf).drop("cell"), ("t_lat", "t_lon"), ("a_lat", "a_lon"),
+        2500.0, "t_ts", "a_ts", 900,
+    )
+    metres = haversine_m(F.col("t_lat"), F.col("t_lon"), F.col("a_lat"), F.col("a_lon"))
+    return joined.select("t_id", "a_id", stats.rounded(metres, 4).alias("metres"))
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT t_id, a_id, a_ts FROM (SELECT t_id, a_id, a_ts, row_number() OVER (PARTITION BY t_id
+          ORDER BY abs(epoch_us(a_ts) - epoch_us(t_ts)), a_ts, a_id) AS rn FROM {_T} LEFT JOIN {_A} ON {_PAIR}) WHERE rn = 1""",
+    )
+)
+def nearest_in_time(spark, sf):
+    joined = joins.nearest_in_time_join(
+        traffic_points(spark, sf), aq_points(spark, sf), ["cell"], "t_ts", "a_ts", "a_id", 900
+    )
+    return joined.select("t_id", "a_id", "a_ts")
+
+
+_S = upto("ev", "{}", o.LAYERS, _SENSORS)
+
+
+@query(_S.format(f"SELECT s.user_id, zone_id FROM sensors s LEFT JOIN ({o.zone_hits('sensors', 'user_id')}) h ON h.user_id = s.user_id"))
+def points_in_polygons(spark, sf):
+    found = spatial.points_in_zones(sensors(spark, sf), feeds.zones(spark, sf), "user_id", "lon", "lat", how="left")
+    return found.select("user_id", "zone_id")
+
+
+@query(_S.format(f"SELECT s.user_id, line_id, {rounded('d', 9)} AS line_degrees FROM sensors s LEFT JOIN ({o.line_hits('sensors', 'user_id', 0.004)}) h ON h.user_id = s.user_id"))
+def near_lines(spark, sf):
+    found = spatial.near_lines(sensors(spark, sf), feeds.lines(spark, sf), "user_id", "lon", "lat", 0.004, how="left")
+    return found.select("user_id", "line_id", stats.rounded(F.col("line_degrees"), 9).alias("line_degrees"))
+
+
+@query(_S.format(f"SELECT s.user_id, site_id, {rounded('d', 9)} AS site_degrees FROM sensors s LEFT JOIN ({o.site_hits('sensors', 'user_id', 0.004)}) h ON h.user_id = s.user_id"))
+def near_points(spark, sf):
+    found = spatial.near_sites(sensors(spark, sf), feeds.sites(spark, sf), "user_id", "lon", "lat", 0.004, how="left")
+    return found.select("user_id", "site_id", stats.rounded(F.col("site_degrees"), 9).alias("site_degrees"))
+
+
+@query(upto("lookup", "SELECT * FROM flags"))
+def cell_flags(spark, sf):
+    return feeds.lookup(spark, sf)
+
+
+@query(upto("traffic_raw", f"SELECT DISTINCT lat AS traffic_lat, lon AS traffic_lon, cell AS h3_index FROM traffic_raw WHERE {o.in_box()}"))
+def lookup_points(spark, sf):
+    return lookups.lookup_points(feeds.feed(spark, sf, "traffic").select("link_points"), CFG)
+
+
+@query(
+    upto(
+        "ev",
+        f"""SELECT user_id, nearest_id, {rounded('d', 9)} AS nearest_degrees FROM (
+          SELECT a.user_id, b.user_id AS nearest_id, sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)) AS d,
+            row_number() OVER (PARTITION BY a.user_id ORDER BY d, b.user_id) AS rn
+          FROM sensors a JOIN sensors b ON a.user_id <> b.user_id) WHERE rn = 1""",
+        _SENSORS,
+    )
+)
+def nearest_neighbor(spark, sf):
+    near = neighbours.nearest_point(sensors(spark, sf), "user_id", "lon", "lat")
+    return near.select("user_id", "nearest_id", stats.rounded(F.col("nearest_degrees"), 9).alias("nearest_degrees"))
+
+
+@query(
+    upto(
+        "ev",
+        """SELECT count(*) AS evaluated, count(*) FILTER (steps <= 1) AS same_or_neighbour FROM (
+          SELECT (abs(a.q - b.q) + abs(a.r - b.r) + abs(a.q - b.q + a.r - b.r)) // 2 AS steps,
+            row_number() OVER (PARTITION BY a.user_id ORDER BY sqrt(pow(a.lon - b.lon, 2) + pow(a.lat - b.lat, 2)), b.user_id) AS rn
+          FROM s a JOIN s b ON a.user_id <> b.user_id) WHERE rn = 1""",
+        "s AS (SELECT DISTINCT user_id, lat, lon, q, r FROM ev)",
+    )
+)
+def nearest_cell_check(spark, sf):
+    """How often the nearest point lies in the same or a neighbouring cell."""
+    s = sensors(spark, sf)
+    near = neighbours.nearest_point(s, "user_id", "lon", "lat").where(F.col("nearest_id").isNotNull())
+    cells = s.select("user_id", "cell")
+    other = cells.select(F.col("user_id").alias("nearest_id"), F.col("cell").alias("other"))
+    both = near.join(cells, "user_id").join(other, "nearest_id")
+    return both.agg(
+        F.count("*").alias("evaluated"),
+        F.count_if(grid_distance(F.col("cell"), F.col("other")) <= 1).alias("same_or_neighbour"),
+    )
+
+
+# Sets, windows, aggregates ---------------------------------------------------
+
+@query(
+    """SELECT 'a' AS source, event_id, value, cast(NULL as varchar) AS props FROM events WHERE event_type = 'click'
+    UNION ALL SELECT 'b', event_id, cast(NULL as double), props FROM events WHERE event_type = 'error'"""
+)
+def union_contract(spark, sf):
+    e = feeds.table(spark, sf, "events")
+    a = e.where(F.col("event_type") == "click").select(F.lit("a").alias("source"), "event_id", "value")
+    b = e.where(F.col("event_type") == "error").select("props", "event_id", F.lit("b").alias("source"))
+    return tables.union_contract(a, b)
+
+
+@query("SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def dedup_first(spark, sf):
+    e = feeds.table(spark, sf, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    return tables.dedup_first(e, ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
+
+
+@query("SELECT user_id, event_type, n FROM (SELECT user_id, event_type, count(*) AS n, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type) AS rn FROM events GROUP BY 1, 2) WHERE rn = 1")
+def mode_per_group(spark, sf):
+    return tables.mode_per_group(feeds.table(spark, sf, "events"), "user_id", "event_type", "n")
+
+
+@query("SELECT event_type, user_id, m FROM (SELECT *, dense_rank() OVER (PARTITION BY event_type ORDER BY m DESC) AS rk FROM (SELECT event_type, user_id, max(value) AS m FROM events GROUP BY 1, 2)) WHERE rk <= 10")
+def top_per_group(spark, sf):
+    best = feeds.table(spark, sf, "events").groupBy("event_type", "user_id").agg(F.max("value").alias("m"))
+    return tables.top_per_group(best, ["event_type"], F.col("m").desc(), 10).drop("rank_in_group")
+
+
+@query("SELECT event_id, ts, value FROM events ORDER BY ts DESC, event_id LIMIT 100")
+def recent_sample(spark, sf):
+    return tables.recent_sample(feeds.points(spark, sf), "ts", 100, "event_id").select("event_id", "ts", "value")
+
+
+@query(f"SELECT event_type, count(*) AS groups, {o.mean('m')} AS mean_of_means FROM (SELECT event_type, date_trunc('hour', ts) AS h, {o.mean('value')} AS m FROM events GROUP BY 1, 2) GROUP BY 1")
+def mean_of_means(spark, sf):
+    e = feeds.points(spark, sf).withColumn("h", times.time_bin(F.col("ts"), 3600))
+    return tables.mean_of_means(e, ["event_type", "h"], ["event_type"], "value")
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+def distinct_count(spark, sf):
+    return tables.distinct_count(feeds.table(spark, sf, "events"), [F.col("user_id")], "users", ["event_type"])
+
+
+@query(upto("ev", f"SELECT event_type, count(*) AS n, count(*) FILTER ({o.in_box()}) AS in_box, min(value) AS lo, max(value) AS hi, {o.mean('value')} AS avg_value, {rounded('stddev_samp(value)')} AS sd, bool_or(value > 450) AS any_high FROM ev GROUP BY 1"))
+def group_report(spark, sf):
+    value = F.col("value")
+    return feeds.points(spark, sf).groupBy("event_type").agg(
+        F.count("*").alias("n"), stats.rows_where(in_box(F.col("lat"), F.col("lon"), CFG.box)).alias("in_box"),
+        F.min(value).alias("lo"), F.max(value).alias("hi"), stats.mean(value).alias("avg_value"),
+        stats.sample_stddev(value).alias("sd"), stats.any_true(value > 450).alias("any_high"),
+    )
+
+
+# Stored tables ---------------------------------------------------------------
+
+@query(upto("business", 'SELECT cast(traffic_event_ts as date) AS event_date, count(*) AS "rows" FROM business GROUP BY 1'))
+def stored_rows_by_day(spark, sf):
+    return table_stats(feeds.business(spark, sf)).select("event_date", "rows")
+
+
+@query()
+def table_file_stats(spark, sf):
+    """Files and bytes of the stored business table by day."""
+    return table_stats(feeds.business(spark, sf))
+
+
+@query(upto("business", 'SELECT count(*) AS rows_before, count(*) AS rows_after, true AS fewer_files FROM business'))
+def compact_counts(spark, sf):
+    """A many-file copy of the business table, compacted."""
+    path = feeds.stored(spark, sf, "scattered", lambda: feeds.business(spark, sf).repartition(8), rebalance=False)
+    done = compact(spark, path)
+    return spark.createDataFrame(
+        [(done.rows_before, done.rows_after, done.files_after <= done.files_before)],
+        "rows_before bigint, rows_after bigint, fewer_files boolean",
+    )
