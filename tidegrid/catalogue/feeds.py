@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from tidegrid.config import TOPICS, Settings
 from tidegrid.functions.hexgrid import hex_cell
+from tidegrid.plans import refine
+from tidegrid.plans.enrich import enrich
 from tidegrid.plans.lookup import build_lookup, lookup_points
 from tidegrid.session import use_utc, work_dir
 from tidegrid.sinks.streams import with_event_date
 from tidegrid.sources.tables import PARTITION
-from tidegrid.streaming.flow import Feeds, business_rows, parse_feeds
+from tidegrid.streaming.flow import Feeds, parse_feeds
 
 CFG = Settings(hex_edge_m=10000.0)
 
@@ -199,8 +201,11 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spots = lookup_points(feed(spark, sf_dir, "traffic").select("link_points"), CFG)
-    return build_lookup(spots, zones(spark, sf_dir), lines(spark, sf_dir), sites(spark, sf_dir), CFG)
+    def spots() -> DataFrame:
+        return lookup_points(feed(spark, sf_dir, "traffic").select("link_points"), CFG)
+
+    points_seen = spark.read.parquet(stored(spark, sf_dir, "spots", spots))
+    return build_lookup(points_seen, zones(spark, sf_dir), lines(spark, sf_dir), sites(spark, sf_dir), CFG)
 
 
 # Stored tables ---------------------------------------------------------------
@@ -227,11 +232,25 @@ def stored_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(stored(spark, sf_dir, "lookup", lambda: lookup(spark, sf_dir)))
 
 
+def refined_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Refined traffic, air quality and weather, stored: each topic is parsed once."""
+
+    def build(name: str):
+        if name == "traffic":
+            return lambda: refine.refine_traffic(feed(spark, sf_dir, "traffic"), CFG)
+        if name == "weather":
+            return lambda: refine.refine_weather(feed(spark, sf_dir, "weather"), CFG)
+        return lambda: refine.refine_air_quality(feed(spark, sf_dir, "openaq"), feed(spark, sf_dir, "purpleair"), CFG)
+
+    names = ("traffic", "air_quality", "weather")
+    return tuple(spark.read.parquet(stored(spark, sf_dir, f"refined_{n}", build(n))) for n in names)
+
+
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The enriched table, built by the whole flow and then read like any stored table."""
 
     def build() -> DataFrame:
-        rows = business_rows(feeds(spark, sf_dir), stored_lookup(spark, sf_dir), CFG)
-        return with_event_date(rows)
+        tables = refined_tables(spark, sf_dir)
+        return with_event_date(enrich(*tables, stored_lookup(spark, sf_dir), CFG))
 
     return spark.read.parquet(stored(spark, sf_dir, "business", build))

@@ -1 +1,230 @@
-QUERIES = {}
+"""Streaming runs over the given tables: every source is read as a file stream until it is exhausted.
+
+The topics are written once as message files. Each gets one more message far in
+the future, which moves the watermark past all real rows at the end.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidegrid.catalogue import feeds
+from tidegrid.catalogue.oracle import on_business, upto
+from tidegrid.config import TOPICS
+from tidegrid.operators.joins import interval_join
+from tidegrid.plans.refine import refine_weather
+from tidegrid.session import ROCKSDB, use_utc, work_dir
+from tidegrid.sinks.streams import ONCE, checkpoint_path, write_business, write_stream_parquet
+from tidegrid.sources.tables import PARTITION, read_table_stream
+from tidegrid.sources.topics import TopicSource, read_topic_stream
+from tidegrid.streaming import flow
+from tidegrid.streaming.progress import progress_rows
+from tidegrid.streaming.replay import SENTINEL_UTC, finish
+
+CFG = feeds.CFG
+REAL_BEFORE = "2099-01-01"
+
+
+def stream_session(spark: SparkSession) -> SparkSession:
+    """State in RocksDB; the settings stay within this session."""
+    session = spark.newSession()
+    use_utc(session)
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return session
+
+
+def _sentinel(name: str) -> str:
+    point = '"lat": 40.7, "lon": -74.0, "latitude": 40.7, "longitude": -74.0, "link_points": "40.7,-74.0"'
+    stamps = f'"timestamp": "{SENTINEL_UTC}Z", "startTime": "{SENTINEL_UTC}Z", "data_as_of": "{SENTINEL_UTC}"'
+    # One message for all feeds: each schema takes the fields it knows.
+    return f'{{"id": "sentinel", "sensor_id": "sentinel", "speed": "1", "pm25": 1.0, {point}, {stamps}}}'
+
+
+_messages: dict[tuple[str, str], str] = {}
+
+
+def message_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with one sub-folder of message files per topic."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _messages:
+        root = work_dir(use_utc(spark), "topics")
+        for name, topic in TOPICS.items():
+            real = feeds.topic(spark, sf_dir, name)
+            extra = spark.range(1).select(
+                F.lit(_sentinel(name)).alias("value"), F.lit(SENTINEL_UTC).cast("timestamp").alias("timestamp"),
+                F.lit(topic).alias("topic"),
+            )
+            real.write.parquet(f"{root}/{topic}")
+            # Written later, so a file stream takes it last.
+            extra.write.mode("append").parquet(f"{root}/{topic}")
+        _messages[key] = root
+    return _messages[key]
+
+
+def source(spark: SparkSession, sf_dir: str) -> TopicSource:
+    return TopicSource(message_files(spark, sf_dir))
+
+
+_runs: dict[tuple[str, str], str] = {}
+
+
+def whole_flow(spark: SparkSession, sf_dir: str) -> str:
+    """Runs all eight queries of the live flow once and returns the output folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _runs:
+        out = work_dir(spark, "flow")
+        session = stream_session(spark)
+        lookup = session.read.parquet(feeds.stored(spark, sf_dir, "lookup", lambda: feeds.lookup(spark, sf_dir)))
+        queries = flow.start_all(session, source(spark, sf_dir), lookup, out, CFG, ONCE)
+        finish(*queries.values())
+        _runs[key] = out
+    return _runs[key]
+
+
+def _real(df: DataFrame, ts: str) -> DataFrame:
+    return df.where(F.col(ts) < F.lit(REAL_BEFORE).cast("timestamp"))
+
+
+def stream_enriched(spark, sf):
+    """The business table as the stream wrote it."""
+    table = spark.read.parquet(f"{whole_flow(spark, sf)}/business")
+    return _real(table, "traffic_event_ts").drop(PARTITION)
+
+
+def stream_quarantine(spark, sf):
+    return spark.read.parquet(f"{whole_flow(spark, sf)}/raw/quarantine")
+
+
+def stream_raw_traffic(spark, sf):
+    """Raw rows keep the payload text beside the parsed fields."""
+    raw = spark.read.parquet(f"{whole_flow(spark, sf)}/raw/traffic")
+    return _real(raw, "kafka_timestamp").select(
+        "id", "borough", "kafka_timestamp", (F.get_json_object("raw_payload", "$.id") == F.col("id")).alias("payload_kept")
+    )
+
+
+def stream_refined_aq(spark, sf):
+    aq = spark.read.parquet(f"{whole_flow(spark, sf)}/refined/air_quality")
+    return _real(aq, "aq_event_ts").select("aq_source", "aq_location_id", "aq_event_ts", "h3_index", "aq_pm25_ugm3")
+
+
+def _refined_paths(spark, sf):
+    out = whole_flow(spark, sf)
+    return f"{out}/refined/traffic", f"{out}/refined/air_quality"
+
+
+def _interval_stream(spark: SparkSession, sf_dir: str, max_files: int) -> DataFrame:
+    paths = _refined_paths(spark, sf_dir)
+    schemas = tuple(spark.read.parquet(p).schema for p in paths)
+    return flow.refined_interval_stream(stream_session(spark), *paths, schemas, 15, salt=2, max_files=max_files)
+
+
+def stream_interval_inner(spark, sf):
+    """Inner interval join of the stored refined tables, read as streams."""
+    out = work_dir(spark, "inner")
+    finish(write_stream_parquet(_interval_stream(spark, sf, 100), f"{out}/rows", f"{out}/ckpt", trigger=ONCE))
+    return _real(spark.read.parquet(f"{out}/rows"), "traffic_event_ts")
+
+
+def stream_restart(spark, sf):
+    """The weather join stopped after the first half of the files and restarted on the same checkpoint."""
+    out = work_dir(spark, "restart")
+    root = message_files(spark, sf)
+    session = stream_session(spark)
+    cut = F.lit("2024-01-16").cast("timestamp")
+    halves = []
+    for name in ("traffic", "weather"):
+        topic = TOPICS[name]
+        folder = f"{out}/in/{topic}"
+        messages = spark.read.parquet(f"{root}/{topic}")
+        messages.where(F.col("timestamp") < cut).write.parquet(folder)
+        halves.append((messages.where(F.col("timestamp") >= cut), folder))
+
+    def run() -> None:
+        src = TopicSource(f"{out}/in")
+        parsed = flow.parse_feeds({n: read_topic_stream(session, TOPICS[n], src, CFG) for n in ("traffic", "weather")})
+        traffic = flow.refine.refine_traffic(parsed.valid["traffic"], CFG).withColumn("weather_join_key", F.lit(CFG.weather_key))
+        weather = refine_weather(parsed.valid["weather"], CFG)
+        joined = interval_join(
+            traffic.select("id", "traffic_event_ts", "weather_join_key"),
+            weather.select("weather_event_ts", "weather_join_key", "weather_temperature"),
+            ["weather_join_key"], "traffic_event_ts", "weather_event_ts", 900, 900, "left", salt=CFG.weather_salt,
+        ).drop("weather_join_key")
+        finish(write_stream_parquet(joined, f"{out}/rows", checkpoint_path(out, "weather", 1), trigger=ONCE))
+
+    run()
+    for rest, folder in halves:
+        rest.write.mode("append").parquet(folder)
+    run()
+    return _real(spark.read.parquet(f"{out}/rows"), "traffic_event_ts")
+
+
+def stream_without_resends(spark, sf):
+    """Readings sent twice with the same time are kept once."""
+    out = work_dir(spark, "resends")
+    refined = _refined_paths(spark, sf)[1]
+    aq = spark.read.parquet(refined)
+    aq.write.parquet(f"{out}/in")
+    aq.write.mode("append").parquet(f"{out}/in")
+    stream = read_table_stream(stream_session(spark), f"{out}/in", aq.schema, 100)
+    once = flow.without_resends(stream, ["aq_source", "aq_location_id", "aq_pm25_ugm3"], "aq_event_ts", CFG.watermark_delay)
+    finish(write_stream_parquet(once, f"{out}/rows", f"{out}/ckpt", trigger=ONCE))
+    rows = _real(spark.read.parquet(f"{out}/rows"), "aq_event_ts")
+    return rows.select("aq_source", "aq_location_id", "aq_event_ts", "aq_pm25_ugm3")
+
+
+def stream_progress(spark, sf):
+    """Progress rows of one run of the business query."""
+    out = work_dir(spark, "progress")
+    session = stream_session(spark)
+    lookup = session.read.parquet(feeds.stored(spark, sf, "lookup", lambda: feeds.lookup(spark, sf)))
+    rows = flow.business_rows(flow.read_feeds(session, source(spark, sf), CFG), lookup, CFG)
+    query = write_business(rows, f"{out}/rows", f"{out}/ckpt", ONCE, name="business_progress")
+    finish(query)
+    return progress_rows(spark, query)
+
+
+QUERIES = {
+    "stream_enriched": (stream_enriched, on_business("SELECT * FROM business")),
+    "stream_quarantine": (
+        stream_quarantine,
+        """SELECT CASE event_type WHEN 'view' THEN 'nyc_traffic_raw' WHEN 'click' THEN 'nyc_openaq_raw'
+          WHEN 'error' THEN 'nyc_purpleair_raw' ELSE 'nyc_weather_raw' END AS source_topic,
+          ts + INTERVAL 20 SECOND AS kafka_timestamp, '{"event": ' || event_id || ', "cut": "' AS raw_payload
+        FROM events WHERE event_type IN ('view', 'click', 'error', 'signup') AND event_id % 10 = 0""",
+    ),
+    "stream_raw_traffic": (
+        stream_raw_traffic,
+        upto("traffic_raw", "SELECT id, borough, arrived AS kafka_timestamp, true AS payload_kept FROM traffic_raw"),
+    ),
+    "stream_refined_aq": (
+        stream_refined_aq,
+        upto("aq", "SELECT aq_source, aq_location_id, aq_event_ts, cell AS h3_index, pm25 AS aq_pm25_ugm3 FROM aq"),
+    ),
+    "stream_interval_inner": (
+        stream_interval_inner,
+        upto(
+            "aq",
+            """SELECT id AS traffic_id, t.cell AS h3_index, event_ts AS traffic_event_ts, aq_event_ts,
+            speed AS traffic_speed, pm25 AS aq_pm25_ugm3 FROM traffic t JOIN aq ON t.cell = aq.cell
+            AND aq_event_ts >= event_ts - INTERVAL 15 MINUTE AND aq_event_ts <= event_ts + INTERVAL 15 MINUTE""",
+        ),
+    ),
+    "stream_restart": (
+        stream_restart,
+        upto(
+            "weather",
+            """SELECT id, event_ts AS traffic_event_ts, weather_event_ts, weather_temperature FROM traffic
+            LEFT JOIN weather ON weather_event_ts >= event_ts - INTERVAL 15 MINUTE
+            AND weather_event_ts <= event_ts + INTERVAL 15 MINUTE""",
+        ),
+    ),
+    "stream_without_resends": (
+        stream_without_resends,
+        upto("aq", "SELECT DISTINCT aq_source, aq_location_id, aq_event_ts, pm25 AS aq_pm25_ugm3 FROM aq"),
+    ),
+    "stream_progress": (stream_progress, None),
+}
+
+__all__ = ["QUERIES", "message_files", "stream_session", "whole_flow"]

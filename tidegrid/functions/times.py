@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,7 +48,8 @@ def time_bin(ts: Column, seconds: int) -> Column:
 
 
 def interval(seconds: float) -> Column:
-    return F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
+    # A literal, which streaming joins need to derive state eviction.
+    return F.lit(timedelta(seconds=seconds))
 
 
 def since(ts: Column, as_of: Column, seconds: int) -> Column:

@@ -48,6 +48,10 @@ def interval_join(
     if extra is not None and how != "inner":
         raise ValueError("an extra predicate needs an inner join")
 
+    clash = (set(left.columns) & set(right.columns)) - set(keys)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+
     out_columns = left.columns + [c for c in right.columns if c not in keys]
     left = left.withColumn(BUCKET, slot(F.col(left_ts), bucket_width(before, after)))
     right = bucket_right(right, right_ts, before, after)

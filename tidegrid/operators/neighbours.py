@@ -13,8 +13,9 @@ _FACTOR = 4
 _LEVELS = 16  # finest cell is about 5e-7 degrees wide
 
 
-def _width(level: Column) -> Column:
-    return F.lit(_SPAN) / F.pow(F.lit(float(_FACTOR)), level)
+def _cell(v: Column, level: Column) -> Column:
+    # Shifted, so that the two signs do not fall into different level-0 cells.
+    return F.floor((v + F.lit(_SPAN / 2)) / (F.lit(_SPAN) / F.pow(F.lit(float(_FACTOR)), level)))
 
 
 def nearest_point(points: DataFrame, point_id: str, lon: str, lat: str) -> DataFrame:
@@ -60,7 +61,7 @@ def _nearest_other(probes: DataFrame, spots: DataFrame) -> DataFrame:
     levels = F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1)))
     on_level = (
         spots.withColumn("_l", levels)
-        .withColumns({"_cx": F.floor(F.col("_x") / _width(F.col("_l"))), "_cy": F.floor(F.col("_y") / _width(F.col("_l")))})
+        .withColumns({"_cx": _cell(F.col("_x"), F.col("_l")), "_cy": _cell(F.col("_y"), F.col("_l"))})
     )
     cell = ["_l", "_cx", "_cy"]
     lonely = (
@@ -85,8 +86,8 @@ def _nearest_other(probes: DataFrame, spots: DataFrame) -> DataFrame:
             F.col("_x").alias("_px"),
             F.col("_y").alias("_py"),
             "_l",
-            (F.floor(F.col("_x") / _width(F.col("_l"))) + F.col("_o.i")).alias("_cx"),
-            (F.floor(F.col("_y") / _width(F.col("_l"))) + F.col("_o.j")).alias("_cy"),
+            (_cell(F.col("_x"), F.col("_l")) + F.col("_o.i")).alias("_cx"),
+            (_cell(F.col("_y"), F.col("_l")) + F.col("_o.j")).alias("_cy"),
         )
     )
     distance = planar_distance(F.col("_px"), F.col("_py"), F.col("_x"), F.col("_y"))

@@ -191,14 +191,10 @@ def cell_flags(
     """Cell -> static flags, any-true over **all** distinct points of a cell.
 
     The three layers are matched independently and their hits united, so a point
-    in many zones and near many lines does not multiply rows.
+    in many zones and near many lines does not multiply rows. ``points`` is read
+    once per layer: pass a stored table of distinct points, not a raw topic.
     """
-    spots = (
-        points.where(F.col(cell).isNotNull())
-        .groupBy(lon, lat)
-        .agg(F.first(cell).alias(cell))
-        .withColumn("_spot", F.struct(lon, lat))
-    )
+    spots = points.where(F.col(cell).isNotNull()).select(lon, lat, cell).distinct().withColumn("_spot", F.struct(lon, lat))
     emitting = sites.where(F.col("measure") > cfg.high_emission)
     none = {f: F.lit(False) for f in FLAGS}
     hits = (

@@ -104,6 +104,9 @@ def refined_interval_stream(
         F.col("traffic_event_ts").isNotNull() & F.col("h3_index").isNotNull() & F.col("id").isNotNull()
     )
     aq = aq.na.drop(subset=["aq_event_ts", "h3_index", "aq_location_id", "aq_pm25_ugm3"])
+    # Only what the result needs: everything else would sit in the state.
+    traffic = traffic.select("id", "h3_index", "traffic_event_ts", "speed")
+    aq = aq.select("h3_index", "aq_event_ts", "aq_pm25_ugm3")
     delay = f"{minutes} minutes"
     joined = interval_join(
         with_event_time(traffic, "traffic_event_ts", delay), with_event_time(aq, "aq_event_ts", delay),
