@@ -64,7 +64,7 @@ def points(spark: SparkSession, sf_dir: str, *kinds: str, edge_m: float = CFG.he
         "event_id", "user_id", "event_type", "value",
         F.col("ts").cast("timestamp").alias("ts"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-        lat.alias("lat"), lon.alias("lon"), hex_cell(lat, lon, edge_m).alias("cell"),
+        lat.alias("lat"), lon.alias("lon"), hex_cell(lat, lon, edge_m, checked=True).alias("cell"),
     )
 
 

@@ -110,8 +110,8 @@ def quarantine_search(spark, sf):
 
 @query(upto("aq_typed", "SELECT aq_source, aq_location_id, aq_location_name, aq_event_ts, lat AS aq_lat, lon AS aq_lon, pm25 AS aq_pm25_ugm3, aq_temperature, aq_humidity FROM aq_typed"))
 def contract_coalesce(spark, sf):
-    aq = refine.type_air_quality(feeds.feed(spark, sf, "openaq"), feeds.feed(spark, sf, "purpleair"), CFG)
-    return aq.drop("kafka_timestamp", "h3_index")
+    aq = refine.type_air_quality(feeds.feed(spark, sf, "openaq"), feeds.feed(spark, sf, "purpleair"))
+    return aq.drop("kafka_timestamp")
 
 
 @query(upto("ev", "SELECT event_id, lat, lon FROM ev"))
@@ -343,7 +343,7 @@ def radius_filter(spark, sf):
 )
 def dq_report(spark, sf):
     traffic = refine.type_traffic(feeds.feed(spark, sf, "traffic"), CFG)
-    aq = refine.type_air_quality(feeds.feed(spark, sf, "openaq"), feeds.feed(spark, sf, "purpleair"), CFG)
+    aq = refine.type_air_quality(feeds.feed(spark, sf, "openaq"), feeds.feed(spark, sf, "purpleair"))
     reports = [
         quality.dq_report(df, rules).select(F.lit(name).alias("feed"), "*")
         for name, df, rules in (("traffic", traffic, quality.traffic_rules(CFG)), ("air_quality", aq, quality.aq_rules(CFG)))
@@ -662,6 +662,12 @@ def dedup_first(spark, sf):
     return tables.dedup_first(e, ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
 
 
+@query("SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, time_bucket(INTERVAL 1 HOUR, ts) ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def thin_readings(spark, sf):
+    e = feeds.points(spark, sf).select("user_id", "event_id", "ts")
+    return tables.thin_readings(e, ["user_id"], "ts", 3600, "event_id")
+
+
 @query("SELECT user_id, event_type, n FROM (SELECT user_id, event_type, count(*) AS n, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type) AS rn FROM events GROUP BY 1, 2) WHERE rn = 1")
 def mode_per_group(spark, sf):
     return tables.mode_per_group(feeds.table(spark, sf, "events"), "user_id", "event_type", "n")

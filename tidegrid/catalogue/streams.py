@@ -14,7 +14,7 @@ from tidegrid.catalogue.oracle import on_business, upto
 from tidegrid.config import TOPICS
 from tidegrid.operators.joins import interval_join
 from tidegrid.plans.refine import refine_weather
-from tidegrid.session import ROCKSDB, use_utc, work_dir
+from tidegrid.session import STATE_CONF, use_utc, work_dir
 from tidegrid.sinks.streams import ONCE, checkpoint_path, write_business, write_stream_parquet
 from tidegrid.sources.tables import PARTITION, read_table_stream
 from tidegrid.sources.topics import TopicSource, read_topic_stream
@@ -27,10 +27,12 @@ REAL_BEFORE = "2099-01-01"
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """State in RocksDB; the settings stay within this session."""
-    session = spark.newSession()
-    use_utc(session)
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Own session for state settings: at most one state partition per core, frozen in the checkpoint."""
+    session = use_utc(spark.newSession())
+    for name, value in STATE_CONF.items():
+        session.conf.set(name, value)
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", min(wanted, max(8, spark.sparkContext.defaultParallelism)))
     return session
 
 

@@ -27,17 +27,22 @@ def project(lat: Column, lon: Column, cfg: Settings = _DEFAULT) -> tuple[Column,
 
 
 def axial(lat: Column, lon: Column, edge_m: float, cfg: Settings = _DEFAULT) -> tuple[Column, Column]:
-    """Axial (q, r) of the pointy-top hexagon around a point."""
+    """Axial (q, r) of the pointy-top hexagon around a point.
+
+    Both coordinates are rounded; the one that was cut further is then moved by
+    one step where the other's rest calls for it. No branches, so generated code
+    computes the shared parts once.
+    """
     x, y = project(lat, lon, cfg)
     edge = F.lit(float(edge_m))
     q = (F.sqrt(F.lit(3.0)) / F.lit(3.0) * x - y / F.lit(3.0)) / edge
     r = (F.lit(2.0) * y / F.lit(3.0)) / edge
-    s = -q - r
-    rq, rr, rs = (F.floor(v + F.lit(0.5)).cast("double") for v in (q, r, s))
-    dq, dr, ds = F.abs(rq - q), F.abs(rr - r), F.abs(rs - s)
-    q_worst = (dq > dr) & (dq > ds)
-    q_cell = F.when(q_worst, -rr - rs).otherwise(rq)
-    r_cell = F.when(~q_worst & (dr > ds), -rq - rs).otherwise(rr)
+    half = F.lit(0.5)
+    q0, r0 = F.floor(q + half), F.floor(r + half)
+    dq, dr = q - q0, r - r0
+    q_further = (F.abs(dq) >= F.abs(dr)).cast("bigint")
+    q_cell = q0 + F.floor(dq + half * dr + half) * q_further
+    r_cell = r0 + F.floor(dr + half * dq + half) * (F.lit(1) - q_further)
     # bigint: a double can be -0.0, whose text differs from 0 and would split a cell.
     return q_cell.cast("bigint"), r_cell.cast("bigint")
 
@@ -46,10 +51,18 @@ def cell_id(q: Column, r: Column, edge_m: float) -> Column:
     return F.concat_ws("_", F.lit(f"hx{int(edge_m)}"), q.cast("string"), r.cast("string"))
 
 
-def hex_cell(lat: Column, lon: Column, edge_m: float, cfg: Settings = _DEFAULT) -> Column:
-    """Cell id of a point; NULL when a coordinate is NULL or not on the globe."""
-    on_globe = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
-    return F.when(on_globe, cell_id(*axial(lat, lon, edge_m, cfg), edge_m))
+def hex_cell(
+    lat: Column, lon: Column, edge_m: float, cfg: Settings = _DEFAULT, checked: bool = False
+) -> Column:
+    """Cell id of a point; NULL when a coordinate is NULL or not on the globe.
+
+    ``checked`` says that the coordinates were filtered before. The result is
+    then known not to be NULL, which spares joins a second evaluation to test it.
+    """
+    cell = cell_id(*axial(lat, lon, edge_m, cfg), edge_m)
+    if checked:
+        return cell
+    return F.when(lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0), cell)
 
 
 def cell_axial(cell: Column) -> tuple[Column, Column]:

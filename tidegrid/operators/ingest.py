@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,7 +141,7 @@ def within_bbox(df: DataFrame, lat: str, lon: str, box: Box) -> DataFrame:
 def within_radius(df: DataFrame, lat: str, lon: str, centre: tuple[float, float], metres: float) -> DataFrame:
     """Points within a great-circle radius; a latitude band is tested first, which the scan can push down."""
     c_lat, c_lon = centre
-    reach = metres / EARTH_M * 57.29577951308232 * 1.000001
+    reach = math.degrees(metres / EARTH_M) * 1.000001
     band = F.col(lat).between(c_lat - reach, c_lat + reach)
     exact = haversine_m(F.lit(c_lat), F.lit(c_lon), F.col(lat), F.col(lon)) <= metres
     return df.where(band & exact)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -112,26 +113,28 @@ def enrich_lookup(
     return main.join(table, F.col(key) == F.col("_lookup"), "left").drop("_lookup").withColumns(filled)
 
 
-def _cover(lat: Column, lon: Column, metres: float, cells: int, lat_deg: float) -> Column:
-    """Grid cells that a circle around a point can touch, anywhere on the globe.
+def _cover(df: DataFrame, lat: Column, lon: Column, metres: float, cells: int, lat_deg: float) -> DataFrame:
+    """Copies each row to the grid cells that a circle around its point can touch, anywhere on the globe.
 
     Latitude is cut in rows of ``lat_deg``, longitude in ``cells`` columns that
     wrap around. Near a pole the circle may cover all columns.
     """
     angle = metres / EARTH_M
-    reach_lat = F.lit(angle * 57.29577951308232 * 1.000001)
+    reach_lat = F.lit(math.degrees(angle) * 1.000001)
     sin_ratio = F.sin(F.lit(angle)) / F.cos(F.radians(lat))
     all_round = (F.abs(lat) + reach_lat >= 90.0) | (sin_ratio >= 1.0)
     reach_lon = F.when(all_round, F.lit(180.0)).otherwise(
         F.degrees(F.asin(F.least(sin_ratio, F.lit(1.0)))) * F.lit(1.000001)
     )
     step = F.lit(360.0 / cells)
-    rows = F.sequence(F.floor((lat - reach_lat) / F.lit(lat_deg)), F.floor((lat + reach_lat) / F.lit(lat_deg)))
+    low, high = (F.floor((lat + s * reach_lat) / F.lit(lat_deg)) for s in (-1, 1))
     first = F.floor((lon - reach_lon + 180.0) / step)
+    # Not more than one round, so no column comes twice.
     last = F.least(F.floor((lon + reach_lon + 180.0) / step), first + F.lit(cells - 1))
-    cols = F.array_distinct(F.transform(F.sequence(first, last), lambda c: F.pmod(c, F.lit(cells)).cast("bigint")))
-    return F.flatten(
-        F.transform(rows, lambda y: F.transform(cols, lambda x: F.struct(y.alias("gy"), x.alias("gx"))))
+    return (
+        df.withColumn("_gy", F.explode(F.sequence(low, high)))
+        .withColumn("_gx", F.explode(F.sequence(first, last)))
+        .withColumn("_gx", F.pmod("_gx", F.lit(cells)).cast("bigint"))
     )
 
 
@@ -152,7 +155,7 @@ def distance_time_join(
     column names.
     """
     # Cells four times as wide as the search circle: most right rows touch one or two.
-    lat_deg = max(metres / EARTH_M * 57.29577951308232 * 8, 1e-6)
+    lat_deg = max(math.degrees(metres / EARTH_M) * 8, 1e-6)
     cells = max(int(360.0 / lat_deg), 1)
     (l_lat, l_lon), (r_lat, r_lon) = ((F.col(a), F.col(b)) for a, b in (left_point, right_point))
     located = left.where(l_lat.isNotNull() & l_lon.isNotNull()).withColumns(
@@ -161,12 +164,7 @@ def distance_time_join(
             "_gx": F.pmod(F.floor((l_lon + 180.0) / F.lit(360.0 / cells)), F.lit(cells)).cast("bigint"),
         }
     )
-    copied = (
-        right.where(r_lat.isNotNull() & r_lon.isNotNull())
-        .withColumn("_c", F.explode(_cover(r_lat, r_lon, metres, cells, lat_deg)))
-        .withColumns({"_gy": F.col("_c.gy"), "_gx": F.col("_c.gx")})
-        .drop("_c")
-    )
+    copied = _cover(right.where(r_lat.isNotNull() & r_lon.isNotNull()), r_lat, r_lon, metres, cells, lat_deg)
     near = haversine_m(l_lat, l_lon, r_lat, r_lon) <= metres
     return interval_join(
         located, copied, ["_gy", "_gx"], left_ts, right_ts, seconds, seconds, extra=near

@@ -20,7 +20,9 @@ def parse_json(topic: DataFrame, schema: StructType) -> DataFrame:
         F.col("topic").alias("source_topic"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.col("value").cast("string").alias("raw_payload"),
-        F.from_json(F.col("value").cast("string"), target, options).alias("payload"),
+        # Filters on the payload cannot be moved below a generator, so each text is parsed once,
+        # not once more per filter that looks at the result.
+        F.explode(F.array(F.from_json(F.col("value").cast("string"), target, options))).alias("payload"),
     )
 
 

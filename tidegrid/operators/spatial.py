@@ -61,14 +61,11 @@ def _bucket_points(points: DataFrame, lon: str, lat: str, size: float) -> DataFr
     return points.withColumns({"_gx": _bucket(F.col(lon), size), "_gy": _bucket(F.col(lat), size)})
 
 
-def _box_buckets(x1: Column, x2: Column, y1: Column, y2: Column, size: float) -> Column:
-    xs = F.sequence(_bucket(x1, size), _bucket(x2, size))
-    ys = F.sequence(_bucket(y1, size), _bucket(y2, size))
-    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("_gx"), y.alias("_gy")))))
-
-
-def _unpack(df: DataFrame, buckets: Column) -> DataFrame:
-    return df.withColumn("_b", F.explode(buckets)).withColumns({"_gx": F.col("_b._gx"), "_gy": F.col("_b._gy")}).drop("_b")
+def _copy_to_buckets(df: DataFrame, x1: Column, x2: Column, y1: Column, y2: Column, size: float) -> DataFrame:
+    """Each row copied to all buckets that its box touches."""
+    return df.withColumn("_gx", F.explode(F.sequence(_bucket(x1, size), _bucket(x2, size)))).withColumn(
+        "_gy", F.explode(F.sequence(_bucket(y1, size), _bucket(y2, size)))
+    )
 
 
 def _outer(points: DataFrame, hits: DataFrame, point_id: str, how: str) -> DataFrame:
@@ -93,7 +90,7 @@ def points_in_zones(
     layer = layer.withColumns(
         {"_x1": F.array_min(x1), "_x2": F.array_max(x1), "_y1": F.array_min(x2), "_y2": F.array_max(x2)}
     )
-    layer = _unpack(layer, _box_buckets(F.col("_x1"), F.col("_x2"), F.col("_y1"), F.col("_y2"), size))
+    layer = _copy_to_buckets(layer, F.col("_x1"), F.col("_x2"), F.col("_y1"), F.col("_y2"), size)
     px, py = F.col(lon), F.col(lat)
     in_box = px.between(F.col("_x1"), F.col("_x2")) & py.between(F.col("_y1"), F.col("_y2"))
     hits = (
@@ -134,15 +131,14 @@ def near_lines(
     steps = F.greatest(F.ceil(F.greatest(F.abs(x2 - x1), F.abs(y2 - y1)) / F.lit(size)), F.lit(1))
     pad = F.lit(degrees * 1.000001)
 
-    def piece(i: Column) -> Column:
-        ax, ay = x1 + (x2 - x1) * i / steps, y1 + (y2 - y1) * i / steps
-        bx, by = x1 + (x2 - x1) * (i + 1) / steps, y1 + (y2 - y1) * (i + 1) / steps
-        return _box_buckets(
-            F.least(ax, bx) - pad, F.greatest(ax, bx) + pad, F.least(ay, by) - pad, F.greatest(ay, by) + pad, size
-        )
-
-    claimed = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), steps.cast("int") - 1), piece)))
-    layer = _unpack(segments, claimed)
+    # One row per step of a segment, in the buckets the step touches; a bucket keeps a segment once.
+    i = F.col("_i")
+    ax, ay, bx, by = (v + d * n / steps for v, d, n in ((x1, x2 - x1, i), (y1, y2 - y1, i), (x1, x2 - x1, i + 1), (y1, y2 - y1, i + 1)))
+    walked = segments.withColumn("_i", F.explode(F.sequence(F.lit(0), steps.cast("int") - 1)))
+    layer = _copy_to_buckets(
+        walked, F.least(ax, bx) - pad, F.greatest(ax, bx) + pad, F.least(ay, by) - pad, F.greatest(ay, by) + pad, size
+    )
+    layer = layer.drop("_i").distinct()
     px, py = F.col(lon), F.col(lat)
     hits = (
         _bucket_points(points.select(point_id, lon, lat), lon, lat, size)
@@ -163,9 +159,8 @@ def near_sites(
     size = size or max(degrees * 10, 1e-6)
     pad = F.lit(degrees * 1.000001)
     sx, sy = F.col("site_lon"), F.col("site_lat")
-    layer = _unpack(
-        sites.where(sx.isNotNull() & sy.isNotNull()), _box_buckets(sx - pad, sx + pad, sy - pad, sy + pad, size)
-    )
+    located = sites.where(sx.isNotNull() & sy.isNotNull())
+    layer = _copy_to_buckets(located, sx - pad, sx + pad, sy - pad, sy + pad, size)
     hits = (
         _bucket_points(points, lon, lat, size)
         .join(layer, _GRID)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegrid.functions.stats import rounded
+from tidegrid.functions.times import time_bin
 
 
 def union_contract(*dfs: DataFrame) -> DataFrame:
@@ -24,6 +25,12 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return df.groupBy(*keys).agg(first).select(*(c if c in keys else F.col(f"_first.{c}") for c in df.columns))
 
 
+def thin_readings(df: DataFrame, keys: Sequence[str], ts: str, seconds: int, *tie: str) -> DataFrame:
+    """First reading per key and time bin: for feeds that stamp an unchanged value anew at each poll."""
+    binned = df.withColumn("_bin", time_bin(F.col(ts), seconds))
+    return dedup_first(binned, [*keys, "_bin"], [ts, *tie]).drop("_bin")
+
+
 def mode_per_group(df: DataFrame, group: str, value: str, count: str) -> DataFrame:
     """Most frequent value per group and its row count; ties go to the smaller value."""
     counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias(count))

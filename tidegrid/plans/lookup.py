@@ -19,7 +19,7 @@ def lookup_points(link_points: DataFrame, cfg: Settings = Settings()) -> DataFra
         link_points.select(lat.alias("traffic_lat"), lon.alias("traffic_lon"))
         .where(in_box(F.col("traffic_lat"), F.col("traffic_lon"), cfg.box))
         .distinct()
-        .withColumn("h3_index", hex_cell(F.col("traffic_lat"), F.col("traffic_lon"), cfg.hex_edge_m, cfg))
+        .withColumn("h3_index", hex_cell(F.col("traffic_lat"), F.col("traffic_lon"), cfg.hex_edge_m, cfg, checked=True))
     )
 
 

@@ -27,16 +27,13 @@ def type_traffic(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 
 def refine_traffic(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """The box filter leaves only points that have a cell."""
     clean = keep_clean(type_traffic(raw, cfg), traffic_rules(cfg))
-    cell = hex_cell(F.col("traffic_lat"), F.col("traffic_lon"), cfg.hex_edge_m, cfg)
-    return (
-        clean.withColumn("h3_index", cell)
-        .where(F.col("h3_index").isNotNull())
-        .withWatermark("traffic_event_ts", cfg.watermark_delay)
-    )
+    cell = hex_cell(F.col("traffic_lat"), F.col("traffic_lon"), cfg.hex_edge_m, cfg, checked=True)
+    return clean.withColumn("h3_index", cell).withWatermark("traffic_event_ts", cfg.watermark_delay)
 
 
-def _aq(raw: DataFrame, source: str, ident, name, ts, lat, lon, pm25, temperature, humidity, cfg: Settings) -> DataFrame:
+def _aq(raw: DataFrame, source: str, ident, name, ts, lat, lon, pm25, temperature, humidity) -> DataFrame:
     return raw.select(
         text.or_default(F.col("source"), source).alias("aq_source"),
         ident.alias("aq_location_id"),
@@ -45,14 +42,13 @@ def _aq(raw: DataFrame, source: str, ident, name, ts, lat, lon, pm25, temperatur
         "kafka_timestamp",
         lat.alias("aq_lat"),
         lon.alias("aq_lon"),
-        hex_cell(lat, lon, cfg.hex_edge_m, cfg).alias("h3_index"),
         pm25.alias("aq_pm25_ugm3"),
         temperature.cast("double").alias("aq_temperature"),
         humidity.cast("double").alias("aq_humidity"),
     )
 
 
-def type_openaq(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+def type_openaq(raw: DataFrame) -> DataFrame:
     return _aq(
         raw, "openaq",
         text.first_known(F.col("sensor_id"), F.col("location_id").cast("string"), F.col("location_name")),
@@ -61,11 +57,11 @@ def type_openaq(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         text.first_known(F.col("lat"), F.col("latitude")),
         text.first_known(F.col("lon"), F.col("longitude")),
         text.first_known(F.col("pm25"), F.col("value")),
-        F.lit(None), F.lit(None), cfg,
+        F.lit(None), F.lit(None),
     )
 
 
-def type_purpleair(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+def type_purpleair(raw: DataFrame) -> DataFrame:
     return _aq(
         raw, "purpleair",
         text.first_known(F.col("sensor_id"), F.col("name")),
@@ -74,18 +70,19 @@ def type_purpleair(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         text.first_known(F.col("lat"), F.col("latitude")),
         text.first_known(F.col("lon"), F.col("longitude")),
         text.first_known(F.col("pm25"), F.col("`pm2.5_10minute`")),
-        F.col("temperature"), F.col("humidity"), cfg,
+        F.col("temperature"), F.col("humidity"),
     )
 
 
-def type_air_quality(openaq: DataFrame, purpleair: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    return union_contract(type_openaq(openaq, cfg), type_purpleair(purpleair, cfg))
+def type_air_quality(openaq: DataFrame, purpleair: DataFrame) -> DataFrame:
+    return union_contract(type_openaq(openaq), type_purpleair(purpleair))
 
 
 def refine_air_quality(openaq: DataFrame, purpleair: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """One watermark, set after the union: a second one on the same stream is not allowed."""
-    clean = keep_clean(type_air_quality(openaq, purpleair, cfg), aq_rules(cfg))
-    return clean.where(F.col("h3_index").isNotNull()).withWatermark("aq_event_ts", cfg.watermark_delay)
+    clean = keep_clean(type_air_quality(openaq, purpleair), aq_rules(cfg))
+    cell = hex_cell(F.col("aq_lat"), F.col("aq_lon"), cfg.hex_edge_m, cfg, checked=True)
+    return clean.withColumn("h3_index", cell).withWatermark("aq_event_ts", cfg.watermark_delay)
 
 
 def refine_weather(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on local disk, and only its changes written to the checkpoint per batch.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 _local_root: dict[str, str] = {}
 
@@ -30,7 +34,7 @@ def build_session(app: str = "tidegrid", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "snappy",
         "spark.sql.streaming.statefulOperator.allowMultiple": "true",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        **STATE_CONF,
         **conf,
     }
     for name, value in settings.items():
