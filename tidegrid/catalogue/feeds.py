@@ -20,7 +20,7 @@ from tidegrid.sinks.streams import with_event_date
 from tidegrid.sources.tables import PARTITION
 from tidegrid.streaming.flow import Feeds, parse_feeds
 
-CFG = Settings(hex_edge_m=10000.0)
+CFG = Settings(hex_edge_m=10000.0, aq_salt=2, weather_salt=4)
 
 # Corners (lon, lat offsets) of one zone: an L-shaped outline and a square hole.
 ZONE_RINGS = (

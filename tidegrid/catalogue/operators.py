@@ -49,8 +49,11 @@ def aq_points(spark, sf):
 
 
 def sensors(spark, sf):
-    """Distinct positions with their user id."""
-    return feeds.points(spark, sf).select("user_id", "lat", "lon", "cell").distinct()
+    """Distinct positions with their user id, stored: the operators below read them more than once."""
+    def build():
+        return feeds.points(spark, sf).select("user_id", "lat", "lon", "cell").distinct()
+
+    return spark.read.parquet(feeds.stored(spark, sf, "sensors", build))
 
 
 _T = "(SELECT event_id AS t_id, ts AS t_ts, value AS speed, lat AS t_lat, lon AS t_lon, cell, user_id FROM ev WHERE event_type = 'view') t"

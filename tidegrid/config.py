@@ -52,6 +52,7 @@ class Settings:
     skew: Skew = field(default_factory=Skew)
 
 
+# Topic names by feed.
 TOPICS = {
     "traffic": "nyc_traffic_raw",
     "openaq": "nyc_openaq_raw",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.config import REGION_CENTRES, Box
@@ -147,5 +147,6 @@ def within_radius(df: DataFrame, lat: str, lon: str, centre: tuple[float, float]
     return df.where(band & exact)
 
 
-def regions_dim(spark) -> DataFrame:
-    return spark.createDataFrame(list(REGION_CENTRES), "name string, lat double, lon double")
+def regions_dim(spark: SparkSession) -> DataFrame:
+    rows = ", ".join(f"('{name}', {lat}D, {lon}D)" for name, lat, lon in REGION_CENTRES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS region(name, lat, lon)")

@@ -23,6 +23,7 @@ def nearest_point(points: DataFrame, point_id: str, lon: str, lat: str) -> DataF
 
     Ties go to the smallest id; a single point has no neighbour (NULL). Ids are
     unique. Several points may share a position: they are each other's nearest.
+    The points are read several times, so pass a stored table.
 
     Positions are looked at in ever finer square cells. On the finest level
     where a position still shares its cell with another one, the neighbour is at

@@ -19,6 +19,7 @@ def _schema(columns: str) -> StructType:
     return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Field names and types of the feeds and of the business table.
 TRAFFIC = _schema(
     "id string, status string, speed string, travel_time string, link_name string, borough string,"
     " from_street string, to_street string, data_as_of string, link_points string, encoded_poly_line string"
