@@ -60,6 +60,19 @@ def test_left_join_with_cut_hot_groups_equals_brute_force(spark, before, after):
     assert got == brute(left, right, before, after, "left")
 
 
+def test_equal_rows_are_divided_among_the_parts_and_come_back(spark):
+    t = [T0 + timedelta(seconds=s) for s in (0, 10, 5000)]
+    right = [("a", 1, t[0])] * 23 + [("a", 2, t[1])] * 2 + [("a", 3, t[1])] + [("b", 4, t[0])] * 3
+    left = [("a", 1, t[0]), ("a", 1, t[0]), ("a", 2, t[2]), ("b", 3, t[0])]
+    l, r = spark.createDataFrame(left, L), spark.createDataFrame(right, R)
+    hot = skew.find_hot(r, ["k"], "r_ts", 900, 900, Skew(hot_rows=5))
+    parts = skew._cut_right(skew.bucket_right(r, "r_ts", 900, 900), ["k", "_bucket"], hot)
+    largest = parts.groupBy("k", "_bucket", "_part_r").agg(F.sum("_times").alias("n")).agg(F.max("n")).first()[0]
+    assert largest < 10
+    got = interval_join(l, r, ["k"], "l_ts", "r_ts", 900, 900, "left", hot=hot).select("l_id", "r_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute(left, right, 900, 900, "left")
+
+
 def test_hot_groups_list_is_bounded_and_still_exact(spark):
     rng = random.Random(5)
     left, right = rows(rng, 60, ["a", "b"], 3000), rows(rng, 100, ["a", "b"], 3000)

@@ -13,7 +13,8 @@ from tidegrid.functions.geo import haversine_m
 from tidegrid.functions.hexgrid import EARTH_M
 from tidegrid.functions.times import interval, micros, slot
 from tidegrid.operators.skew import (
-    BUCKET, LEFT_PART, MICRO, RIGHT_PART, HotGroups, bucket_right, bucket_width, copies, cut_outer, row_part,
+    BUCKET, LEFT_PART, MICRO, RIGHT_PART, HotGroups, bucket_right, bucket_width, copies, cut_outer,
+    finish_cut, row_part,
 )
 
 
@@ -57,12 +58,12 @@ def interval_join(
     left = left.withColumn(BUCKET, slot(F.col(left_ts), bucket_width(before, after)))
     right = bucket_right(right, right_ts, before, after)
     join_keys = [*keys, BUCKET]
-    keep = None
+    cut = hot is not None and how == "left"
     if salt > 1:
         left = left.withColumn(LEFT_PART, row_part(left, F.lit(salt)))
         right = right.withColumn(LEFT_PART, copies(F.lit(salt)))
-    if hot is not None and how == "left":
-        left, right, keep = cut_outer(left, right, join_keys, left_ts, before, after, hot)
+    if cut:
+        left, right = cut_outer(left, right, join_keys, left_ts, before, after, hot)
         join_keys += [RIGHT_PART]
     if salt > 1:
         join_keys += [LEFT_PART]
@@ -77,8 +78,8 @@ def interval_join(
     if extra is not None:
         cond = cond & extra
     joined = left.join(other, cond, "leftOuter" if how == "left" else "inner")
-    if keep is not None:
-        joined = joined.where(keep)
+    if cut:
+        joined = finish_cut(joined)
     return joined.select(*(F.col(f"`{c}`") for c in out_columns))
 
 

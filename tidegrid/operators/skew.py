@@ -103,10 +103,32 @@ def find_hot(
     return HotGroups(right.sparkSession.createDataFrame(rows, schema))
 
 
+def _cut_right(right: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
+    """Right rows with their part, and in ``_times`` how many equal rows each stands for.
+
+    Equal rows have equal hashes and would all fall into one part. They are
+    counted first, which Spark combines on the map side, and their number is
+    divided among the parts; the copies come back after the join.
+    """
+    columns = right.columns
+    marked = right.join(F.broadcast(hot.table.drop("_spans")), list(keys), "left")
+    cold = marked.where(F.col("_parts").isNull()).select(
+        *columns, F.lit(0).alias(RIGHT_PART), F.lit(1).cast("bigint").alias("_times")
+    )
+    counted = marked.where(F.col("_parts").isNotNull()).groupBy(*columns, "_parts").agg(F.count(F.lit(1)).alias("_n"))
+    used = F.least(F.col("_parts"), F.col("_n")).cast("int")
+    own = F.pmod(F.xxhash64(*columns), F.col("_parts")).cast("int")
+    parts = F.when(F.col("_n") == 1, F.array(own)).otherwise(F.sequence(F.lit(0), used - 1))
+    share = F.floor(F.col("_n") / used) + (F.col(RIGHT_PART) < F.col("_n") % used).cast("bigint")
+    times = F.when(F.col("_n") == 1, F.lit(1)).otherwise(share).cast("bigint")
+    cut = counted.withColumn(RIGHT_PART, F.explode(parts)).withColumn("_times", times)
+    return cold.unionByName(cut.select(*columns, RIGHT_PART, "_times"))
+
+
 def cut_outer(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, before: float, after: float, hot: HotGroups
-) -> tuple[DataFrame, DataFrame, Column]:
-    """Both sides of a left outer join with a part column, and the filter to apply afterwards.
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a left outer join with a part column; ``finish_cut`` completes the result.
 
     Left rows of a cut group go to every part if they match at all, else to one
     part only. Whether they match is known beforehand: spans half as wide as the
@@ -114,18 +136,20 @@ def cut_outer(
     exactly if its largest time is not before and its smallest not after the
     row's window, because no span can hold both ends of the window.
     """
-    table = F.broadcast(hot.table)
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    r_part = row_part(right, parts)
-    right = right.join(F.broadcast(hot.table.drop("_spans")), list(keys), "left")
-    right = right.withColumn(RIGHT_PART, r_part).drop("_parts").withColumn("_hit", F.lit(True))
-
     lo, hi = micros(F.col(left_ts) - interval(before)), micros(F.col(left_ts) + interval(after))
     matches = F.coalesce(F.exists("_spans", lambda s: (s["hi"] >= lo) & (s["lo"] <= hi)), F.lit(False))
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
     left = (
-        left.join(table, list(keys), "left")
+        left.join(F.broadcast(hot.table), list(keys), "left")
         .withColumn("_everywhere", (parts > 1) & matches)
         .withColumn(RIGHT_PART, copies(F.when(F.col("_everywhere"), parts).otherwise(F.lit(1))))
         .drop("_parts", "_spans")
     )
-    return left, right, F.col("_hit").isNotNull() | ~F.col("_everywhere")
+    return left, _cut_right(right, keys, hot)
+
+
+def finish_cut(joined: DataFrame) -> DataFrame:
+    """Drops the misses of rows that matched in another part, and brings equal rows back."""
+    kept = joined.where(F.col("_times").isNotNull() | ~F.col("_everywhere"))
+    copies_of = F.sequence(F.lit(1).cast("bigint"), F.coalesce(F.col("_times"), F.lit(1)))
+    return kept.withColumn("_times", F.explode(copies_of))
