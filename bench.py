@@ -21,6 +21,7 @@ from tidegrid.catalogue import feeds, registry, streams
 from tidegrid.functions.geo import haversine_m
 from tidegrid.operators import joins, tables
 from tidegrid.plans.enrich import enrich
+from tidegrid.session import own_root
 
 SF = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -61,6 +62,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    own_root(spark)
     took: dict[str, float] = {}
     facts: dict[str, float] = {}
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegrid.catalogue import operators, reports, streams
-from tidegrid.session import without_zone
+from tidegrid.session import own_root, without_zone
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,7 +15,11 @@ _ALL: dict[str, tuple[Query, str | None]] = {**operators.QUERIES, **reports.QUER
 
 
 def _plain(query: Query) -> Query:
-    return lambda spark, sf_dir: without_zone(query(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        own_root(spark)
+        return without_zone(query(spark, sf_dir))
+
+    return run
 
 
 def queries() -> dict[str, Query]:

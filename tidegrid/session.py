@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +14,6 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_local_root: dict[str, str] = {}
-
 
 def build_session(app: str = "tidegrid", master: str | None = None, **conf: str) -> SparkSession:
     """Session for batch and streaming: UTC, AQE with skew joins, RocksDB state.
@@ -48,16 +45,26 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_root(spark: SparkSession) -> str | None:
+    """The folder that the cluster names for intermediate data, or None."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def own_root(spark: SparkSession) -> None:
+    """Names a folder in the warehouse for intermediate data where the session names none."""
+    if not shared_root(spark):
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``.
+    """A new folder below ``spark.checkpoint.dir``, which all executors must share.
 
-    Only where the session names none (tests on one machine) a temporary
-    folder takes its place.
+    Raises where the session names none: a machine-local folder would lose
+    rows on a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = shared_root(spark)
     if not root:
-        app = spark.sparkContext.applicationId
-        root = _local_root.setdefault(app, tempfile.mkdtemp(prefix="tidegrid-"))
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
