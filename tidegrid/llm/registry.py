@@ -7,17 +7,84 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import rules, simhash
-from tidegrid.llm.common import held_out, table
+from tidegrid.llm import decontaminate, mixing, rules, secrets, simhash, warc
+from tidegrid.llm.common import held_out, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Containment in SQL: all shingles of all documents against all shingles of all items.
+DECONTAMINATE_SQL = r"""
+WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w
+            FROM documents WHERE doc_id IS NOT NULL),
+iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(min(text), '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w
+       FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+       FROM dw WHERE len(w) > 0),
+s AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+      FROM iw WHERE len(w) > 0),
+n AS (SELECT item_id, count(*) AS n FROM s GROUP BY item_id)
+SELECT doc_id, item_id, count(*) / CAST(any_value(n) AS DOUBLE) AS contained
+FROM ds JOIN s USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING count(*) / CAST(any_value(n) AS DOUBLE) >= 0.8 - 1e-12
+"""
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = stored(mixing.with_sizes(docs.select("doc_id", "source", "text")).drop("text"), "sizes")
+    return mixing.assign(sized).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        F.col("_taken").alias("taken"),
+        F.round(F.get("_slots", F.lit(0))["position"], 6).alias("first_position"),
+    )
+
+
+#: The mix in SQL: the same order within a source, without ranges.
+MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s),
+w AS (SELECT *, CAST([3, 1, 2][rank % 3 + 1] AS DOUBLE) AS weight, [-0.5, 0.0, 0.5][rank % 3 + 1]::DOUBLE AS slope,
+             source_size * 2.0::DOUBLE AS bound FROM r),
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
+                 - coalesce(sum(bound) OVER (ORDER BY bound / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                / (sum(weight) OVER ()
+                 - coalesce(sum(weight) OVER (ORDER BY bound / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level
+      FROM w),
+f AS (SELECT max(level) AS level FROM (SELECT level FROM l WHERE bound > level * weight ORDER BY bound / weight, rank LIMIT 1)),
+t AS (SELECT source, source_size, slope,
+             CASE WHEN f.level IS NULL THEN bound ELSE least(bound, f.level * weight) END AS target FROM l, f),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.slope, CAST(round(t.target) AS BIGINT) AS goal,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin_at
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, greatest(least(size, goal - begin_at), 0) AS w0, greatest(least(size, goal - begin_at - source_size), 0) AS w1 FROM p),
+q AS (SELECT *, (begin_at + w0 / 2.0::DOUBLE) / greatest(goal, 1) AS share FROM k)
+SELECT doc_id, size, source_size, target, CAST(w0 + w1 AS BIGINT) AS taken,
+       CASE WHEN w0 > 0 THEN round(CASE WHEN slope = 0 THEN share
+         ELSE 2 * share / ((1 - slope) + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * share, 0))) END, 6) END AS first_position
+FROM q
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = rules.train(docs, table(spark, sf_dir, "labels"))
@@ -29,9 +96,28 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest),
+r AS (SELECT p.*, CASE WHEN f.first IS NOT NULL AND p.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+      FROM p LEFT JOIN f USING (payload_digest))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, url
+FROM r
+"""
+
+
 _ALL: dict[str, tuple[Query, str | None]] = {
+    "op1_decontaminate": (op1_decontaminate, DECONTAMINATE_SQL),
     "op3_simhash": (op3_simhash, None),
+    "op4_secrets": (op4_secrets, None),
+    "op5_mixing": (op5_mixing, MIXING_SQL),
     "op6_quality": (op6_quality, None),
+    "op10_warc": (op10_warc, WARC_SQL),
 }
 
 

@@ -219,4 +219,5 @@ def classify(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFra
 def kept_by_quality(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that score at least ``cut``, in its columns."""
     model = train(docs, labels)
-    return classify(docs, model, "_score").where(F.col("_score") >= cut).select(*(f"`{c}`" for c in docs.columns))
+    rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    return classify(rows, model, "_score").where(F.col("_score") >= cut).select("_row.*")
