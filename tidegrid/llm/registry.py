@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import decontaminate, mixing, rules, secrets, simhash, warc
+import corpus_pipeline
+from tidegrid.llm import decontaminate, language, mixing, neighbours, rules, secrets, simhash, tokens, warc
 from tidegrid.llm.common import held_out, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,10 @@ FROM ds JOIN s USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING
 """
 
 
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"), tokens.vocabulary())
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -96,6 +101,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.train(docs))
+    fold = held_out(F.col("doc_id"), language.FOLDS, language.FOLD)
+    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(spark, table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
@@ -113,11 +129,15 @@ FROM r
 
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_decontaminate": (op1_decontaminate, DECONTAMINATE_SQL),
+    "op2_tokens": (op2_tokens, None),
     "op3_simhash": (op3_simhash, None),
     "op4_secrets": (op4_secrets, None),
     "op5_mixing": (op5_mixing, MIXING_SQL),
     "op6_quality": (op6_quality, None),
+    "op8_neighbours": (op8_neighbours, None),
+    "op9_language": (op9_language, None),
     "op10_warc": (op10_warc, WARC_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
 
