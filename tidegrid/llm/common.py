@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +24,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
+def carried(columns: list[str]) -> list[Column]:
+    """The columns under numbered names, which clash with no name of an operator."""
+    return [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(columns)]
+
+
+def restored(columns: list[str]) -> list[Column]:
+    """The carried columns under their own names."""
+    return [F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)]
 
 
 def n_words(text: Column) -> Column:

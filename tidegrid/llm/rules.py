@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import WORD, held_out
+from tidegrid.llm.common import WORD, carried, held_out, restored
 
 FOLDS, FOLD, CUT = 5, 0, 0.3
 
@@ -219,5 +219,5 @@ def classify(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFra
 def kept_by_quality(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that score at least ``cut``, in its columns."""
     model = train(docs, labels)
-    rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
-    return classify(rows, model, "_score").where(F.col("_score") >= cut).select("_row.*")
+    rows = docs.select("text", *carried(docs.columns))
+    return classify(rows, model, "_score").where(F.col("_score") >= cut).select(*restored(docs.columns))
