@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidegrid.llm import decontaminate, language, mixing, neighbours, rules, secrets, simhash, tokens, warc
+from tidegrid.llm import decontaminate, language, lines, mixing, neighbours, rules, secrets, simhash, tokens, warc
 from tidegrid.llm.common import held_out, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +101,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
@@ -134,6 +138,7 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op4_secrets": (op4_secrets, None),
     "op5_mixing": (op5_mixing, MIXING_SQL),
     "op6_quality": (op6_quality, None),
+    "op7_lines": (op7_lines, None),
     "op8_neighbours": (op8_neighbours, None),
     "op9_language": (op9_language, None),
     "op10_warc": (op10_warc, WARC_SQL),
