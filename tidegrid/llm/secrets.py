@@ -146,15 +146,21 @@ _CYCLE = np.cumsum((0, *CLASSES))
 
 
 def windows(text: str) -> list[np.ndarray]:
-    """The text's ASCII letters cut into consecutive windows of the class lengths in turn: per class an array of rows."""
+    """The text's ASCII letters cut into consecutive windows of the class lengths in turn: per class an array of rows.
+
+    What the last turn leaves is cut into windows of the shortest length.
+    """
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
     letters = raw[_IS_LETTER[raw]]
     whole = len(letters) // _CYCLE[-1]
     block, rest = letters[: whole * _CYCLE[-1]].reshape(whole, _CYCLE[-1]), letters[whole * _CYCLE[-1] :]
-    out = []
-    for a, b in zip(_CYCLE, _CYCLE[1:], strict=False):
-        last = rest[a:b].reshape(1, -1) if b <= len(rest) else rest[:0].reshape(0, b - a)
-        out.append(np.vstack([block[:, a:b], last]))
+    fitting = int(np.searchsorted(_CYCLE, len(rest), side="right")) - 1  # windows of the last, broken turn
+    out = [block[:, a:b] for a, b in zip(_CYCLE, _CYCLE[1:], strict=False)]
+    for k in range(fitting):
+        out[k] = np.vstack([out[k], rest[None, _CYCLE[k] : _CYCLE[k + 1]]])
+    tail = rest[_CYCLE[fitting] :]
+    n = len(tail) // CLASSES[0]
+    out[0] = np.vstack([out[0], tail[: n * CLASSES[0]].reshape(n, CLASSES[0])])
     return out
 
 
