@@ -219,5 +219,7 @@ def classify(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFra
 def kept_by_quality(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that score at least ``cut``, in its columns."""
     model = train(docs, labels)
-    rows = docs.select("text", *carried(docs.columns))
-    return classify(rows, model, "_score").where(F.col("_score") >= cut).select(*restored(docs.columns))
+    scored = classify(docs.select("text", *carried(docs.columns)), model, "_score")
+    # A generated column: a filter on the score itself would be taken below the features and repeat them for each rule.
+    scored = scored.withColumn("_kept", F.explode(F.array(F.col("_score") >= cut)))
+    return scored.where("_kept").select(*restored(docs.columns))
