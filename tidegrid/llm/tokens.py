@@ -13,8 +13,8 @@ bits and its block counts.
 
 from __future__ import annotations
 
-import itertools
 import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -181,47 +181,75 @@ class Shard:
         return self._wm
 
 
+# Letters up to U+024F (but one whose lower case is two characters), then ASCII marks other than the apostrophe:
+# normalising such a word is lower-casing its letters, and the tokenizer parts it just there.
+_PLAIN = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\[-`{-~]*)\Z")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
     """Whole texts by the tokenizer, words that occur again from memory.
 
     The tokenizer drops white space and never joins what it parts, so the ids
-    of a text are those of its words. Words are remembered up to a number; then
-    all are forgotten, so memory is bounded.
+    of a text are those of its words. A plain word's letters go straight to the
+    tokenizer's model, its marks and all other words through the whole
+    tokenizer. Words and letters are remembered up to a number; then all are
+    forgotten, so memory is bounded.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 700_000):
         from tokenizers import Tokenizer
 
-        self._tok, self._most, self._known = Tokenizer.from_file(path), most, {}
+        self._tok, self._most, self._known, self._stems = Tokenizer.from_file(path), most, {}, {}
+        self._letters = _byte_letters()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _stem(self, letters: str) -> bytes:
+        spelt = "".join([self._letters[b] for b in letters.encode()]) if not letters.isascii() else letters
+        return np.array([t.id for t in self._tok.model.tokenize(spelt)], dtype="<u4").tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
-        """Encodes the unknown words as one text; a token belongs to the word in which it starts."""
-        if len(self._known) > self._most:
-            self._known.clear()
-        new = [w for w in words if w not in self._known]
-        texts = [w.decode("utf-8", "replace") for w in new]
-        for at in range(0, len(new), 4096):
-            part = texts[at : at + 4096]
-            e = self._tok.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4")
-            starts = np.fromiter((o[0] for o in e.offsets), dtype=np.int64, count=len(ids))
-            ends = np.cumsum([len(t) + 1 for t in part])
-            cuts = np.searchsorted(starts, ends, side="left").tolist()
-            raw, last = ids.tobytes(), 0
-            for w, cut in zip(new[at : at + 4096], cuts, strict=True):
-                self._known[w] = raw[4 * last : 4 * cut]
-                last = cut
-
-    def encode(self, texts: Iterable[str | None], block: int = 64) -> Iterator[bytes]:
+        known, stems = self._known, self._stems
+        if len(known) + len(stems) > self._most:
+            known.clear()
+            stems.clear()
+        for w in words:
+            if w in known:
+                continue
+            text = w.decode("utf-8", "replace")
+            if not (m := _PLAIN.match(text)):
+                known[w] = self._whole(text)
+                continue
+            letters, marks = m[1].lower(), m[2]
+            ids = stems.get(letters)
+            if ids is None:
+                ids = stems[letters] = self._stem(letters)
+            if marks:
+                end = stems.get(marks)
+                if end is None:
+                    end = stems[marks] = self._whole(marks)
+                ids += end
+            known[w] = ids
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text and the end id, as little-endian unsigned 32-bit integers."""
         end = END_ID.to_bytes(4, "little")
-        texts = iter(texts)
-        while some := list(itertools.islice(texts, block)):
-            words = [(t or "").encode("utf-8", "replace").split() for t in some]
-            self._learn(set().union(*words))
-            known = self._known
-            for w in words:
-                yield b"".join([known[x] for x in w]) + end
+        for text in texts:
+            words = (text or "").encode("utf-8", "replace").split()
+            ids = list(map(self._known.get, words))
+            if None in ids:
+                self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
+                ids = [self._known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+            ids.append(end)
+            yield b"".join(ids)
 
 
 @lru_cache(maxsize=1)
