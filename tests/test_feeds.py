@@ -103,12 +103,53 @@ def test_openaq_locations_and_first_reading(spark):
     assert [r.location_name for r in bad.collect()] == ["unknown"]
 
 
-def test_incremental_mark(spark):
-    df = spark.createDataFrame([(i, datetime(2026, 5, 3, i)) for i in range(5)], "id int, ts timestamp")
-    batch, mark = ingest.incremental(df, "ts", None, 2, "id")
-    assert [r.id for r in batch.collect()] == [4, 3] and mark.first()[0] == datetime(2026, 5, 3, 4)
-    batch, mark = ingest.incremental(df, "ts", as_of_literal("2026-05-03 04:00:00"), 2)
-    assert batch.count() == 0 and mark.first()[0] == datetime(2026, 5, 3, 4)
+def test_incremental_takes_every_row_once(spark):
+    hours = [0, 1, 1, 1, 2, 3, 3, 4]
+    df = spark.createDataFrame([(i, datetime(2026, 5, 3, h)) for i, h in enumerate(hours)] + [(99, None)], "id int, ts timestamp")
+    mark, polls = None, []
+    for _ in range(10):
+        batch, after = ingest.incremental(df, "ts", mark and F.lit(mark).cast("timestamp"), 2)
+        polls.append(sorted(r.id for r in batch.collect()))
+        mark = after.select(F.date_format("next_mark", "yyyy-MM-dd HH:mm:ss")).first()[0]
+        if not polls[-1]:
+            break
+    # Two rows asked for, and all rows of the last time taken with them.
+    assert polls == [[0, 1, 2, 3], [4, 5, 6], [7], []] and mark == "2026-05-03 04:00:00"
+    batch, after = ingest.incremental(df, "ts", as_of_literal("2026-05-03 02:30:00"))
+    assert sorted(r.id for r in batch.collect()) == [5, 6, 7]
+    none, kept = ingest.incremental(df, "ts", as_of_literal("2026-05-03 09:00:00"), 5)
+    assert none.count() == 0 and kept.first()[0] == datetime(2026, 5, 3, 9)
+
+
+def test_odd_polls_do_not_end_the_job(spark):
+    polls = spark.createDataFrame(
+        [(["a", "a", None, "b"], [["1", "2", "3", "4"], ["5"], None, []])], "fields array<string>, data array<array<string>>"
+    )
+    rows = [r.record for r in ingest.rows_from_arrays(polls).collect()]
+    assert rows[:2] == [{"a": "1", "b": "4"}, {"a": "5"}] and rows[3] == {}
+    seen = [("x", 40.0, -74.0, 0, v, v, v, "d") for v in (float("nan"), 1e30, -1e30, float("inf"), None, 12.5)]
+    df = spark.createDataFrame(seen, "borough string, source_lat double, source_lon double, dt bigint, temp double, wind_speed double, wind_deg double, description string")
+    rows = ingest.normalize_weather(df).collect()
+    assert [(r.temperature, r.windSpeed) for r in rows] == [(None, None)] * 5 + [(12, "12 mph")]
+    assert [r.windDirection for r in rows] == [None] * 4 + ["N", "NNE"]
+
+
+def test_text_behind_the_message_is_quarantined(spark):
+    good = ['{"id": "1"}', ' {"id": "1"} ', '{"id": "]"}']
+    bad = ['{"id": "1"}{"id": "2"}', '{"id": "1"}, {"id": "2"}', '{"id": "1"} x', '{"id": "1"}]', "", None, "[]", "{cut"]
+    ok, broken = split_valid(parse_json(topic(spark, *good, *bad), schemas.TRAFFIC))
+    assert ok.count() == len(good) and broken.count() == len(bad)
+
+
+def test_empty_rings_hold_no_point(spark):
+    from tidegrid.operators import spatial
+
+    square = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    ddl = "zone_id int, rings array<array<struct<lon: double, lat: double>>>"
+    zones = spark.createDataFrame([(1, [square, []]), (2, [[]]), (3, []), (4, None), (5, [[(0.5, None)]])], ddl)
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 5.0, 5.0)], "p int, lon double, lat double")
+    found = spatial.points_in_zones(points, zones, "p", "lon", "lat", how="left").collect()
+    assert sorted((r.p, r.zone_id) for r in found) == [(1, 1), (2, None)]
 
 
 def test_rules_report_and_reasons(spark):

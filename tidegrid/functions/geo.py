@@ -39,9 +39,9 @@ def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column,
 
 
 def ring_edges(ring: Column) -> Column:
-    """Edges of one ring given as ``array<struct<lon,lat>>``; an open ring is closed."""
-    n = F.size(ring)
-    return F.transform(
+    """Edges of one ring given as ``array<struct<lon,lat>>``; an open ring is closed, an empty one has none."""
+    n = F.greatest(F.size(ring), F.lit(1))
+    edges = F.transform(
         F.sequence(F.lit(0), n - 1),
         lambda i: F.struct(
             F.get(ring, i)["lon"].alias("x1"),
@@ -50,6 +50,7 @@ def ring_edges(ring: Column) -> Column:
             F.get(ring, F.pmod(i + 1, n))["lat"].alias("y2"),
         ),
     )
+    return F.filter(edges, lambda e: e["x1"].isNotNull() & e["y1"].isNotNull() & e["x2"].isNotNull() & e["y2"].isNotNull())
 
 
 def in_edges(px: Column, py: Column, edges: Column) -> Column:

@@ -7,8 +7,6 @@ they are not ids of any global grid system.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,14 +80,6 @@ def grid_distance(a: Column, b: Column) -> Column:
     return F.when(cell_edge(a) == cell_edge(b), steps)
 
 
-def rings_for(distance_m: float, edge_m: float) -> int:
-    """Rings that surely hold every point within ``distance_m`` of a cell's points.
-
-    One more than the planar bound, because the projection is only locally true.
-    """
-    return math.floor((distance_m + 2 * edge_m) / (1.5 * edge_m)) + 1
-
-
 def disk_offsets(k: int) -> list[tuple[int, int]]:
     return [
         (dq, dr)

@@ -25,15 +25,12 @@ def first_int(text: Column) -> Column:
 
 
 def compass(degrees: Column) -> Column:
-    step = F.floor(degrees / F.lit(22.5) + F.lit(0.5)).cast("int")
+    # NaN, infinite and absurd bearings have no name.
+    usable = F.when(F.abs(degrees) < 1e9, degrees)
+    step = F.floor(usable / F.lit(22.5) + F.lit(0.5)).try_cast("int")
     return F.get(F.array(*(F.lit(p) for p in COMPASS)), F.pmod(step, F.lit(16)))
 
 
-def first_known(*columns: Column) -> Column:
-    """First value that is not NULL."""
-    return F.coalesce(*columns)
-
-
 def or_default(c: Column, value) -> Column:
     return F.coalesce(c, F.lit(value))
 
@@ -51,13 +48,5 @@ def message_key(*parts: Column) -> Column:
     return F.concat_ws("::", *parts)
 
 
-def as_text(flag: Column) -> Column:
-    return flag.cast("string")
-
-
 def point_key(lat: Column, lon: Column) -> Column:
     return F.concat_ws(",", lat.cast("string"), lon.cast("string"))
-
-
-def contains_text(c: Column, needle: str) -> Column:
-    return c.contains(needle)

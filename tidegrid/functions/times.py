@@ -52,10 +52,6 @@ def interval(seconds: float) -> Column:
     return F.lit(timedelta(seconds=seconds))
 
 
-def since(ts: Column, as_of: Column, seconds: int) -> Column:
-    return ts >= as_of - interval(seconds)
-
-
 def lag_minutes(ts: Column, as_of: Column) -> Column:
     behind = F.unix_timestamp(as_of) - F.unix_timestamp(ts)
     return F.round((behind / F.lit(60.0)).cast("decimal(28,10)"), 2).cast("double")

@@ -62,11 +62,17 @@ def normalize_openaq(locations: DataFrame, readings: DataFrame) -> DataFrame:
 
 
 def rows_from_arrays(polls: DataFrame, fields: str = "fields", data: str = "data") -> DataFrame:
-    """A response of column names and row arrays, as one ``record`` map per row."""
+    """A response of column names and row arrays, as one ``record`` map per row.
+
+    A repeated name keeps its first value; a NULL name is left out.
+    """
     exploded = polls.withColumn("_row", F.explode(data))
     n = F.least(F.size(fields), F.size("_row"))
-    record = F.map_from_arrays(F.slice(fields, F.lit(1), n), F.slice("_row", F.lit(1), n))
-    return exploded.withColumn("record", record).drop("_row", data, fields)
+    pairs = F.arrays_zip(
+        F.slice(fields, F.lit(1), n).alias("name"), F.slice("_row", F.lit(1), n).alias("value")
+    )
+    known = F.filter(pairs, lambda p, i: F.coalesce(F.array_position(fields, p["name"]) == i + 1, F.lit(False)))
+    return exploded.withColumn("record", F.map_from_entries(known)).drop("_row", data, fields)
 
 
 def normalize_purpleair(polls: DataFrame) -> DataFrame:
@@ -105,9 +111,9 @@ def normalize_weather(observations: DataFrame) -> DataFrame:
         stamp.alias("endTime"),
         F.lit(True).alias("isDaytime"),
         # int cast truncates towards zero
-        F.col("temp").cast("int").alias("temperature"),
+        F.col("temp").try_cast("int").alias("temperature"),
         F.lit("F").alias("temperatureUnit"),
-        F.concat(F.col("wind_speed").cast("int").cast("string"), F.lit(" mph")).alias("windSpeed"),
+        F.concat(F.col("wind_speed").try_cast("int").cast("string"), F.lit(" mph")).alias("windSpeed"),
         text.compass(F.coalesce(F.col("wind_deg"), F.lit(0.0))).alias("windDirection"),
         F.col("description").alias("shortForecast"),
         F.struct(F.lit("wmoUnit:percent").alias("unitCode"), F.lit(0).alias("value")).alias(
@@ -123,13 +129,19 @@ def with_message_key(df: DataFrame, *parts: Column) -> DataFrame:
     return df.withColumn("message_key", text.message_key(*parts))
 
 
-def incremental(df: DataFrame, ts: str, mark: Column | None, limit: int, *tie: str) -> tuple[DataFrame, DataFrame]:
-    """(newest ``limit`` rows later than the mark, one row with the next mark).
+def incremental(df: DataFrame, ts: str, mark: Column | None, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows later than the mark, one row with the next mark).
 
-    The next mark is the largest time taken; it stays the old one when nothing is new.
+    With a ``limit`` the oldest fresh rows are taken, and all rows of the last
+    time among them, so the next poll goes on exactly behind it: polled until
+    nothing is new, every row with a time is taken once. The next mark is the
+    largest time taken; it stays the old one when nothing is new.
     """
-    fresh = df if mark is None else df.where(F.col(ts) > mark)
-    batch = fresh.orderBy(F.col(ts).desc(), *tie).limit(limit)
+    fresh = df.where(F.col(ts).isNotNull() if mark is None else F.col(ts) > mark)
+    batch = fresh
+    if limit is not None:
+        last = fresh.select(ts).orderBy(ts).limit(limit).agg(F.max(ts).alias("v")).scalar()
+        batch = fresh.where(F.col(ts) <= last)
     old = F.lit(None) if mark is None else mark
     return batch, batch.agg(F.coalesce(F.max(ts), old).alias("next_mark"))
 

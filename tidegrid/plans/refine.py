@@ -51,12 +51,12 @@ def _aq(raw: DataFrame, source: str, ident, name, ts, lat, lon, pm25, temperatur
 def type_openaq(raw: DataFrame) -> DataFrame:
     return _aq(
         raw, "openaq",
-        text.first_known(F.col("sensor_id"), F.col("location_id").cast("string"), F.col("location_name")),
+        F.coalesce(F.col("sensor_id"), F.col("location_id").cast("string"), F.col("location_name")),
         F.col("location_name"),
-        text.first_known(times.instant(F.col("timestamp")), times.instant(F.col("datetime_utc"))),
-        text.first_known(F.col("lat"), F.col("latitude")),
-        text.first_known(F.col("lon"), F.col("longitude")),
-        text.first_known(F.col("pm25"), F.col("value")),
+        F.coalesce(times.instant(F.col("timestamp")), times.instant(F.col("datetime_utc"))),
+        F.coalesce(F.col("lat"), F.col("latitude")),
+        F.coalesce(F.col("lon"), F.col("longitude")),
+        F.coalesce(F.col("pm25"), F.col("value")),
         F.lit(None), F.lit(None),
     )
 
@@ -64,12 +64,12 @@ def type_openaq(raw: DataFrame) -> DataFrame:
 def type_purpleair(raw: DataFrame) -> DataFrame:
     return _aq(
         raw, "purpleair",
-        text.first_known(F.col("sensor_id"), F.col("name")),
+        F.coalesce(F.col("sensor_id"), F.col("name")),
         F.col("name"),
-        text.first_known(times.instant(F.col("timestamp")), F.col("kafka_timestamp")),
-        text.first_known(F.col("lat"), F.col("latitude")),
-        text.first_known(F.col("lon"), F.col("longitude")),
-        text.first_known(F.col("pm25"), F.col("`pm2.5_10minute`")),
+        F.coalesce(times.instant(F.col("timestamp")), F.col("kafka_timestamp")),
+        F.coalesce(F.col("lat"), F.col("latitude")),
+        F.coalesce(F.col("lon"), F.col("longitude")),
+        F.coalesce(F.col("pm25"), F.col("`pm2.5_10minute`")),
         F.col("temperature"), F.col("humidity"),
     )
 
