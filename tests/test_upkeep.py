@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.functions.times import as_of_literal
+from tidegrid.session import work_dir
+from tidegrid.sinks.streams import ONCE, with_event_date, write_daily, write_stream_parquet
 from tidegrid.sources.tables import between, register_views, sql_over_path
+from tidegrid.streaming.replay import finish
 from tidegrid.upkeep import tables as upkeep
 
 
@@ -55,3 +58,56 @@ def test_iceberg_calls(spark):
     calls = upkeep.iceberg_upkeep("local", "db.t", "2026-05-01 00:00:00")
     assert len(calls) == 3 and "134217728" in calls[0]
     assert upkeep.has_iceberg(spark) is False
+
+
+def test_file_sinks_are_refused_untouched(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(i, datetime(2026, 5, 1 + i % 3)) for i in range(30)]
+    spark.createDataFrame(rows, "id int, traffic_event_ts timestamp").repartition(4).write.parquet(source)
+    stream = with_event_date(spark.readStream.schema("id int, traffic_event_ts timestamp").parquet(source))
+    finish(write_stream_parquet(stream, out, str(tmp_path / "c"), trigger=ONCE, partition_by=("event_date",)))
+    for job in (lambda: upkeep.compact(spark, out), lambda: upkeep.drop_days_before(spark, out, "2026-05-02", really=True)):
+        with pytest.raises(upkeep.FileLogFound):
+            job()
+    assert spark.read.parquet(out).count() == 30
+
+
+def test_streamed_table_goes_on_after_upkeep(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def add(ids):
+        rows = [(i, datetime(2026, 5, 1) + timedelta(hours=i)) for i in ids]
+        spark.createDataFrame(rows, "id int, traffic_event_ts timestamp").coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema("id int, traffic_event_ts timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+        finish(write_daily(stream, out, str(tmp_path / "c"), ONCE, "traffic_event_ts"))
+
+    for part in (range(0, 60, 3), range(1, 60, 3), range(2, 60, 3)):
+        add(part)
+    run()
+    newest = spark.read.parquet(out).where("batch_id = 2").count()
+    done = upkeep.compact(spark, out)
+    assert done.files_after < done.files_before and done.rows_after == 60
+    assert spark.read.parquet(out).where("batch_id = 2").count() == newest
+    assert not list(tmp_path.glob("out.upkeep-*"))
+    add(range(60, 80))
+    run()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(80))
+    assert upkeep.drop_days_before(spark, out, "2026-05-02", really=True) == ["2026-05-01"]
+    add(range(80, 90))
+    run()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(24, 90))
+
+
+def test_work_needs_a_shared_folder():
+    class Conf:
+        def get(self, _name, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(Session(), "x")

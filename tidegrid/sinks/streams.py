@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegrid.sources.tables import PARTITION
+from tidegrid.sources.tables import BATCH, PARTITION
 
 ONCE = {"availableNow": True}
 
@@ -39,15 +39,31 @@ def with_event_date(df: DataFrame, ts: str = "traffic_event_ts") -> DataFrame:
     return df.withColumn(PARTITION, F.col(ts).cast("date"))
 
 
+def write_daily(df: DataFrame, path: str, checkpoint: str, trigger: dict, ts: str, name: str | None = None) -> StreamingQuery:
+    """Rows to a Parquet folder partitioned by event day and batch.
+
+    A batch that is repeated after a failure overwrites its own partitions, so
+    no row comes twice. The table has no log of files beside its folders: it can
+    be compacted and cut, and the stream goes on (see ``upkeep.tables``).
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        rows = with_event_date(batch, ts).withColumn(BATCH, F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(path)
+
+    writer = df.writeStream.foreachBatch(put).outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger)
+    return (writer.queryName(name) if name else writer).start()
+
+
 def write_business(
     df: DataFrame, target: str, checkpoint: str, trigger: dict, name: str = "business", provider: str = "parquet"
 ) -> StreamingQuery:
-    """Business rows to a Parquet folder by event day, or to a catalog table of another provider.
+    """Business rows to a Parquet folder by event day and batch, or to a catalog table of another provider.
 
     A table with its own day partition transform (Iceberg) takes the 34 columns as they are.
     """
     if provider == "parquet":
-        return write_stream_parquet(with_event_date(df), target, checkpoint, name, trigger, (PARTITION,))
+        return write_daily(df, target, checkpoint, trigger, "traffic_event_ts", name)
     writer = df.writeStream.format(provider).outputMode("append").queryName(name).trigger(**trigger)
     return writer.option("checkpointLocation", checkpoint).toTable(target)
 
@@ -56,8 +72,3 @@ def write_memory(df: DataFrame, name: str, trigger: dict | None = None) -> Strea
     """For probes and tests: the rows land on the driver."""
     writer = df.writeStream.format("memory").queryName(name).outputMode("append")
     return (writer.trigger(**trigger) if trigger else writer).start()
-
-
-def write_console(df: DataFrame, rows: int = 20, trigger: dict | None = None) -> StreamingQuery:
-    writer = df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
-    return (writer.trigger(**trigger) if trigger else writer).start()
