@@ -6,7 +6,7 @@ the future, which moves the watermark past all real rows at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.catalogue import feeds
@@ -15,24 +15,23 @@ from tidegrid.config import TOPICS
 from tidegrid.operators.joins import interval_join
 from tidegrid.plans.refine import refine_weather
 from tidegrid.session import STATE_CONF, use_utc, work_dir
-from tidegrid.sinks.streams import ONCE, checkpoint_path, write_business, write_stream_parquet
-from tidegrid.sources.tables import PARTITION, read_table_stream
+from tidegrid.sinks.streams import ONCE, checkpoint_path, write_daily, write_stream_parquet
+from tidegrid.sources.tables import BATCH, PARTITION, read_table_stream
 from tidegrid.sources.topics import TopicSource, read_topic_stream
 from tidegrid.streaming import flow
-from tidegrid.streaming.progress import progress_rows
+from tidegrid.streaming.progress import ProgressLog
 from tidegrid.streaming.replay import SENTINEL_UTC, finish
+from tidegrid.upkeep.tables import compact, drop_days_before
 
 CFG = feeds.CFG
-REAL_BEFORE = "2099-01-01"
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
-    """Own session for state settings: at most one state partition per core, frozen in the checkpoint."""
+    """Own session for state settings; the shuffle width is frozen in the checkpoint as the number of state partitions."""
     session = use_utc(spark.newSession())
     for name, value in STATE_CONF.items():
         session.conf.set(name, value)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set("spark.sql.shuffle.partitions", min(wanted, max(8, spark.sparkContext.defaultParallelism)))
+    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     return session
 
 
@@ -40,7 +39,7 @@ def _sentinel(name: str) -> str:
     point = '"lat": 40.7, "lon": -74.0, "latitude": 40.7, "longitude": -74.0, "link_points": "40.7,-74.0"'
     stamps = f'"timestamp": "{SENTINEL_UTC}Z", "startTime": "{SENTINEL_UTC}Z", "data_as_of": "{SENTINEL_UTC}"'
     # One message for all feeds: each schema takes the fields it knows.
-    return f'{{"id": "sentinel", "sensor_id": "sentinel", "speed": "1", "pm25": 1.0, {point}, {stamps}}}'
+    return f'{{"id": "sentinel", "sensor_id": "sentinel", "name": "sentinel", "speed": "1", "pm25": 1.0, {point}, {stamps}}}'
 
 
 _messages: dict[tuple[str, str], str] = {}
@@ -78,37 +77,67 @@ def whole_flow(spark: SparkSession, sf_dir: str) -> str:
         out = work_dir(spark, "flow")
         session = stream_session(spark)
         lookup = session.read.parquet(feeds.stored(spark, sf_dir, "lookup", lambda: feeds.lookup(spark, sf_dir)))
-        queries = flow.start_all(session, source(spark, sf_dir), lookup, out, CFG, ONCE)
-        finish(*queries.values())
+        log = ProgressLog(session, f"{out}/progress")
+        session.streams.addListener(log)
+        try:
+            flow.run_once(session, source(spark, sf_dir), lookup, out, CFG)
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+            log.flush()
+        finally:
+            session.streams.removeListener(log)
         _runs[key] = out
     return _runs[key]
 
 
-def _real(df: DataFrame, ts: str) -> DataFrame:
-    return df.where(F.col(ts) < F.lit(REAL_BEFORE).cast("timestamp"))
+def _real(df: DataFrame, ident: str) -> DataFrame:
+    """Without the message that only moves the watermark."""
+    return df.where(F.coalesce(F.col(ident) != "sentinel", F.lit(True)))
 
 
 def stream_enriched(spark, sf):
     """The business table as the stream wrote it."""
     table = spark.read.parquet(f"{whole_flow(spark, sf)}/business")
-    return _real(table, "traffic_event_ts").drop(PARTITION)
+    return _real(table, "traffic_id").drop(PARTITION, BATCH)
 
 
 def stream_quarantine(spark, sf):
-    return spark.read.parquet(f"{whole_flow(spark, sf)}/raw/quarantine")
+    return flow.read_quarantine(spark, whole_flow(spark, sf))
+
+
+def _kept(field: str) -> Column:
+    """Whether the stored payload still says what the parsed field says."""
+    return F.coalesce(F.get_json_object("raw_payload", f"$.{field}") == F.col(field), F.col(field).isNull()).alias("payload_kept")
 
 
 def stream_raw_traffic(spark, sf):
     """Raw rows keep the payload text beside the parsed fields."""
-    raw = spark.read.parquet(f"{whole_flow(spark, sf)}/raw/traffic")
-    return _real(raw, "kafka_timestamp").select(
-        "id", "borough", "kafka_timestamp", (F.get_json_object("raw_payload", "$.id") == F.col("id")).alias("payload_kept")
-    )
+    raw = flow.read_raw(spark, whole_flow(spark, sf), "traffic")
+    return _real(raw, "id").select("id", "borough", "kafka_timestamp", _kept("id"))
+
+
+def stream_raw_openaq(spark, sf):
+    raw = flow.read_raw(spark, whole_flow(spark, sf), "openaq")
+    return _real(raw, "sensor_id").select("sensor_id", "location_id", "value", "kafka_timestamp", _kept("sensor_id"))
+
+
+def stream_raw_purpleair(spark, sf):
+    raw = flow.read_raw(spark, whole_flow(spark, sf), "purpleair")
+    return _real(raw, "name").select("name", "sensor_index", "kafka_timestamp", _kept("name"))
+
+
+def stream_raw_weather(spark, sf):
+    raw = flow.read_raw(spark, whole_flow(spark, sf), "weather")
+    return _real(raw, "name").select("borough", "windSpeed", "kafka_timestamp", _kept("startTime"))
+
+
+def stream_refined_traffic(spark, sf):
+    traffic = spark.read.parquet(flow.refined_path(whole_flow(spark, sf), "traffic"))
+    return _real(traffic, "id").select("id", "traffic_event_ts", "h3_index", "speed")
 
 
 def stream_refined_aq(spark, sf):
-    aq = spark.read.parquet(f"{whole_flow(spark, sf)}/refined/air_quality")
-    return _real(aq, "aq_event_ts").select("aq_source", "aq_location_id", "aq_event_ts", "h3_index", "aq_pm25_ugm3")
+    aq = spark.read.parquet(flow.refined_path(whole_flow(spark, sf), "air_quality"))
+    return _real(aq, "aq_location_id").select("aq_source", "aq_location_id", "aq_event_ts", "h3_index", "aq_pm25_ugm3")
 
 
 def _refined_paths(spark, sf):
@@ -126,7 +155,7 @@ def stream_interval_inner(spark, sf):
     """Inner interval join of the stored refined tables, read as streams."""
     out = work_dir(spark, "inner")
     finish(write_stream_parquet(_interval_stream(spark, sf, 100), f"{out}/rows", f"{out}/ckpt", trigger=ONCE))
-    return _real(spark.read.parquet(f"{out}/rows"), "traffic_event_ts")
+    return _real(spark.read.parquet(f"{out}/rows"), "traffic_id")
 
 
 def stream_restart(spark, sf):
@@ -159,7 +188,7 @@ def stream_restart(spark, sf):
     for rest, folder in halves:
         rest.write.mode("append").parquet(folder)
     run()
-    return _real(spark.read.parquet(f"{out}/rows"), "traffic_event_ts")
+    return _real(spark.read.parquet(f"{out}/rows"), "id")
 
 
 def stream_without_resends(spark, sf):
@@ -172,19 +201,49 @@ def stream_without_resends(spark, sf):
     stream = read_table_stream(stream_session(spark), f"{out}/in", aq.schema, 100)
     once = flow.without_resends(stream, ["aq_source", "aq_location_id", "aq_pm25_ugm3"], "aq_event_ts", CFG.watermark_delay)
     finish(write_stream_parquet(once, f"{out}/rows", f"{out}/ckpt", trigger=ONCE))
-    rows = _real(spark.read.parquet(f"{out}/rows"), "aq_event_ts")
+    rows = _real(spark.read.parquet(f"{out}/rows"), "aq_location_id")
     return rows.select("aq_source", "aq_location_id", "aq_event_ts", "aq_pm25_ugm3")
 
 
 def stream_progress(spark, sf):
-    """Progress rows of one run of the business query."""
-    out = work_dir(spark, "progress")
+    """Rows that each raw query read, summed over all its batches: every message of its topic is read once."""
+    log = spark.read.parquet(f"{whole_flow(spark, sf)}/progress")
+    return log.where(F.col("query").startswith("raw_")).groupBy("query").agg(F.sum("rows_in").alias("rows_in"))
+
+
+def _daily(spark: SparkSession, sf_dir: str, name: str):
+    """A stream of refined traffic into a table by day and batch: (start, where its input goes, the table)."""
+    out = work_dir(spark, name)
     session = stream_session(spark)
-    lookup = session.read.parquet(feeds.stored(spark, sf, "lookup", lambda: feeds.lookup(spark, sf)))
-    rows = flow.business_rows(flow.read_feeds(session, source(spark, sf), CFG), lookup, CFG)
-    query = write_business(rows, f"{out}/rows", f"{out}/ckpt", ONCE, name="business_progress")
-    finish(query)
-    return progress_rows(spark, query)
+    rows = feeds.refined_tables(spark, sf_dir)[0].select("id", "traffic_event_ts", "speed")
+
+    def run() -> None:
+        stream = read_table_stream(session, f"{out}/in", rows.schema, 1)
+        finish(write_daily(stream, f"{out}/table", f"{out}/ckpt", ONCE, "traffic_event_ts"))
+
+    return run, rows, f"{out}/in", f"{out}/table"
+
+
+def compact_streamed(spark, sf):
+    """A streamed table, compacted between two runs of the stream on one checkpoint."""
+    run, rows, folder, table = _daily(spark, sf, "compact")
+    half = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    rows.where(half).repartition(3).write.parquet(folder)
+    run()
+    done = compact(spark, table)
+    rows.where(~half).repartition(2).write.mode("append").parquet(folder)
+    run()
+    return spark.read.parquet(table).select("id", "traffic_event_ts", "speed", F.lit(done.files_after < done.files_before).alias("fewer_files"))
+
+
+def retention_streamed(spark, sf):
+    """A streamed table whose older days were removed, and the stream started again on its checkpoint."""
+    run, rows, folder, table = _daily(spark, sf, "retention")
+    rows.repartition(2).write.parquet(folder)
+    run()
+    drop_days_before(spark, table, "2024-01-15", really=True)
+    run()
+    return spark.read.parquet(table).select("id", "traffic_event_ts", "speed")
 
 
 QUERIES = {
@@ -200,6 +259,29 @@ QUERIES = {
         stream_raw_traffic,
         upto("traffic_raw", "SELECT id, borough, arrived AS kafka_timestamp, true AS payload_kept FROM traffic_raw"),
     ),
+    "stream_raw_openaq": (
+        stream_raw_openaq,
+        """SELECT CASE WHEN event_id % 3 <> 0 THEN cast(user_id as varchar) END AS sensor_id,
+          CASE WHEN event_id % 6 <> 0 THEN user_id + 1000 END AS location_id, value * cast(5 as double) AS value,
+          ts + INTERVAL 20 SECOND AS kafka_timestamp, true AS payload_kept
+        FROM events WHERE event_type = 'click' AND event_id % 10 <> 0""",
+    ),
+    "stream_raw_purpleair": (
+        stream_raw_purpleair,
+        """SELECT 'node ' || user_id AS name, user_id AS sensor_index, ts + INTERVAL 20 SECOND AS kafka_timestamp, true AS payload_kept
+        FROM events WHERE event_type = 'error' AND event_id % 10 <> 0""",
+    ),
+    "stream_raw_weather": (
+        stream_raw_weather,
+        """SELECT lower(r_name) AS borough, CASE WHEN k % 4 = 0 THEN 'calm' WHEN k % 7 <> 0 THEN k || ' mph' END AS "windSpeed",
+          ts + INTERVAL 20 SECOND AS kafka_timestamp, true AS payload_kept
+        FROM (SELECT *, cast(json_extract_string(props, '$.k') as int) AS k FROM events) JOIN region ON r_regionkey = user_id % 5
+        WHERE event_type = 'signup' AND event_id % 10 <> 0""",
+    ),
+    "stream_refined_traffic": (
+        stream_refined_traffic,
+        upto("traffic", "SELECT id, event_ts AS traffic_event_ts, cell AS h3_index, speed FROM traffic"),
+    ),
     "stream_refined_aq": (
         stream_refined_aq,
         upto("aq", "SELECT aq_source, aq_location_id, aq_event_ts, cell AS h3_index, pm25 AS aq_pm25_ugm3 FROM aq"),
@@ -226,7 +308,20 @@ QUERIES = {
         stream_without_resends,
         upto("aq", "SELECT DISTINCT aq_source, aq_location_id, aq_event_ts, pm25 AS aq_pm25_ugm3 FROM aq"),
     ),
-    "stream_progress": (stream_progress, None),
+    "stream_progress": (
+        stream_progress,
+        """SELECT CASE event_type WHEN 'view' THEN 'raw_traffic' WHEN 'click' THEN 'raw_openaq'
+          WHEN 'error' THEN 'raw_purpleair' ELSE 'raw_weather' END AS query, count(*) + 1 AS rows_in
+        FROM events WHERE event_type IN ('view', 'click', 'error', 'signup') GROUP BY 1""",
+    ),
+    "compact_streamed": (
+        compact_streamed,
+        upto("traffic", "SELECT id, event_ts AS traffic_event_ts, speed, true AS fewer_files FROM traffic"),
+    ),
+    "retention_streamed": (
+        retention_streamed,
+        upto("traffic", "SELECT id, event_ts AS traffic_event_ts, speed FROM traffic WHERE event_ts >= TIMESTAMP '2024-01-15'"),
+    ),
 }
 
 __all__ = ["QUERIES", "message_files", "stream_session", "whole_flow"]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-PARTITION = "event_date"
+PARTITION, BATCH = "event_date", "batch_id"
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
@@ -23,8 +23,10 @@ def sql_over_path(path: str) -> str:
     return f"parquet.`{path}`"
 
 
-def read_table_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = 2) -> DataFrame:
-    return spark.readStream.format("parquet").schema(schema).option("maxFilesPerTrigger", max_files).load(path)
+def read_table_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """New files of a Parquet folder, at most ``max_files`` per batch where a limit is given."""
+    reader = spark.readStream.format("parquet").schema(schema)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).load(path)
 
 
 def register_views(spark: SparkSession, folder: str, names: Iterable[str]) -> None:

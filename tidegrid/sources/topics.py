@@ -21,7 +21,7 @@ class TopicSource:
 
     location: str
     kind: str = "parquet"  # parquet | json | text | kafka
-    max_files_per_trigger: int = 100
+    max_files_per_trigger: int | None = None
     options: dict[str, str] = field(default_factory=dict)
 
 
@@ -51,13 +51,16 @@ def read_topic_stream(
             .option("subscribe", topic)
             .option("startingOffsets", starting)
             .option("failOnDataLoss", str(fail_on_loss).lower())
-            .option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger)
-            .load()
         )
+        if cfg.max_offsets_per_trigger is not None:
+            df = df.option("maxOffsetsPerTrigger", cfg.max_offsets_per_trigger)
+        df = df.load()
     else:
-        reader = reader.option("maxFilesPerTrigger", source.max_files_per_trigger)
-        if starting == "latest":
-            reader = reader.option("latestFirst", "true")
+        if starting != "earliest":
+            # A file stream has no end to start from; newest files first would make older rows late.
+            raise ValueError("a stream over files starts with the earliest")
+        if source.max_files_per_trigger is not None:
+            reader = reader.option("maxFilesPerTrigger", source.max_files_per_trigger)
         df = _files(reader, source, f"{source.location}/{topic}")
     return _shape(df, topic)
 

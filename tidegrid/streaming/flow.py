@@ -1,24 +1,34 @@
-"""The live flow: four topics in, raw, quarantine, refined and business tables out."""
+"""The live flow in three stages: topics to raw tables, raw to refined tables, refined to the business table.
+
+Each topic is read and parsed by one query, which stores the parsed fields, the
+payload text and whether the message is broken. What comes later reads stored
+columns only.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
 
 from tidegrid.config import TOPICS, Settings
 from tidegrid.operators.joins import interval_join
-from tidegrid.operators.parse import parse_json, quarantine, split_valid
+from tidegrid.operators.parse import parse_json, quarantine, split_valid, with_broken_mark
 from tidegrid.plans import enrich as enriching
 from tidegrid.plans import refine
 from tidegrid.schemas import FEEDS
 from tidegrid.sinks.streams import checkpoint_path, every, write_business, write_stream_parquet
 from tidegrid.sources.tables import read_table_stream
 from tidegrid.sources.topics import TopicSource, read_topic_stream
+from tidegrid.streaming.replay import finish
 
-SCHEMA_VERSION = 1
+SCHEMA_VERSION = 2
+BROKEN = "broken"
+_ARRIVAL = ["source_topic", "kafka_timestamp", "raw_payload"]
 
 
 def with_event_time(df: DataFrame, column: str, delay: str) -> DataFrame:
@@ -39,9 +49,39 @@ def parse_feeds(topics: dict[str, DataFrame], keep_payload: bool = False) -> Fee
     return Feeds({n: v for n, (v, _) in parts.items()}, quarantine(*(b for _, b in parts.values())))
 
 
-def read_feeds(spark: SparkSession, source: TopicSource, cfg: Settings = Settings(), keep_payload: bool = False) -> Feeds:
-    topics = {name: read_topic_stream(spark, topic, source, cfg) for name, topic in TOPICS.items()}
-    return parse_feeds(topics, keep_payload)
+def raw_rows(topic: DataFrame, feed: str) -> DataFrame:
+    """All messages of a topic: parsed fields (NULL where broken), payload, arrival, and the ``broken`` mark."""
+    marked = with_broken_mark(parse_json(topic, FEEDS[feed]), BROKEN)
+    fields = (F.when(~F.col(BROKEN), F.col("payload")[f.name]).alias(f.name) for f in FEEDS[feed].fields)
+    return marked.select(*fields, *_ARRIVAL, BROKEN)
+
+
+def raw_schema(feed: str) -> StructType:
+    own = [StructField("source_topic", StringType()), StructField("kafka_timestamp", TimestampType()), StructField("raw_payload", StringType())]
+    return StructType([*FEEDS[feed].fields, *own, StructField(BROKEN, BooleanType())])
+
+
+def raw_path(out: str, feed: str) -> str:
+    return f"{out}/raw/{feed}"
+
+
+def read_raw(spark: SparkSession, out: str, feed: str) -> DataFrame:
+    """The valid rows of a stored raw table, payload included."""
+    return spark.read.schema(raw_schema(feed)).parquet(raw_path(out, feed)).where(~F.col(BROKEN)).drop(BROKEN, "source_topic")
+
+
+def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
+    """The broken messages of all raw tables; only their partitions are read."""
+    parts = (
+        spark.read.schema(raw_schema(feed)).parquet(raw_path(out, feed)).where(F.col(BROKEN)).select(*_ARRIVAL)
+        for feed in TOPICS
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _raw_stream(spark: SparkSession, out: str, feed: str) -> DataFrame:
+    rows = read_table_stream(spark, raw_path(out, feed), raw_schema(feed), None)
+    return rows.where(~F.col(BROKEN)).drop(BROKEN, "source_topic", "raw_payload")
 
 
 def refined(feeds: Feeds, cfg: Settings = Settings()) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -53,49 +93,96 @@ def refined(feeds: Feeds, cfg: Settings = Settings()) -> tuple[DataFrame, DataFr
     )
 
 
-def business_rows(
-    feeds: Feeds, lookup: DataFrame, cfg: Settings = Settings(), broadcast_lookup: bool = False
-) -> DataFrame:
-    traffic, aq, weather = refined(feeds, cfg)
-    return enriching.enrich(traffic, aq, weather, lookup, cfg, broadcast_lookup)
+REFINED = {"traffic": "traffic_event_ts", "air_quality": "aq_event_ts", "weather": "weather_event_ts"}
+
+
+def refined_path(out: str, name: str) -> str:
+    return f"{out}/refined/{name}"
+
+
+def _refined_plans(spark: SparkSession, out: str, cfg: Settings) -> dict[str, DataFrame]:
+    rows = Feeds({feed: _raw_stream(spark, out, feed) for feed in TOPICS}, None)
+    return dict(zip(REFINED, refined(rows, cfg), strict=True))
+
+
+def business_rows(spark: SparkSession, out: str, lookup: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """The business rows as a stream over the stored refined tables."""
+    plans = _refined_plans(spark, out, cfg)
+    traffic, aq, weather = (
+        with_event_time(read_table_stream(spark, refined_path(out, name), plans[name].schema, None), ts, cfg.watermark_delay)
+        for name, ts in REFINED.items()
+    )
+    return enriching.enrich(traffic, aq, weather, lookup, cfg)
+
+
+def start_raw(spark: SparkSession, source: TopicSource, out: str, cfg: Settings = Settings(), trigger: dict | None = None) -> dict[str, StreamingQuery]:
+    """One query per topic: the only ones that read and parse messages."""
+    return {
+        f"raw_{feed}": write_stream_parquet(
+            raw_rows(read_topic_stream(spark, topic, source, cfg), feed), raw_path(out, feed),
+            checkpoint_path(out, f"raw_{feed}", SCHEMA_VERSION), f"raw_{feed}", trigger, (BROKEN,),
+        )
+        for feed, topic in TOPICS.items()
+    }
+
+
+def start_refined(spark: SparkSession, out: str, cfg: Settings = Settings(), trigger: dict | None = None) -> dict[str, StreamingQuery]:
+    return {
+        f"refined_{name}": write_stream_parquet(
+            df, refined_path(out, name), checkpoint_path(out, f"refined_{name}", SCHEMA_VERSION), f"refined_{name}", trigger
+        )
+        for name, df in _refined_plans(spark, out, cfg).items()
+    }
+
+
+def start_business(
+    spark: SparkSession, out: str, lookup: DataFrame, cfg: Settings = Settings(), trigger: dict | None = None,
+    target: str | None = None, provider: str = "parquet",
+) -> dict[str, StreamingQuery]:
+    query = write_business(
+        business_rows(spark, out, lookup, cfg), target or f"{out}/business",
+        checkpoint_path(out, "business", SCHEMA_VERSION), trigger or every(cfg.trigger), provider=provider,
+    )
+    return {"business": query}
 
 
 def start_all(
-    spark: SparkSession,
-    source: TopicSource,
-    lookup: DataFrame,
-    out: str,
-    cfg: Settings = Settings(),
-    trigger: dict | None = None,
-    business_target: str | None = None,
-    provider: str = "parquet",
-    broadcast_lookup: bool = False,
+    spark: SparkSession, source: TopicSource, lookup: DataFrame, out: str, cfg: Settings = Settings(),
+    trigger: dict | None = None, business_target: str | None = None, provider: str = "parquet",
 ) -> dict[str, StreamingQuery]:
-    """Eight independent queries: four raw tables (payload text included), quarantine,
-    two refined tables, and the business table. Each has its own checkpoint and restarts on its own."""
-    feeds = read_feeds(spark, source, cfg, keep_payload=True)
-    traffic, aq, _ = refined(feeds, cfg)
-    plain = {f"raw_{name}": (df, f"{out}/raw/{name}") for name, df in feeds.valid.items()}
-    plain["quarantine"] = (feeds.broken, f"{out}/raw/quarantine")
-    plain["refined_traffic"] = (traffic, f"{out}/refined/traffic")
-    plain["refined_air_quality"] = (aq, f"{out}/refined/air_quality")
-    queries = {
-        name: write_stream_parquet(df, path, checkpoint_path(out, name, SCHEMA_VERSION), name, trigger)
-        for name, (df, path) in plain.items()
-    }
-    queries["business"] = write_business(
-        business_rows(feeds, lookup, cfg, broadcast_lookup),
-        business_target or f"{out}/business",
-        checkpoint_path(out, "business", SCHEMA_VERSION),
-        trigger or every(cfg.trigger),
-        provider=provider,
+    """Eight live queries: four raw tables, three refined ones, and the business table.
+
+    Each has its own checkpoint and restarts on its own; a later stage takes
+    what the one before has stored.
+    """
+    trigger = trigger or every(cfg.trigger)
+    return (
+        start_raw(spark, source, out, cfg, trigger)
+        | start_refined(spark, out, cfg, trigger)
+        | start_business(spark, out, lookup, cfg, trigger, business_target, provider)
     )
-    return queries
+
+
+def run_once(
+    spark: SparkSession, source: TopicSource, lookup: DataFrame, out: str, cfg: Settings = Settings(), trigger: dict | None = None
+) -> dict[str, StreamingQuery]:
+    """The same queries over what is there now: stage by stage, each until it has caught up."""
+    trigger = trigger or {"availableNow": True}
+    done: dict[str, StreamingQuery] = {}
+    for start in (
+        lambda: start_raw(spark, source, out, cfg, trigger),
+        lambda: start_refined(spark, out, cfg, trigger),
+        lambda: start_business(spark, out, lookup, cfg, trigger),
+    ):
+        queries = start()
+        finish(*queries.values())
+        done |= queries
+    return done
 
 
 def refined_interval_stream(
     spark: SparkSession, traffic_path: str, aq_path: str, schemas: tuple, minutes: int = 15, salt: int = 1,
-    max_files: int = 2,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Inner interval join of two stored refined tables, read as streams."""
     traffic = read_table_stream(spark, traffic_path, schemas[0], max_files)
@@ -124,6 +211,7 @@ def without_resends(df: DataFrame, keys: list[str], ts: str, delay: str) -> Data
 
 
 __all__ = [
-    "Feeds", "business_rows", "parse_feeds", "read_feeds", "refined", "refined_interval_stream", "start_all",
+    "Feeds", "business_rows", "parse_feeds", "raw_rows", "read_quarantine", "read_raw", "refined",
+    "refined_interval_stream", "run_once", "start_all", "start_business", "start_raw", "start_refined",
     "with_event_time", "without_resends",
 ]

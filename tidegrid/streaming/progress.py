@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import deque
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -33,29 +33,49 @@ def fail_on_error(query: StreamingQuery) -> None:
         raise RuntimeError(f"query {query.id} failed") from error
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The retained progress records of a query; raises when the query has failed."""
+def recent_progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """The progress records that Spark itself still retains of a query; raises when the query has failed.
+
+    A long run has more batches than that: ``ProgressLog`` keeps them all.
+    """
     fail_on_error(query)
     return spark.createDataFrame([_row(p) for p in query.recentProgress], SCHEMA)
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the latest progress records of all queries; register with ``spark.streams.addListener``."""
+    """Appends the progress of every batch of all queries to a table; register with ``spark.streams.addListener``.
+
+    Records wait on the driver until ``every`` of them are there or a query
+    ends, so what it holds is bounded and the table has no file per batch.
+    """
 
-    def __init__(self, keep: int = 1000):
-        self._records: deque[tuple] = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, path: str, every: int = 200):
+        self._spark, self.path, self._every = spark, path, every
+        self._waiting: list[tuple] = []
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self._records.append(_row(event.progress))
+        with self._lock:
+            self._waiting.append(_row(event.progress))
+        if len(self._waiting) >= self._every:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
-
-    def rows(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self._records), SCHEMA)
+        self.flush()
+
+    def flush(self) -> None:
+        with self._lock:
+            rows, self._waiting = self._waiting, []
+            if rows:
+                self._spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+    def rows(self) -> DataFrame:
+        """All records so far."""
+        self.flush()
+        return self._spark.read.schema(SCHEMA).parquet(self.path)
