@@ -13,10 +13,12 @@ from tidegrid.functions.geo import haversine_m, in_box
 from tidegrid.functions.hexgrid import axial, grid_distance, hex_cell
 from tidegrid.functions.sql import register_functions
 from tidegrid.operators import ingest, joins, neighbours, quality, skew, spatial, tables
-from tidegrid.operators.parse import parse_json, project_required, quarantine, split_valid
+from tidegrid.operators.parse import parse_json, quarantine, with_broken_mark
 from tidegrid.plans import lookup as lookups
 from tidegrid.plans import refine
 from tidegrid.schemas import FEEDS
+from tidegrid.session import work_dir
+from tidegrid.sources.tables import PARTITION
 from tidegrid.upkeep.tables import compact, table_stats
 
 CFG = feeds.CFG
@@ -74,15 +76,13 @@ _SENSORS = "sensors AS (SELECT DISTINCT user_id, lat, lon, cell FROM ev)"
     )
 )
 def parse_split_valid(spark, sf):
-    counted = []
-    for name, messages in feeds.topics(spark, sf).items():
-        valid, broken = split_valid(parse_json(messages, FEEDS[name]))
-        counted += [
-            valid.select(F.lit(TOPICS[name]).alias("source_topic"), F.lit(1).alias("v"), F.lit(0).alias("b")),
-            broken.select("source_topic", F.lit(0).alias("v"), F.lit(1).alias("b")),
-        ]
-    rows = quarantine(*counted)
-    return rows.groupBy("source_topic").agg(F.sum("v").alias("valid_rows"), F.sum("b").alias("broken_rows"))
+    marked = [
+        with_broken_mark(parse_json(messages, FEEDS[name])).select("source_topic", "broken")
+        for name, messages in feeds.topics(spark, sf).items()
+    ]
+    return quarantine(*marked).groupBy("source_topic").agg(
+        F.count_if(~F.col("broken")).alias("valid_rows"), F.count_if("broken").alias("broken_rows")
+    )
 
 
 @query(
@@ -98,15 +98,18 @@ def parse_quarantine(spark, sf):
 @query(upto("traffic", "SELECT id, cast(speed as varchar) AS speed, link_name, borough FROM traffic_raw WHERE speed IS NOT NULL"))
 def project_columns(spark, sf):
     rows = feeds.feed(spark, sf, "traffic").where(text.number(F.col("speed")).isNotNull())
-    return project_required(rows, ["id", "speed", "link_name", "borough"])
+    return rows.select("id", "speed", "link_name", "borough")
 
 
-@query("SELECT source_topic, count(*) AS hits FROM (SELECT 'nyc_traffic_raw' AS source_topic FROM events WHERE event_type = 'view' AND event_id % 10 = 0 AND contains(cast(event_id as varchar), '12')) GROUP BY 1")
+@query(
+    """SELECT CASE event_type WHEN 'view' THEN 'nyc_traffic_raw' WHEN 'click' THEN 'nyc_openaq_raw'
+      WHEN 'error' THEN 'nyc_purpleair_raw' ELSE 'nyc_weather_raw' END AS source_topic, count(*) AS hits
+    FROM events WHERE event_type IN ('view', 'click', 'error', 'signup') AND event_id % 10 = 0
+      AND contains('{"event": ' || event_id || ', "cut": "', '12') GROUP BY 1"""
+)
 def quarantine_search(spark, sf):
-    messages = feeds.topic(spark, sf, "traffic")
-    _, broken = split_valid(parse_json(messages, FEEDS["traffic"]))
-    number = F.regexp_extract("raw_payload", r'"event": (\d+)', 1)
-    return broken.where(text.contains_text(number, "12")).groupBy("source_topic").agg(F.count("*").alias("hits"))
+    broken = feeds.feeds(spark, sf).broken
+    return broken.where(F.col("raw_payload").contains("12")).groupBy("source_topic").agg(F.count("*").alias("hits"))
 
 
 # Expressions -----------------------------------------------------------------
@@ -308,15 +311,37 @@ def weather_observations(spark, sf):
     return keyed.select("name", "startTime", "temperature", "windSpeed", "windDirection", "message_key", "source_lat", "source_lon")
 
 
-@query(f"SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '{MARK}' ORDER BY ts DESC, event_id LIMIT 1000")
+def _polled(spark, sf):
+    """All events, taken by polls of a quarter of the rows each until nothing is new."""
+    rows = feeds.points(spark, sf).select("event_id", "ts")
+    limit, mark, polls = rows.count() // 4 + 1, None, []
+    while True:
+        batch, after = ingest.incremental(rows, "ts", mark and F.lit(mark).cast("timestamp"), limit)
+        # The mark is the one value that a poller keeps; as text in UTC, so no local time zone meets it.
+        new = after.select(F.date_format("next_mark", "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        if new == mark:
+            return polls
+        polls.append((batch, new))
+        mark = new
+
+
+@query("SELECT event_id, ts FROM events")
 def incremental_batch(spark, sf):
-    batch, _ = ingest.incremental(feeds.points(spark, sf), "ts", times.as_of_literal(MARK), 1000, "event_id")
-    return batch.select("event_id", "ts")
+    """What several polls with a limit take together: every row once."""
+    return quarantine(*(batch for batch, _ in _polled(spark, sf)))
 
 
-@query(f"SELECT max(ts) AS next_mark FROM events WHERE ts > TIMESTAMP '{MARK}'")
+@query("SELECT max(ts) AS next_mark, true AS several_polls FROM events")
 def incremental_mark(spark, sf):
-    return ingest.incremental(feeds.points(spark, sf), "ts", times.as_of_literal(MARK), 1000, "event_id")[1]
+    """The mark after the last poll, as the rows of that poll have it."""
+    polls = _polled(spark, sf)
+    return polls[-1][0].agg(F.max("ts").alias("next_mark"), F.lit(len(polls) >= 3).alias("several_polls"))
+
+
+@query(f"SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '{MARK}'")
+def incremental_since(spark, sf):
+    """Without a limit one poll takes all that is later than the mark."""
+    return ingest.incremental(feeds.points(spark, sf), "ts", times.as_of_literal(MARK))[0].select("event_id", "ts")
 
 
 @query(upto("ev", f"SELECT event_id, lat, lon FROM ev WHERE {o.in_box()}"))
@@ -366,10 +391,8 @@ def dq_report(spark, sf):
 )
 def dq_clean(spark, sf):
     rows = refine.type_traffic(feeds.feed(spark, sf, "traffic"), CFG)
-    clean, rejected = quality.apply_rules(rows, quality.traffic_rules(CFG))
-    return clean.select("id", F.lit("").alias("broken_rules")).unionByName(
-        rejected.select("id", F.concat_ws(",", "broken_rules").alias("broken_rules"))
-    )
+    labelled = quality.label_rules(rows, quality.traffic_rules(CFG))
+    return labelled.select("id", F.concat_ws(",", "broken_rules").alias("broken_rules"))
 
 
 @query(upto("business", "SELECT count(*) FILTER (is_congestion_zone IS NULL) AS null_is_congestion_zone, count(*) FILTER (is_truck_route IS NULL) AS null_is_truck_route, count(*) FILTER (traffic_borough IS NULL) AS null_traffic_borough FROM business"))
@@ -459,11 +482,12 @@ def haversine_pairs(spark, sf):
     return p.select("event_id", "c.name", stats.rounded(metres, 4).alias("metres"))
 
 
-@query(upto("ev", f"SELECT event_id, {rounded(o.haversine('lat', 'lon', num(40.7), num(-74.0)), 4)} AS metres FROM ev"))
+@query(upto("ev", f"SELECT event_id, {rounded(o.haversine('lat', 'lon', num(40.7), num(-74.0)), 4)} AS metres, cell FROM ev"))
 def sql_functions(spark, sf):
     register_functions(spark)
     return feeds.points(spark, sf).select(
-        "event_id", stats.rounded(F.expr("haversine_m(lat, lon, 40.7D, -74.0D)"), 4).alias("metres")
+        "event_id", stats.rounded(F.expr("haversine_m(lat, lon, 40.7D, -74.0D)"), 4).alias("metres"),
+        F.expr(f"hex_cell(lat, lon, {int(CFG.hex_edge_m)})").alias("cell"),
     )
 
 
@@ -724,9 +748,10 @@ def table_file_stats(spark, sf):
 @query(upto("business", 'SELECT count(*) AS rows_before, count(*) AS rows_after, true AS fewer_files FROM business'))
 def compact_counts(spark, sf):
     """A many-file copy of the business table, compacted."""
-    path = feeds.stored(spark, sf, "scattered", lambda: feeds.business(spark, sf).repartition(8), rebalance=False)
+    path = work_dir(spark, "scattered")
+    feeds.business(spark, sf).repartition(8).write.partitionBy(PARTITION).parquet(path)
     done = compact(spark, path)
     return spark.createDataFrame(
-        [(done.rows_before, done.rows_after, done.files_after <= done.files_before)],
+        [(done.rows_before, done.rows_after, done.files_after < done.files_before)],
         "rows_before bigint, rows_after bigint, fewer_files boolean",
     )

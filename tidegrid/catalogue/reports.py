@@ -89,7 +89,7 @@ QUERIES = {
         f"""SELECT traffic_event_ts AS time, traffic_borough, traffic_lat AS latitude, traffic_lon AS longitude,
         {_SPEED} AS avg_speed, {_PM25} AS avg_pm25, count(*) AS point_count
         FROM business WHERE {_RANGE} AND aq_pm25_ugm3 IS NOT NULL GROUP BY 1, 2, 3, 4
-        ORDER BY 1, 2 NULLS FIRST, 3, 4 LIMIT 1000""",
+        """,
     ),
     "rpt_map_regions": _ranged(
         r.map_regions,

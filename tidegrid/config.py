@@ -17,10 +17,9 @@ class Box:
 
 @dataclass(frozen=True)
 class Skew:
-    """When a join group counts as hot, and how many of them are listed at most."""
+    """When a join group counts as hot."""
 
     hot_rows: int = 1_000_000
-    max_groups: int = 10_000
 
 
 @dataclass(frozen=True)
@@ -44,10 +43,10 @@ class Settings:
 
     # Tuning: results do not depend on them.
     trigger: str = "30 seconds"
-    max_offsets_per_trigger: int = 1000
+    max_offsets_per_trigger: int | None = None  # per topic; None: all that is there
     # Parts a streaming join key is cut into; the right side is copied to each.
-    aq_salt: int = 4
-    weather_salt: int = 16
+    aq_salt: int = 1  # the cell and the time spread these rows already
+    weather_salt: int | None = None  # None: as many as a shuffle has partitions
     region_key: bool = False
     skew: Skew = field(default_factory=Skew)
 

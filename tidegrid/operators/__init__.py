@@ -1 +1 @@
-"""DataFrame -> DataFrame operators. None runs an action, except ``skew.find_hot`` and ``joins.small_enough``."""
+"""DataFrame -> DataFrame operators. None runs an action, except ``skew.find_hot``."""

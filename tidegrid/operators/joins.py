@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,9 @@ from tidegrid.operators.skew import (
 )
 
 
+SLICES = 64  # of a time bucket, in the nearest-in-time join
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -95,21 +98,12 @@ def abs_seconds_join(
     return joined.drop("_sec_l", "_sec_r")
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """Counts at most ``max_rows + 1`` rows of a stored lookup. This runs a job."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def enrich_lookup(
-    main: DataFrame, lookup: DataFrame, key: str, lookup_key: str, flags: Sequence[str], broadcast: bool = False
-) -> DataFrame:
+def enrich_lookup(main: DataFrame, lookup: DataFrame, key: str, lookup_key: str, flags: Sequence[str]) -> DataFrame:
     """Left outer lookup join; flags without a lookup row become false.
 
-    Without ``broadcast`` Spark picks the strategy from the size of the stored
-    lookup. Set it only after ``small_enough``.
+    Spark picks the strategy from the size of the stored lookup: a small one is broadcast.
     """
     table = lookup.select(F.col(lookup_key).alias("_lookup"), *flags)
-    table = F.broadcast(table) if broadcast else table
     filled = {f: F.coalesce(F.col(f), F.lit(False)) for f in flags}
     return main.join(table, F.col(key) == F.col("_lookup"), "left").drop("_lookup").withColumns(filled)
 
@@ -185,9 +179,11 @@ def nearest_in_time_join(
 
     Ties go to the earlier reading, then to the smaller ``right_id``. Bounded
     inputs only. Work is linear in the input: the distinct times of both sides
-    are merged in order per (key, bucket), carrying the last reading before and
-    the first one after each time along, and rows take the reading of their time.
-    Copies are reduced to one before they are shuffled.
+    are merged in order per (key, bucket, slice of the bucket), carrying the
+    last reading before and the first one after each time along; what a slice
+    takes over from its neighbours comes from the first and last reading of
+    every slice. So no task holds a whole key or bucket. Copies are reduced to
+    one before they are shuffled.
     """
     width = bucket_width(seconds, seconds)
     r_cols = [c for c in right.columns if c not in keys]
@@ -197,17 +193,27 @@ def nearest_in_time_join(
         .groupBy(*keys, right_ts)
         .agg(F.min_by(reading, F.col(right_id)).alias("_reading"))
     )
-    events = bucket_right(readings, right_ts, seconds, seconds).select(
-        *keys, BUCKET, F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), "_reading"
+    piece = F.floor(micros(F.col("_t")) / F.lit(max(width // SLICES, 1))).alias("_slice")
+    events = bucket_right(readings, right_ts, seconds, seconds).withColumn("_t", F.col(right_ts)).select(
+        *keys, BUCKET, piece, "_t", F.lit(0).alias("_side"), "_reading"
     )
-    asked = left.select(
-        *keys, slot(F.col(left_ts), width).alias(BUCKET), F.col(left_ts).alias("_t"), F.lit(1).alias("_side")
+    asked = left.withColumn("_t", F.col(left_ts)).select(
+        *keys, slot(F.col("_t"), width).alias(BUCKET), piece, "_t", F.lit(1).alias("_side")
     ).distinct()
-    by_time = Window.partitionBy(*keys, BUCKET)
+    part = [*keys, BUCKET, "_slice"]
+    ends = events.groupBy(*part).agg(F.min_by("_reading", "_t").alias("_first"), F.max_by("_reading", "_t").alias("_last"))
+    empty = asked.select(*part).distinct().join(ends.select(*part), part, "left_anti")
+    by_slice = Window.partitionBy(*keys, BUCKET).orderBy("_slice")
+    carried = ends.unionByName(empty, allowMissingColumns=True).select(
+        *part,
+        F.last("_last", ignorenulls=True).over(by_slice.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
+        F.first("_first", ignorenulls=True).over(by_slice.rowsBetween(1, Window.unboundedFollowing)).alias("_later"),
+    )
+    by_time = Window.partitionBy(*part)
     so_far = (Window.unboundedPreceding, 0)
     back = by_time.orderBy(F.col("_t"), F.col("_side")).rowsBetween(*so_far)
     forth = by_time.orderBy(F.col("_t").desc(), F.col("_side")).rowsBetween(*so_far)
-    merged = (
+    inside = (
         events.unionByName(asked, allowMissingColumns=True)
         .withColumns(
             {
@@ -217,6 +223,9 @@ def nearest_in_time_join(
         )
         .where(F.col("_side") == 1)
     )
+    merged = inside.join(carried, part, "left").withColumns(
+        {"_prev": F.coalesce("_prev", "_earlier"), "_next": F.coalesce("_next", "_later")}
+    )
     t, limit = micros(F.col("_t")), F.lit(int(round(seconds * MICRO)))
     behind, ahead = (F.abs(micros(F.col(f"{c}.{right_ts}")) - t) for c in ("_prev", "_next"))
     prev_ok, next_ok = (F.coalesce(gap <= limit, F.lit(False)) for gap in (behind, ahead))
@@ -236,9 +245,11 @@ def latest_vs_earliest(df: DataFrame, ts: str, other: DataFrame, other_ts: str)
     return df.agg(F.max(ts).alias("latest_traffic")).withColumn("earliest_aq", earliest)
 
 
-def coverage_by_key(base: DataFrame, *parts: tuple[DataFrame, str], key: str, base_count: str) -> DataFrame:
-    """Row counts of a base table per key beside those of other tables, missing ones as 0."""
+def coverage_by_key(base: DataFrame, other: DataFrame, kinds: Mapping[str, Column], key: str, base_count: str) -> DataFrame:
+    """Row counts of a base table per key beside those of another table, one per kind of its rows, missing ones as 0.
+
+    Each table is read once and counted before the join.
+    """
     out = base.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(base_count))
-    for df, name in parts:
-        out = out.join(df.groupBy(key).agg(F.count(F.lit(1)).alias(name)), key, "left")
-    return out.na.fill(0, [name for _, name in parts])
+    counted = other.groupBy(key).agg(*(F.count_if(rule).alias(name) for name, rule in kinds.items()))
+    return out.join(counted, key, "left").na.fill(0, list(kinds))

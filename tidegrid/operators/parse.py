@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -27,14 +26,23 @@ def parse_json(topic: DataFrame, schema: StructType) -> DataFrame:
 
 
 def is_broken() -> F.Column:
-    """NULL and empty payloads give a NULL struct; they are broken too."""
+    """NULL and empty payloads give a NULL struct; they are broken too, and so is text behind the JSON value,
+    which the parser itself passes over."""
+    within = lambda end: F.json_array_length(F.concat(F.lit("["), F.col("raw_payload"), F.lit(end)))
+    # A text that closes the array itself shows in the second count.
+    alone = (within("]") == 1) & (within(",0]") == 2)
     return (
         F.col("payload").isNull()
+        | ~F.coalesce(alone, F.lit(False))
         | F.col(f"payload.{CORRUPT}").isNotNull()
         | (F.trim(F.col("raw_payload")) == "")
     )
 
 
+def with_broken_mark(parsed: DataFrame, name: str = "broken") -> DataFrame:
+    return parsed.withColumn(name, F.coalesce(is_broken(), F.lit(True)))
+
+
 def split_valid(parsed: DataFrame, keep_payload: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid rows, broken rows). Valid rows are the payload fields and the arrival time."""
     broken = F.coalesce(is_broken(), F.lit(True))
@@ -49,7 +57,3 @@ def split_valid(parsed: DataFrame, keep_payload: bool = False) -> tuple[DataFram
 
 def quarantine(*broken: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, broken)
-
-
-def project_required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*(F.col(f"`{c}`") for c in columns))

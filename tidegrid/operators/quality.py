@@ -60,11 +60,18 @@ def keep_clean(df: DataFrame, rules: Rules) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, rules.values()))
 
 
-def apply_rules(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
-    """(clean rows, rejected rows with the array of broken rules)."""
+def label_rules(df: DataFrame, rules: Rules) -> DataFrame:
+    """All rows with the array ``broken_rules``, empty for clean ones, in one pass."""
     broken = F.array_compact(F.array(*(F.when(~_holds(r), F.lit(n)) for n, r in rules.items())))
-    rejected = df.withColumn("broken_rules", broken).where(F.size("broken_rules") > 0)
-    return keep_clean(df, rules), rejected
+    return df.withColumn("broken_rules", broken)
+
+
+def apply_rules(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, rejected rows with the array of broken rules).
+
+    Two branches over ``df``: store it before, or use ``label_rules`` where both are wanted at once.
+    """
+    return keep_clean(df, rules), label_rules(df, rules).where(F.size("broken_rules") > 0)
 
 
 def split_contract(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:

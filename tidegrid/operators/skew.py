@@ -18,16 +18,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from tidegrid.config import Skew
 from tidegrid.functions.times import interval, micros, slot
+from tidegrid.session import work_dir
 
 LEFT_PART, RIGHT_PART, BUCKET = "_part_l", "_part_r", "_bucket"
 MICRO = 1_000_000
 
-_SPANS = ArrayType(StructType([StructField("lo", LongType()), StructField("hi", LongType())]))
-
 
 def row_part(df: DataFrame, parts: Column) -> Column:
     return F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns)), parts).cast("int")
@@ -55,7 +53,7 @@ def bucket_right(right: DataFrame, right_ts: str, before: float, after: float) -
 
 @dataclass(frozen=True)
 class HotGroups:
-    """A short table: key columns, bucket, number of parts, and time spans of the right rows."""
+    """A stored table: key columns, bucket, number of parts, and time spans of the right rows."""
 
     table: DataFrame
 
@@ -63,29 +61,30 @@ class HotGroups:
 def find_hot(
     right: DataFrame, keys: Sequence[str], right_ts: str, before: float, after: float, skew: Skew = Skew()
 ) -> HotGroups | None:
-    """Right groups (key, bucket) of more than ``skew.hot_rows`` rows. Runs one job.
+    """Right groups (key, bucket) of more than ``skew.hot_rows`` rows, stored; None if there are none.
 
-    At most ``skew.max_groups`` groups are listed, the largest ones; a group
-    that is not listed holds less than ``1 / max_groups`` of the rows and is not
-    cut, which changes no result. Counting is combined on the map side.
+    Runs one job that counts, combined on the map side, and where groups are
+    found a second one over the rows of these groups alone. However many they
+    are, all of them are listed.
     """
     width = bucket_width(before, after)
+    bucketed = bucket_right(right.select(*keys, right_ts), right_ts, before, after)
+    counted = bucketed.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > skew.hot_rows)
+    found = right.sparkSession.read.schema(counted.schema).parquet(_written(counted, "hot-groups"))
+    if found.isEmpty():
+        return None
     half = max(width // 2, 1)
     time = micros(F.col(right_ts))
     start = F.col(BUCKET) * F.lit(width) - F.lit(int(round(before * MICRO)))
     place = F.floor((time - start) / F.lit(half))
     spans = range(-(-2 * width // half) + 1)
-    counted = (
-        bucket_right(right.select(*keys, right_ts), right_ts, before, after)
-        .groupBy(*keys, BUCKET)
+    listed = (
+        bucketed.join(found, [*keys, BUCKET])
+        .groupBy(*keys, BUCKET, "_n")
         .agg(
-            F.count(F.lit(1)).alias("_n"),
             *(F.min(F.when(place == i, time)).alias(f"_lo{i}") for i in spans),
             *(F.max(F.when(place == i, time)).alias(f"_hi{i}") for i in spans),
         )
-        .where(F.col("_n") > skew.hot_rows)
-        .orderBy(F.col("_n").desc())
-        .limit(skew.max_groups)
         .select(
             *keys,
             BUCKET,
@@ -93,14 +92,13 @@ def find_hot(
             F.array(*(F.struct(F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")) for i in spans)).alias("_spans"),
         )
     )
-    rows = counted.collect()
-    if not rows:
-        return None
-    schema = StructType(
-        [*(right.schema[k] for k in keys), StructField(BUCKET, LongType()), StructField("_parts", IntegerType()),
-         StructField("_spans", _SPANS)]
-    )
-    return HotGroups(right.sparkSession.createDataFrame(rows, schema))
+    return HotGroups(right.sparkSession.read.schema(listed.schema).parquet(_written(listed, "hot-spans")))
+
+
+def _written(df: DataFrame, name: str) -> str:
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
 
 
 def _cut_right(right: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFrame:
@@ -111,7 +109,7 @@ def _cut_right(right: DataFrame, keys: Sequence[str], hot: HotGroups) -> DataFra
     divided among the parts; the copies come back after the join.
     """
     columns = right.columns
-    marked = right.join(F.broadcast(hot.table.drop("_spans")), list(keys), "left")
+    marked = right.join(hot.table.drop("_spans"), list(keys), "left")
     cold = marked.where(F.col("_parts").isNull()).select(
         *columns, F.lit(0).alias(RIGHT_PART), F.lit(1).cast("bigint").alias("_times")
     )
@@ -140,7 +138,7 @@ def cut_outer(
     matches = F.coalesce(F.exists("_spans", lambda s: (s["hi"] >= lo) & (s["lo"] <= hi)), F.lit(False))
     parts = F.coalesce(F.col("_parts"), F.lit(1))
     left = (
-        left.join(F.broadcast(hot.table), list(keys), "left")
+        left.join(hot.table, list(keys), "left")
         .withColumn("_everywhere", (parts > 1) & matches)
         .withColumn(RIGHT_PART, copies(F.when(F.col("_everywhere"), parts).otherwise(F.lit(1))))
         .drop("_parts", "_spans")

@@ -8,14 +8,17 @@ skewed buckets of either side at run time (the joins are inner).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.config import Settings
 from tidegrid.functions.geo import in_edges, planar_distance, ring_edges, segment_distance
-from tidegrid.functions.hexgrid import CELL_PATTERN, cell_axial, cell_edge, cell_id, disk_offsets, hex_cell
+from tidegrid.functions.hexgrid import CELL_PATTERN, EARTH_M, cell_axial, cell_edge, cell_id, disk_offsets, hex_cell
 
 _GRID = ["_gx", "_gy"]
+DEGREE_M = EARTH_M * math.pi / 180.0  # metres of a degree of latitude
 
 
 def with_cell(df: DataFrame, lat: str, lon: str, edge_m: float, name: str = "h3_index") -> DataFrame:
@@ -91,6 +94,14 @@ def points_in_zones(
         {"_x1": F.array_min(x1), "_x2": F.array_max(x1), "_y1": F.array_min(x2), "_y2": F.array_max(x2)}
     )
     layer = _copy_to_buckets(layer, F.col("_x1"), F.col("_x2"), F.col("_y1"), F.col("_y2"), size)
+    # A point looks along its latitude to larger longitudes: a bucket needs no edge above, below or behind it.
+    low, left = F.col("_gy") * F.lit(size), F.col("_gx") * F.lit(size)
+    pad = F.lit(size * 1e-6)
+    meets = lambda e: (
+        (F.least(e["y1"], e["y2"]) <= low + F.lit(size) + pad) & (F.greatest(e["y1"], e["y2"]) >= low - pad)
+        & (F.greatest(e["x1"], e["x2"]) >= left - pad)
+    )
+    layer = layer.withColumn("_edges", F.filter("_edges", meets)).where(F.size("_edges") > 0)
     px, py = F.col(lon), F.col(lat)
     in_box = px.between(F.col("_x1"), F.col("_x2")) & py.between(F.col("_y1"), F.col("_y2"))
     hits = (
@@ -171,6 +182,36 @@ def near_sites(
     return _outer(points, hits, point_id, how)
 
 
+def _scaled(df: DataFrame, lon: str, shrink: float) -> DataFrame:
+    """Longitudes in units as long as a degree of latitude."""
+    return df.withColumn("_scaled", F.col(lon) * F.lit(shrink))
+
+
+def near_lines_metres(
+    points: DataFrame, lines: DataFrame, point_id: str, lon: str, lat: str, metres: float, shrink: float, how: str = "inner"
+) -> DataFrame:
+    """As ``near_lines``, within ``metres`` and with ``line_metres``.
+
+    A degree of longitude is ``shrink`` (the cosine of the region's latitude)
+    times as long as one of latitude, so 0.001 degrees are not the same distance
+    in both directions.
+    """
+    flat = F.transform("path", lambda p: F.struct((p["lon"] * F.lit(shrink)).alias("lon"), p["lat"].alias("lat")))
+    found = near_lines(
+        _scaled(points, lon, shrink), lines.withColumn("path", flat), point_id, "_scaled", lat, metres / DEGREE_M, how
+    )
+    return found.withColumn("line_metres", F.col("line_degrees") * F.lit(DEGREE_M)).drop("_scaled", "line_degrees")
+
+
+def near_sites_metres(
+    points: DataFrame, sites: DataFrame, point_id: str, lon: str, lat: str, metres: float, shrink: float, how: str = "inner"
+) -> DataFrame:
+    """As ``near_sites``, within ``metres`` and with ``site_metres``; see ``near_lines_metres``."""
+    flat = sites.withColumn("site_lon", F.col("site_lon") * F.lit(shrink))
+    found = near_sites(_scaled(points, lon, shrink), flat, point_id, "_scaled", lat, metres / DEGREE_M, how)
+    return found.withColumn("site_metres", F.col("site_degrees") * F.lit(DEGREE_M)).drop("_scaled", "site_degrees")
+
+
 def collapse_flags(df: DataFrame, key: str, flags: list[str]) -> DataFrame:
     """One row per key; a flag is true if any row of the key has it."""
     return df.groupBy(key).agg(*(F.coalesce(F.bool_or(f), F.lit(False)).alias(f) for f in flags))

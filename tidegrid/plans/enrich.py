@@ -20,17 +20,17 @@ _TRAFFIC = {
 }
 
 
-def with_static_flags(traffic: DataFrame, lookup: DataFrame, broadcast: bool = False) -> DataFrame:
-    flagged = enrich_lookup(traffic, lookup, "h3_index", "h3_lookup_index", FLAGS, broadcast)
+def with_static_flags(traffic: DataFrame, lookup: DataFrame) -> DataFrame:
+    flagged = enrich_lookup(traffic, lookup, "h3_index", "h3_lookup_index", FLAGS)
     return flagged.withColumns(
         {"is_congestion_zone": F.col(FLAGS[0]), "is_truck_route": F.col(FLAGS[1])}
     )
 
 
-def _against_skew(right: DataFrame, key: str, ts: str, seconds: int, salt: int, cfg: Settings) -> dict:
+def _against_skew(right: DataFrame, key: str, ts: str, seconds: int, salt: int | None, cfg: Settings) -> dict:
     """Streams are salted; on bounded tables hot right groups are looked up, which runs a job."""
     if right.isStreaming:
-        return {"salt": salt}
+        return {"salt": salt or int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))}
     return {"hot": find_hot(right, [key], ts, seconds, seconds, cfg.skew)}
 
 
@@ -60,13 +60,12 @@ def with_weather(traffic: DataFrame, weather: DataFrame, cfg: Settings = Setting
 
 def enrich(
     traffic: DataFrame, aq: DataFrame, weather: DataFrame, lookup: DataFrame, cfg: Settings = Settings(),
-    broadcast_lookup: bool = False,
 ) -> DataFrame:
     """Static flags, then air quality, then weather; unmatched traffic rows are kept throughout."""
     named = traffic.withColumnsRenamed(_TRAFFIC).drop(
         "data_as_of", "link_points", "encoded_poly_line", "first_link_point", "kafka_timestamp", "raw_payload"
     )
-    flagged = with_static_flags(named, lookup, broadcast_lookup)
+    flagged = with_static_flags(named, lookup)
     aired = with_air_quality(flagged, aq, cfg)
     if aired.isStreaming:
         aired = aired.withColumn("aq_event_ts", times.shed_event_time(F.col("aq_event_ts")))

@@ -54,7 +54,7 @@ def dashboard_filter(df: DataFrame, start: Column, end: Column, congestion: str
     df = between(df, TS, start, end)
     for flag, choice in ((ZONE, congestion), (ROUTE, truck)):
         if choice != ALL:
-            df = df.where(text.as_text(F.col(flag)) == choice)
+            df = df.where(F.col(flag).cast("string") == choice)
     return df
 
 
@@ -126,7 +126,8 @@ def region_current(df: DataFrame, as_of: Column, minutes: int = 15) -> DataFrame
 
 # Maps ------------------------------------------------------------------------
 
-def map_points(df, start, end, congestion=ALL, truck=ALL, n: int = 1000) -> DataFrame:
+def map_points(df, start, end, congestion=ALL, truck=ALL, n: int | None = None) -> DataFrame:
+    """Averages per time, region and place in that order; the first ``n`` where a dashboard asks for a limit."""
     rows = _matched(dashboard_filter(df, start, end, congestion, truck))
     keys = [F.col(TS).alias("time"), F.col(REGION), F.col("traffic_lat").alias("latitude"), F.col("traffic_lon").alias("longitude")]
     out = (
@@ -134,7 +135,8 @@ def map_points(df, start, end, congestion=ALL, truck=ALL, n: int = 1000) -> Data
         .groupBy(*keys)
         .agg(_speed().alias("avg_speed"), _pm25().alias("avg_pm25"), _rows().alias("point_count"))
     )
-    return tables.top_n(out, n, F.col("time"), F.col(REGION), F.col("latitude"), F.col("longitude"))
+    order = [F.col("time"), F.col(REGION), F.col("latitude"), F.col("longitude")]
+    return out.orderBy(*order) if n is None else tables.top_n(out, n, *order)
 
 
 def map_regions(df, start, end, congestion=ALL, truck=ALL) -> DataFrame:
@@ -186,10 +188,9 @@ def coverage_by_region(raw: DataFrame, df: DataFrame) -> DataFrame:
     ``traffic_aq_rows`` counts *all* business rows of the region, matched or
     not, so the percentages compare fan-out with raw rows and may exceed 100.
     """
-    weather = df.where(F.col("weather_temperature").isNotNull())
     counts = joins.coverage_by_key(
-        raw.withColumnRenamed("borough", REGION),
-        (df, "traffic_aq_rows"), (weather, "traffic_aq_weather_rows"),
+        raw.withColumnRenamed("borough", REGION), df,
+        {"traffic_aq_rows": F.lit(True), "traffic_aq_weather_rows": F.col("weather_temperature").isNotNull()},
         key=REGION, base_count="traffic_rows",
     )
     return counts.withColumns(
@@ -306,7 +307,7 @@ def hot_slow_cells(df: DataFrame, max_speed: float = 15, n: int = 10) -> DataFra
             _speed().alias("avg_speed"),
             _pm25().alias("avg_pm25"),
             _rows().alias("records"),
-            text.as_text(stats.any_true(ROUTE)).alias("on_truck_route"),
+            stats.any_true(ROUTE).cast("string").alias("on_truck_route"),
         )
     )
     return tables.top_n(cells, n, F.col("avg_pm25").desc(), F.col(CELL), F.col(REGION))
@@ -341,7 +342,7 @@ def region_hour_pivot(df: DataFrame) -> DataFrame:
 
 def confounder_uplift(df: DataFrame) -> DataFrame:
     """Mean PM2.5 per flag combination against rows with neither flag."""
-    keys = [text.as_text(F.col(ZONE)).alias("in_congestion_zone"), text.as_text(F.col(ROUTE)).alias("near_truck_route")]
+    keys = [F.col(ZONE).cast("string").alias("in_congestion_zone"), F.col(ROUTE).cast("string").alias("near_truck_route")]
     out = tables.uplift(_matched(df), keys, ~F.col(ZONE) & ~F.col(ROUTE), "aq_pm25_ugm3")
     named = out.withColumnsRenamed({"avg_value": "avg_pm25", "uplift": "pm25_uplift_vs_baseline"})
     return named.orderBy(F.col("pm25_uplift_vs_baseline").desc())
