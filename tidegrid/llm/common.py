@@ -39,6 +39,21 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def hashed_sample(rows: DataFrame, key: str, sample: int, *ties: str) -> DataFrame:
+    """The ``sample`` rows with the smallest hashes of their key, the same in each run.
+
+    Rows are counted first, and only those whose hash is small enough for half
+    as many again are sorted, so what tasks hand on does not grow with their
+    number.
+    """
+    span = 1 << 40
+    place = F.pmod(F.xxhash64(key), F.lit(span))
+    n = rows.count()
+    if n > 2 * sample:
+        rows = rows.where(place < int(span * 1.5 * sample / n))
+    return rows.orderBy(place, key, *ties).limit(sample)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into the held-out fold; a NULL id does not."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))

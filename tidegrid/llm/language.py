@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import held_out
+from tidegrid.llm.common import hashed_sample, held_out
 
 FOLDS, FOLD = 4, 2
 BINS = 4096  # hash bins of the n-grams
@@ -117,8 +117,12 @@ def train(docs: DataFrame, sample: int = 4_000, chars: int = 4_000) -> LanguageM
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, FOLD)
         & F.col("text").rlike(r"\p{L}")
     )
-    part = usable.select("doc_id", "lang", F.substring("text", start.cast("int"), F.lit(chars)).alias("part"))
-    rows = part.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "part").limit(sample).collect()
+    # Ids first: their texts are fetched once they are chosen. At most ``sample`` ids are broadcast.
+    ids = hashed_sample(usable.select("doc_id").distinct(), "doc_id", sample)
+    part = usable.join(F.broadcast(ids), "doc_id").select(
+        "doc_id", "lang", F.substring("text", start.cast("int"), F.lit(chars)).alias("part")
+    )
+    rows = hashed_sample(part, "doc_id", sample, "lang", "part").collect()
     return fit([r["part"] for r in rows], [r["lang"] for r in rows])
 
 

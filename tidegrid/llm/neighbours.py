@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import stored
+from tidegrid.llm.common import hashed_sample, stored
 
 ERROR = 2.5  # width of the bound, in standard deviations of the estimate
 SAMPLE = 10_000  # rows from which the centre is taken
@@ -64,7 +64,7 @@ def vectors(df: DataFrame, vec_id: str = "vec_id", vec: str = "embedding") -> Da
 
 def centre_of(rows: DataFrame, sample: int = SAMPLE) -> np.ndarray | None:
     """Mean of at most ``sample`` vectors, those with the smallest hashes of their ids."""
-    got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec").collect()
+    got = hashed_sample(rows, "vec_id", sample).select("vec").collect()
     dims = {len(r["vec"]) for r in got}
     if not dims:
         return None

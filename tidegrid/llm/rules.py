@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import WORD, carried, held_out, restored
+from tidegrid.llm.common import WORD, carried, hashed_sample, held_out, restored
 
 FOLDS, FOLD, CUT = 5, 0, 0.3
 
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     usable = labels.select(F.col("doc_id"), F.col(f"`{label}`").cast("int").alias("_y")).where(
         F.col("doc_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out(F.col("doc_id"), FOLDS, FOLD)
     )
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "_y").limit(sample)
+    chosen = hashed_sample(usable, "doc_id", sample, "_y")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows, names = with_features(rows)
     got = rows.select("doc_id", "_y", *(f"_f_{n}" for n in names)).toPandas().sort_values(["doc_id", "_y"])
