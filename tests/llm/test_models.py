@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidegrid.llm import language, neighbours, registry, rules, secrets
-from tidegrid.llm.common import table
+from tidegrid.llm.common import hashed_sample, table
 
 DOCS = "doc_id long, text string"
 SF = "/root/testdata/sf0.01"
@@ -51,6 +51,15 @@ def test_quality_odd_rows(spark):
     assert rules.kept_by_quality(docs.limit(0), none).count() == 0
 
 
+def test_samples_are_the_smallest_hashes(spark):
+    rows = spark.range(50_000).withColumnRenamed("id", "k").withColumn("v", F.lit("x"))
+    got = [r.k for r in hashed_sample(rows, "k", 1000, "v").collect()]
+    want = [r.k for r in rows.orderBy(F.pmod(F.xxhash64("k"), F.lit(1 << 40)), "k").limit(1000).collect()]
+    assert got == want
+    assert [r.k for r in hashed_sample(rows.repartition(7), "k", 1000).collect()] == want
+    assert hashed_sample(rows, "k", 60_000).count() == 50_000 and hashed_sample(rows.limit(0), "k", 5).count() == 0
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 7, 12):
         code = language.codewords(n)

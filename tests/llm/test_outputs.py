@@ -48,6 +48,15 @@ def test_words_from_memory_equal_whole_texts():
         assert np.frombuffer(raw, dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids + [2], text
 
 
+def test_plain_words_take_the_short_way():
+    path = tokens.vocabulary()
+    whole, encoder = Tokenizer.from_file(path), tokens.WordEncoder(path)
+    texts = [c + "a" + d + "." + c for c in map(chr, range(0x20, 0x260)) for d in ("B", "İ", "é")]
+    texts += [c * 2 + m for c in "aZéŉǅſ" for m in map(chr, range(33, 127))]
+    for text, raw in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(raw, dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids + [2], text
+
+
 def plain_tokens(docs):
     tok, at, out = Tokenizer.from_file(tokens.vocabulary()), 0, []
     for d, t in sorted(docs, key=lambda x: (x[0] is not None, x[0] or 0)):
