@@ -28,7 +28,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 def content(line: Column) -> Column:
     """What is compared: the line without white space at its ends."""
-    return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def later_lines(docs: DataFrame) -> DataFrame:
     rows = line_rows(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()))
     keyed = stored(
         rows.select(
-            "doc_id", "line_no", _line_key(F.col("line")).alias("line_key"), F.length("line").alias("n"),
+            "doc_id", "line_no", _line_key(F.col("line")).alias("line_key"),
             F.when(F.length("line") >= LEAST_CHARS, _halves(F.col("line"))).alias("halves"),
         ),
         "lines",
@@ -125,20 +125,26 @@ def later_lines(docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "line_no")
     # The hash of a place stands for the distinct line that is first there.
     firsts = stored(
-        keyed.groupBy("line_key").agg(F.min(place).alias("first"), F.any_value("halves").alias("halves"))
+        keyed.groupBy("line_key")
+        .agg(F.min(place).alias("first"), F.any_value("halves").alias("halves"), F.count(F.lit(1)).alias("n"))
         .withColumn("id", F.xxhash64("line_key.a", "line_key.b")),
         "first-lines",
     )
-    shared = firsts.select(F.explode("halves").alias("half")).groupBy("half").count().where("count > 1").select("half")
-    near = (
-        firsts.select("id", "first", F.explode("halves").alias("half")).join(shared, "half", "left_semi")
-        .select("id", "first").distinct()
-    )
-    text = rows.select(place.alias("first"), "line")
-    lines = near.join(text, "first").groupBy("id", "first").agg(F.min("line").alias("line"))
-    lines = stored(lines.select("id", "first.doc_id", "first.line_no", "line"), "near-lines")
+    # Dealt out by half once: the halves that occur twice are counted and looked up where they lie.
+    halves = firsts.select("id", F.explode("halves").alias("half")).repartition("half")
+    shared = halves.groupBy("half").count().where("count > 1").select("half")
+    near = halves.join(shared.hint("shuffle_hash"), "half", "left_semi").select("id").distinct()
+    near = stored(firsts.join(near, "id", "left_semi").select("id", "first.doc_id", "first.line_no"), "near-places")
+    # Only documents in which such a line first stands are cut into lines again.
+    theirs = docs.select("doc_id", "text").join(near.select("doc_id").distinct(), "doc_id", "left_semi")
+    lines = near.join(line_rows(theirs), ["doc_id", "line_no"]).groupBy("id", "doc_id", "line_no").agg(F.min("line").alias("line"))
+    lines = stored(lines, "near-lines")
+    # Of the variants, too, only those go on that another line shares; runs of a letter repeat a key within a line.
+    dealt = _variants(lines).repartition("key")
+    several = dealt.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a != b").select("key")
+    known = stored(dealt.join(several.hint("shuffle_hash"), "key", "left_semi"), "shared-variants")
     # An order over lines: by the place where each first stands.
-    known = stored(_variants(lines), "variants").select("id", "key", "at", F.struct("doc_id", "line_no", "id").alias("o"))
+    known = known.select("id", "key", "at", F.struct("doc_id", "line_no", "id").alias("o"))
     deleted = known.where("at >= 0")
     # Lines that lack the same character place and are else equal: all of them are within one replacement.
     replaced = deleted.groupBy("key", "at").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -159,8 +165,9 @@ def later_lines(docs: DataFrame) -> DataFrame:
     distance = F.levenshtein(F.col("line"), F.col("other_line"), EDITS)
     gone = stored(both.where((distance >= 0) & (distance <= EDITS)).select("id").distinct(), "near-repeats")
 
-    marked = firsts.join(gone.withColumn("gone", F.lit(True)), "id", "left").select("line_key", "first", "gone")
-    again = keyed.select("line_key", "doc_id", "line_no").join(marked, "line_key")
+    marked = firsts.join(gone.withColumn("gone", F.lit(True)), "id", "left")
+    marked = marked.where("n > 1 OR gone").select("line_key", "first", "gone")
+    again = keyed.select("line_key", "doc_id", "line_no").join(marked.hint("shuffle_hash"), "line_key")
     late = F.coalesce("gone", F.lit(False)) | (place != F.col("first"))
     return again.where(late).select("doc_id", "line_no")
 
