@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidegrid.catalogue import feeds
@@ -16,6 +18,7 @@ from tidegrid.operators import ingest, joins, neighbours, quality, skew, spatial
 from tidegrid.operators.parse import parse_json, quarantine, with_broken_mark
 from tidegrid.plans import lookup as lookups
 from tidegrid.plans import refine
+from tidegrid.plans.enrich import with_air_quality
 from tidegrid.schemas import FEEDS
 from tidegrid.session import work_dir
 from tidegrid.sources.tables import PARTITION
@@ -568,6 +571,31 @@ def abs_seconds_join(spark, sf):
     return joined.select("t_id", "a_id")
 
 
+@query(
+    upto(
+        "aq",
+        """SELECT t.id AS traffic_id, aq_source, aq_location_id, aq_event_ts, pm25 AS aq_pm25_ugm3 FROM traffic t LEFT JOIN (
+          SELECT *, row_number() OVER (PARTITION BY aq_source, aq_location_id, time_bucket(INTERVAL 1 HOUR, aq_event_ts)
+            ORDER BY aq_event_ts, pm25) AS rn FROM aq) a
+        ON rn = 1 AND a.cell = t.cell AND aq_event_ts >= event_ts - INTERVAL 15 MINUTE AND aq_event_ts <= event_ts + INTERVAL 15 MINUTE""",
+    )
+)
+def enrich_thinned(spark, sf):
+    """Air quality beside traffic, one reading per station and hour at most."""
+    traffic, aq, _ = feeds.refined_tables(spark, sf)
+    joined = with_air_quality(traffic, aq, replace(CFG, thin_seconds=3600))
+    return joined.select(F.col("id").alias("traffic_id"), "aq_source", "aq_location_id", "aq_event_ts", "aq_pm25_ugm3")
+
+
+@query(upto("traffic", "SELECT id FROM traffic WHERE cast(id as bigint) % 2 = 0"))
+def refine_in_time(spark, sf):
+    """Every second message arrives an hour early, that is stamped in the future; those go."""
+    raw = feeds.feed(spark, sf, "traffic")
+    early = F.when(F.col("id").cast("bigint") % 2 == 1, F.col("kafka_timestamp") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("kafka_timestamp"))
+    kept = refine.refine_traffic(raw.withColumn("kafka_timestamp", early), replace(CFG, future_slack_seconds=300))
+    return kept.select("id")
+
+
 _NEAR = o.haversine("t_lat", "t_lon", "a_lat", "a_lon")
 
 

@@ -48,6 +48,11 @@ class Settings:
     aq_salt: int = 1  # the cell and the time spread these rows already
     weather_salt: int | None = None  # None: as many as a shuffle has partitions
     region_key: bool = False
+    # Options that change the result; off as in the plain reading.
+    # Readings stamped further ahead of their arrival are dropped, so one fast clock cannot move the watermark.
+    future_slack_seconds: int | None = None
+    # One reading per station and bin of so many seconds: feeds that stamp an unchanged value anew do not multiply rows.
+    thin_seconds: int | None = None
     skew: Skew = field(default_factory=Skew)
 
 

@@ -10,6 +10,7 @@ from tidegrid.functions import times
 from tidegrid.operators.joins import enrich_lookup, interval_join
 from tidegrid.operators.skew import find_hot
 from tidegrid.operators.spatial import FLAGS
+from tidegrid.operators.tables import thin_readings
 from tidegrid.plans.refine import region_name
 from tidegrid.schemas import BUSINESS
 
@@ -34,8 +35,19 @@ def _against_skew(right: DataFrame, key: str, ts: str, seconds: int, salt: int |
     return {"hot": find_hot(right, [key], ts, seconds, seconds, cfg.skew)}
 
 
+def thinned(readings: DataFrame, keys: list[str], ts: str, cfg: Settings, *tie: str) -> DataFrame:
+    """One reading per key and time bin if ``cfg.thin_seconds`` is set: the first by time, in a stream the first to arrive."""
+    if cfg.thin_seconds is None:
+        return readings
+    if not readings.isStreaming:
+        return thin_readings(readings, keys, ts, cfg.thin_seconds, *tie)
+    binned = readings.withColumn("_bin", times.time_bin(F.col(ts), cfg.thin_seconds))
+    return binned.dropDuplicatesWithinWatermark([*keys, "_bin"]).drop("_bin")
+
+
 def with_air_quality(traffic: DataFrame, aq: DataFrame, cfg: Settings = Settings(), how: str = "left") -> DataFrame:
     seconds = cfg.aq_window_minutes * 60
+    aq = thinned(aq, ["aq_source", "aq_location_id"], "aq_event_ts", cfg, "aq_pm25_ugm3")
     readings = aq.select(
         "h3_index", "aq_source", "aq_location_id", "aq_location_name", "aq_pm25_ugm3", "aq_temperature",
         "aq_humidity", "aq_event_ts",
@@ -49,6 +61,7 @@ def with_air_quality(traffic: DataFrame, aq: DataFrame, cfg: Settings = Settings
 def with_weather(traffic: DataFrame, weather: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """With the constant key each row meets the weather of all regions; ``region_key`` limits it to its own."""
     seconds = cfg.weather_window_minutes * 60
+    weather = thinned(weather, ["weather_join_key", "weather_period_name"], "weather_event_ts", cfg, "weather_temperature")
     key = region_name(F.col("traffic_borough")) if cfg.region_key else F.lit(cfg.weather_key)
     joined = interval_join(
         traffic.withColumn("weather_join_key", key), weather, ["weather_join_key"],

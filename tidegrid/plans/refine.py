@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from tidegrid.config import Settings
 from tidegrid.functions import text, times
 from tidegrid.functions.hexgrid import hex_cell
-from tidegrid.operators.quality import aq_rules, keep_clean, traffic_rules
+from tidegrid.operators.quality import aq_rules, keep_clean, not_in_future, traffic_rules
 from tidegrid.operators.tables import union_contract
 
 
+def _in_time(df: DataFrame, ts: str, cfg: Settings) -> DataFrame:
+    if cfg.future_slack_seconds is None:
+        return df
+    return df.where(not_in_future(ts, "kafka_timestamp", cfg.future_slack_seconds))
+
+
 def type_traffic(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     lat, lon = text.first_point(F.col("link_points"))
     return raw.withColumns(
@@ -28,7 +34,7 @@ def type_traffic(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 def refine_traffic(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """The box filter leaves only points that have a cell."""
-    clean = keep_clean(type_traffic(raw, cfg), traffic_rules(cfg))
+    clean = _in_time(keep_clean(type_traffic(raw, cfg), traffic_rules(cfg)), "traffic_event_ts", cfg)
     cell = hex_cell(F.col("traffic_lat"), F.col("traffic_lon"), cfg.hex_edge_m, cfg, checked=True)
     return clean.withColumn("h3_index", cell).withWatermark("traffic_event_ts", cfg.watermark_delay)
 
@@ -80,7 +86,7 @@ def type_air_quality(openaq: DataFrame, purpleair: DataFrame) -> DataFrame:
 
 def refine_air_quality(openaq: DataFrame, purpleair: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """One watermark, set after the union: a second one on the same stream is not allowed."""
-    clean = keep_clean(type_air_quality(openaq, purpleair), aq_rules(cfg))
+    clean = _in_time(keep_clean(type_air_quality(openaq, purpleair), aq_rules(cfg)), "aq_event_ts", cfg)
     cell = hex_cell(F.col("aq_lat"), F.col("aq_lon"), cfg.hex_edge_m, cfg, checked=True)
     return clean.withColumn("h3_index", cell).withWatermark("aq_event_ts", cfg.watermark_delay)
 
@@ -88,8 +94,9 @@ def refine_air_quality(openaq: DataFrame, purpleair: DataFrame, cfg: Settings =
 def refine_weather(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     key = region_name(F.col("borough")) if cfg.region_key else F.lit(cfg.weather_key)
     rain = F.col("probabilityOfPrecipitation.value").try_cast("int")
-    return raw.select(
-        times.instant(F.col("startTime")).alias("weather_event_ts"),
+    seen = _in_time(raw.withColumn("weather_event_ts", times.instant(F.col("startTime"))), "weather_event_ts", cfg)
+    return seen.select(
+        "weather_event_ts",
         key.alias("weather_join_key"),
         text.or_default(F.col("name"), "Unknown").alias("weather_period_name"),
         F.col("temperature").try_cast("int").alias("weather_temperature"),
