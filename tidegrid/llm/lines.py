@@ -130,14 +130,15 @@ def later_lines(docs: DataFrame) -> DataFrame:
         .withColumn("id", F.xxhash64("line_key.a", "line_key.b")),
         "first-lines",
     )
+    # The small sides below are joined by hash at every size, so that shuffles grow with the input and not by steps.
     # Dealt out by half once: the halves that occur twice are counted and looked up where they lie.
     halves = firsts.select("id", F.explode("halves").alias("half")).repartition("half")
     shared = halves.groupBy("half").count().where("count > 1").select("half")
     near = halves.join(shared.hint("shuffle_hash"), "half", "left_semi").select("id").distinct()
-    near = stored(firsts.join(near, "id", "left_semi").select("id", "first.doc_id", "first.line_no"), "near-places")
+    near = stored(firsts.join(near.hint("shuffle_hash"), "id", "left_semi").select("id", "first.doc_id", "first.line_no"), "near-places")
     # Only documents in which such a line first stands are cut into lines again.
-    theirs = docs.select("doc_id", "text").join(near.select("doc_id").distinct(), "doc_id", "left_semi")
-    lines = near.join(line_rows(theirs), ["doc_id", "line_no"]).groupBy("id", "doc_id", "line_no").agg(F.min("line").alias("line"))
+    theirs = docs.select("doc_id", "text").join(near.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
+    lines = line_rows(theirs).join(near.hint("shuffle_hash"), ["doc_id", "line_no"]).groupBy("id", "doc_id", "line_no").agg(F.min("line").alias("line"))
     lines = stored(lines, "near-lines")
     # Of the variants, too, only those go on that another line shares; runs of a letter repeat a key within a line.
     dealt = _variants(lines).repartition("key")
@@ -181,7 +182,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     late = later_lines(docs).groupBy("doc_id").agg(F.collect_set("line_no").alias("_late"))
     others = [c for c in docs.columns if c != "text"]
     split = docs.select("doc_id", F.split("text", "\n", -1).alias("_lines"), *carried(others))
-    rows = split.join(late, "doc_id", "left")
+    rows = split.join(late.hint("shuffle_hash"), "doc_id", "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("_late", F.array().cast("array<int>")))
     text = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
     back = dict(zip(others, restored(others), strict=True)) | {"text": F.when(F.col("_lines").isNotNull(), text).alias("text")}
