@@ -6,7 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidegrid.llm import components, decontaminate, lines, simhash
+from tidegrid.llm import components, decontaminate, lines, resemblance, simhash
 
 DOCS = "doc_id long, text string"
 
@@ -112,6 +112,44 @@ def test_one_of_each_group_stays(spark):
     assert ids.count(300) == 1 and ids.count(303) == 1 and ids.count(None) == 1 and not {301, 302} & set(ids)
 
 
+def five_words(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))}
+
+
+def similar_texts():
+    """Copies with more and more words changed, around a similarity of 0.8, some with a common passage before them."""
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(500)]
+    passage, out = [r.choice(words) for _ in range(12)], []
+    for d in range(60):
+        text = (passage if d % 2 else []) + [r.choice(words) for _ in range(r.choice((6, 30, 120, 400)))]
+        out.append((d, " ".join(text)))
+        for k in range(1, 4):
+            for _ in range(max(1, len(text) // 90)):
+                text[r.randrange(len(text))] = r.choice(words)
+            out.append((100 * k + d, " ".join(text)))
+    hot = [r.choice(words) for _ in range(150)]
+    for k in range(40):
+        copy = list(hot)
+        copy[r.randrange(150)] = f"x{k}"
+        out.append((1000 + k, " ".join(copy)))
+    return out + [(2000, "a b"), (2001, "A  b"), (2002, "a c"), (2003, None), (2004, " \n")]
+
+
+@pytest.mark.parametrize("common", [2, 10**6])
+def test_near_copies_equal_brute_force(spark, monkeypatch, common):
+    monkeypatch.setattr(resemblance, "COMMON", common)
+    docs = similar_texts()
+    sets = {d: five_words(t) for d, t in docs}
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-12]
+    least = plain_components(pairs, {d: d for d in sets})
+    got = simhash.one_of_each_group(spark.createDataFrame(docs, DOCS).repartition(3))
+    assert sorted(x.doc_id for x in got.collect()) == sorted(set(least.values()))
+    far = [(a, b) for a, b in pairs if bin(plain_fingerprint(dict(docs)[a]) ^ plain_fingerprint(dict(docs)[b])).count("1") > 3]
+    assert len(far) > 20 and len(set(least.values())) > 60
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert simhash.near_duplicates(none).count() == 0

@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegrid.llm import resemblance
 from tidegrid.llm.common import stored
 from tidegrid.llm.components import smallest_reachable
 
@@ -129,14 +130,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """Of each component the row with its smallest ``doc_id``, in the columns of ``docs``.
+    """Of each group of near copies the row with the smallest ``doc_id``, in the columns of ``docs``.
 
-    Repeated rows of that id are reduced to one: the one with the smallest hash
-    of its columns. Rows without an id are kept.
+    Near copies share at least 80 % of their five-word shingles, or are linked
+    over others that do (``resemblance``); fingerprints and their contract
+    settings have no part in this. Repeated rows of the smallest id are reduced
+    to one: the one with the smallest hash of its columns. Rows without an id
+    are kept.
     """
-    held = docs.select("doc_id", "text")
-    keep = near_duplicates(held).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi")
+    texts = docs.where(F.col("doc_id").isNotNull()).select(resemblance.text_key(F.col("text")).alias("node"), "doc_id", "text")
+    linked = resemblance.groups(texts.select("node", "text"))
+    best = texts.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    group = F.coalesce("root", "node")
+    keep = best.join(linked, "node", "left").groupBy(group.alias("root")).agg(F.min("doc_id").alias("doc_id"))
+    kept = docs.join(keep.select("doc_id").distinct(), "doc_id", "left_semi")
     rest = docs.where(F.col("doc_id").isNull())
     columns = [F.col(f"`{c}`") for c in docs.columns]
     once = kept.groupBy("doc_id").agg(
