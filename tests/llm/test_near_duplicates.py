@@ -150,6 +150,14 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, common):
     assert len(far) > 20 and len(set(least.values())) > 60
 
 
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    r = random.Random(7)
+    a, b, c = (" ".join(r.choices([f"w{i}" for i in range(300)], k=40)) for _ in range(3))
+    docs = [(1, a), (1, b), (2, b + " more"), (3, c), (3, c), (4, c + " more"), (5, a)]
+    got = simhash.one_of_each_group(spark.createDataFrame(docs, DOCS))
+    assert sorted(map(tuple, got.collect())) == sorted([(1, a), (1, b), (3, c)])
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     assert simhash.near_duplicates(none).count() == 0

@@ -134,19 +134,21 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
 
     Near copies share at least 80 % of their five-word shingles, or are linked
     over others that do (``resemblance``); fingerprints and their contract
-    settings have no part in this. Repeated rows of the smallest id are reduced
-    to one: the one with the smallest hash of its columns. Rows without an id
-    are kept.
+    settings have no part in this. Of rows with the smallest id the one with the
+    smallest hash of its columns stays, once. Ids play no part in matching: rows
+    that share an id with different texts are rows of their own. Rows without an
+    id are kept.
     """
-    texts = docs.where(F.col("doc_id").isNotNull()).select(resemblance.text_key(F.col("text")).alias("node"), "doc_id", "text")
-    linked = resemblance.groups(texts.select("node", "text"))
-    best = texts.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    group = F.coalesce("root", "node")
-    keep = best.join(linked, "node", "left").groupBy(group.alias("root")).agg(F.min("doc_id").alias("doc_id"))
-    kept = docs.join(keep.select("doc_id").distinct(), "doc_id", "left_semi")
-    rest = docs.where(F.col("doc_id").isNull())
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    once = kept.groupBy("doc_id").agg(
-        F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("_row")
+    row = F.xxhash64(*columns)
+    texts = docs.where(F.col("doc_id").isNotNull()).select(
+        resemblance.text_key(F.col("text")).alias("node"), "text", F.struct(F.col("doc_id"), row.alias("hash")).alias("place")
     )
-    return once.select("_row.*").unionByName(rest)
+    linked = resemblance.groups(texts.select("node", "text"))
+    best = texts.groupBy("node").agg(F.min("place").alias("place"))
+    group = F.coalesce("root", "node").alias("root")
+    keep = best.join(linked, "node", "left").groupBy(group).agg(F.min("place").alias("place"))
+    keep = keep.select(F.col("place.doc_id").alias("_id"), F.col("place.hash").alias("_hash"))
+    rows = docs.select(F.col("doc_id").alias("_id"), row.alias("_hash"), F.struct(*columns).alias("_row"))
+    once = rows.join(keep, ["_id", "_hash"], "left_semi").groupBy("_id", "_hash").agg(F.any_value("_row").alias("_row"))
+    return once.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
