@@ -231,6 +231,16 @@ def test_pipeline_stages(spark):
     assert sorted(tuple(r)[2:] for r in whole) == got
 
 
+def test_shards_keep_the_order_of_the_mix(spark):
+    r = random.Random(8)
+    rows = [(d, "w " * r.randint(1, 40), r.choice("abc")) for d in range(300)]
+    docs = stored(corpus_pipeline.mix(spark, spark.createDataFrame(rows, DOCS + ", source string"), SF), "mix")
+    place = F.struct("_metadata.file_name", "_metadata.row_index")
+    want = [x.doc_id for x in docs.select("doc_id", place.alias("p")).orderBy("p").collect()]
+    got = [x.doc_id for x in corpus_pipeline.tokens(spark, docs, SF).orderBy("start").collect()]
+    assert got == want and want != sorted(want)
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         table(spark, SF, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")

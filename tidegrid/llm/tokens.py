@@ -22,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import stored
@@ -258,11 +258,11 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_tokens: int = SHARD_TOKENS, order: list[Column] | None = None) -> DataFrame:
     """Writes the shards of ``docs`` (doc_id, text) and returns ``task, seq, file, first_id, docs, tokens`` per shard.
 
-    Rows are range-sorted by ``doc_id`` (NULL first; rows with the same id by a
-    hash of the text). A task writes its rows in order and starts a new file
+    Rows are range-sorted by ``order``, or else by ``doc_id`` (NULL first; rows
+    with the same id by a hash of the text). A task writes its rows in order and starts a new file
     when one has ``shard_tokens`` ids, so memory does not grow with the task.
     The files are written when the result is computed; store it before use.
     """
@@ -301,9 +301,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_tokens: int
         if ids:
             yield close()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(*order).mapInArrow(
+    by_id = F.col("doc_id").asc_nulls_first()
+    given = [c.alias(f"_o{i}") for i, c in enumerate(order or [])]
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", *given)
+    dealt = [F.col(f"_o{i}") for i in range(len(given))] or [by_id]
+    within = dealt if given else [by_id, F.xxhash64("text")]
+    return rows.repartitionByRange(*dealt).sortWithinPartitions(*within).select("doc_id", "text").mapInArrow(
         work, "task int, seq int, file string, docs long, tokens long"
     )
 
@@ -366,17 +369,19 @@ def find_token(spark: SparkSession, folder: str, shards: DataFrame, token: int,
     return files.join(shards.select("file"), "file", "left_semi").mapInArrow(work, "file string, n long, position long")
 
 
-def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, as_stored: bool = False) -> DataFrame:
     """All documents written as shards into a new folder of the shared root and read back.
 
     ``docs``: doc_id, text; other columns are not looked at. A NULL or empty
     text has only the end id. Rows with the same id are documents of their own,
-    next to each other; rows without an id come first.
+    next to each other; rows without an id come first. ``as_stored``: ``docs``
+    is read from Parquet files, and documents stand in the order of the rows there.
     """
     spark = docs.sparkSession
     own_root(spark)
     folder = work_dir(spark, "tokens")
-    shards = stored(write_shards(docs, folder, tokenizer), "token-shards")
+    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")] if as_stored else None
+    shards = stored(write_shards(docs, folder, tokenizer, order=order), "token-shards")
     if shards.isEmpty():
         return spark.createDataFrame([], DOCUMENT)
     return read_documents(spark, folder, shards)
