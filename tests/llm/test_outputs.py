@@ -231,6 +231,19 @@ def test_pipeline_stages(spark):
     assert sorted(tuple(r)[2:] for r in whole) == got
 
 
+def test_the_pipeline_mixes_whole_texts(spark):
+    rows = mix_rows()
+    found = corpus_pipeline.mix(spark, spark.createDataFrame(rows, DOCS + ", source string"), SF).collect()
+    assert {tuple(r) for r in found} <= set(rows)
+    sizes, taken, longest = {}, {}, {}
+    for d, t, s in rows:
+        n = len((t or "").encode().split())
+        sizes[s], longest[s] = sizes.get(s, 0) + n, max(longest.get(s, 0), n)
+    for r in found:
+        taken[r.source] = taken.get(r.source, 0) + len(r.text.encode().split())
+    assert all(abs(taken.get(s, 0) - v) <= longest[s] / 2 + 1 for s, v in plain_targets(sizes).items())
+
+
 def test_shards_keep_the_order_of_the_mix(spark):
     r = random.Random(8)
     rows = [(d, "w " * r.randint(1, 40), r.choice("abc")) for d in range(300)]
