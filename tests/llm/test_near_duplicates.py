@@ -216,6 +216,13 @@ def test_leaks_go_and_others_stay(spark):
     assert got.columns == df.columns and sorted(map(str, (x.doc_id for x in got.collect()))) == ["2", "3", "None"]
 
 
+def test_each_text_of_an_item_id_is_searched(spark):
+    first, second = "a text of one test item with some words", "then another text under the same item id here"
+    docs = [(1, "x " + first), (2, "y " + second), (3, "clean text of other words only")]
+    items = spark.createDataFrame([(7, first), (7, second), (None, docs[2][1])], "item_id long, text string")
+    assert [x.doc_id for x in decontaminate.without_leaks(spark.createDataFrame(docs, DOCS), items).collect()] == [3]
+
+
 def near(a, b):
     if abs(len(a) - len(b)) > 1:
         return False

@@ -109,6 +109,10 @@ def contained_items(docs: DataFrame, items: DataFrame, similarity: float = SIMIL
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that contain no item, in its columns; rows without an id are kept."""
+    """The rows of ``docs`` that contain no item, in its columns; rows without an id are kept.
+
+    Each text of an ``item_id`` is an item of its own.
+    """
+    items = items.where(F.col("item_id").isNotNull()).select(F.xxhash64("item_id", "text").alias("item_id"), "text")
     leaks = contained_items(docs, items, similarity).select("doc_id").distinct()
     return docs.join(leaks, "doc_id", "left_anti").select(*(f"`{c}`" for c in docs.columns))
