@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidegrid.llm import decontaminate, language, lines, mixing, neighbours, rules, secrets, simhash, tokens, warc
+from tidegrid.llm import decontaminate, exact, language, lines, mixing, neighbours, rules, secrets, simhash, tokens, warc
 from tidegrid.llm.common import held_out, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,18 @@ FROM r
 """
 
 
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.decisions(exact.build(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("key")).alias("text_sha256"))
+
+
+EXACT_SQL = r"""
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)
+"""
+
+
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_decontaminate": (op1_decontaminate, DECONTAMINATE_SQL),
     "op2_tokens": (op2_tokens, None),
@@ -142,6 +154,7 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op8_neighbours": (op8_neighbours, None),
     "op9_language": (op9_language, None),
     "op10_warc": (op10_warc, WARC_SQL),
+    "op13_exact": (op13_exact, EXACT_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
