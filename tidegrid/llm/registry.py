@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidegrid.llm import decontaminate, exact, language, lines, mixing, neighbours, rules, secrets, simhash, tokens, warc
+from tidegrid.llm import decontaminate, divergence, exact, language, lines, mixing, neighbours, rules, secrets, simhash, tokens, warc, whitening
 from tidegrid.llm.common import held_out, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,46 @@ FROM r
 """
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+#: The audit in SQL: shares of all kept terms in all groups, all pairs of groups.
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(n.n, 0) + 2 * v.v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (k.total + 2)) // (v.n + 2 * v.v)::HUGEINT AS q
+  FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+s AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY part, lang, source ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM f WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.decisions(exact.build(table(spark, sf_dir, "documents")))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("key")).alias("text_sha256"))
@@ -154,6 +194,8 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op8_neighbours": (op8_neighbours, None),
     "op9_language": (op9_language, None),
     "op10_warc": (op10_warc, WARC_SQL),
+    "op11_divergence": (op11_divergence, DIVERGENCE_SQL),
+    "op12_whitening": (op12_whitening, None),
     "op13_exact": (op13_exact, EXACT_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
