@@ -175,9 +175,22 @@ def words_of(text):
     return [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", (text or "").lower()) if w]
 
 
-def grams(text):
+def grams(text, m=5):
     w = words_of(text)
-    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+    return {tuple(w[i : i + m]) for i in range(len(w) - m + 1)}
+
+
+def plain_contained(docs, items):
+    """Largest share per (doc_id, item_id) over all rows and all texts of an item."""
+    want = {}
+    for i, t in {(i, t) for i, t in items if i is not None and words_of(t)}:
+        m = min(5, len(words_of(t)))
+        g = grams(t, m)
+        for d, text in docs:
+            share = len(g & grams(text, m)) / len(g)
+            if share >= 0.8 - 1e-12:
+                want[d, i] = max(round(share, 9), want.get((d, i), 0))
+    return want
 
 
 def test_contained_items_equal_brute_force(spark):
@@ -198,14 +211,22 @@ def test_contained_items_equal_brute_force(spark):
     items += [(100, None), (101, ""), (None, "v1 v2"), (items[5][0], items[5][1])]
     df = spark.createDataFrame(docs, DOCS).withColumn("item_id", F.lit(7)).withColumn("contained", F.lit(0.0))
     got = decontaminate.contained_items(df, spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(3)))
-    want = set()
-    for i, t in {i: t for i, t in items if i is not None}.items():
-        g = grams(t)
-        for d, text in docs:
-            if d is not None and g and len(g & grams(text)) / len(g) >= 0.8 - 1e-12:
-                want.add((d, i, round(len(g & grams(text)) / len(g), 9)))
-    assert {(x.doc_id, x.item_id, round(x.contained, 9)) for x in got.collect()} == want
-    assert len(want) > 20
+    want = plain_contained(docs, items)
+    assert {(x.doc_id, x.item_id): round(x.contained, 9) for x in got.collect()} == want
+    assert len(want) > 20 and any(len(words_of(dict(items)[i])) < 5 for _, i in want) and any(d is None for d, _ in want)
+
+
+def test_short_items_shared_ids_and_rows_without_id(spark):
+    items = [(7, "the capital of france"), (7, "what is the largest planet of the solar system"), (8, "Oslo"), (9, "two words"), (9, "other two"), (None, "no item id here at all")]
+    docs = [
+        (1, "Tell me: THE capital, of France! please"), (2, "x what is the largest planet of the solar system y"), (3, "in oslo city"), (3, "a clean row of the same id"),
+        (None, "about two words"), (None, "clean text"), (4, "capital of france"), (5, "other two words"), (6, "no item id here at all"), (6, "no item id here at all"),
+    ]
+    df, them = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id): round(x.contained, 9) for x in decontaminate.contained_items(df, them).collect()}
+    assert got == plain_contained(docs, items) and set(got) == {(1, 7), (2, 7), (3, 8), (None, 9), (5, 9)}
+    kept = sorted(map(tuple, decontaminate.without_leaks(df, them).collect()), key=str)
+    assert kept == sorted([(3, "a clean row of the same id"), (None, "clean text"), (4, "capital of france"), *docs[-2:]], key=str)
 
 
 def test_leaks_go_and_others_stay(spark):
@@ -213,7 +234,7 @@ def test_leaks_go_and_others_stay(spark):
     docs = [(1, "before " * 50 + item.upper() + " after"), (2, "clean text " * 20), (None, item), (3, None)]
     df = spark.createDataFrame(docs, DOCS).withColumn("source", F.lit("s"))
     got = decontaminate.without_leaks(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
-    assert got.columns == df.columns and sorted(map(str, (x.doc_id for x in got.collect()))) == ["2", "3", "None"]
+    assert got.columns == df.columns and sorted(map(str, (x.doc_id for x in got.collect()))) == ["2", "3"]
 
 
 def test_each_text_of_an_item_id_is_searched(spark):
