@@ -1,6 +1,7 @@
 """Quality and language models, secrets and nearest neighbours."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -60,6 +61,31 @@ def test_samples_are_the_smallest_hashes(spark):
     assert hashed_sample(rows, "k", 60_000).count() == 50_000 and hashed_sample(rows.limit(0), "k", 5).count() == 0
 
 
+def test_repeated_keys_do_not_empty_a_sample(spark):
+    for key in range(5):
+        rows = spark.range(10_000).select(F.lit(key).alias("k"), "id")
+        assert [r.id for r in hashed_sample(rows, "k", 1000, "id").collect()] == list(range(1000))
+
+
+def test_sample_of_each_value(spark):
+    rows = spark.range(30_000).select("id", F.when(F.col("id") % 1000 == 0, "rare").when(F.col("id") % 7 > 0, "common").alias("lang"))
+    got = hashed_sample(rows, "id", 100, by="lang").groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in got} == {"rare": 30, "common": 100}
+    some = {r.id for r in hashed_sample(rows, "id", 100, by="lang").where("lang = 'common'").collect()}
+    assert some == {r.id for r in hashed_sample(rows.where("lang = 'common'"), "id", 100).collect()}
+    assert hashed_sample(rows.limit(0), "id", 5, by="lang").count() == 0
+
+
+def test_training_rows_are_bounded_with_repeated_ids(spark, monkeypatch):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5)
+    docs = spark.range(3_000).select(F.lit(held).alias("doc_id"), F.concat(F.lit("text "), F.repeat(F.lit("w "), F.col("id").cast("int") % 900)).alias("text"))
+    labels = spark.createDataFrame([(held, 1)] * 50, "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(rules, "fit", lambda x, y, names: seen.append(len(x)))
+    rules.train(docs, labels, sample=20)
+    assert seen == [20]
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 7, 12):
         code = language.codewords(n)
@@ -216,3 +242,62 @@ def test_recall_on_the_given_vectors(spark):
         got.setdefault(x.query_id, set()).add(x.vec_id)
     hits = sum(len(got[q] & {i for i, _ in want[q]}) for q in want)
     assert hits / sum(len(v) for v in want.values()) >= 0.9
+
+
+def test_only_letters_make_a_language(spark):
+    """Numbers that are written in other signs are no letters; letters of any script are."""
+    for text in ("", " 12", "½ ²", "Ⅷ", "_", "①②", "\u0301"):
+        assert not language.has_letter(text) and not any(map(str.isalpha, text))
+    for text in ("a", "1é", "日", "½ x", "ª"):
+        assert language.has_letter(text)
+    docs = [(i, "some words of plain english text here" if i % 2 else "einige worte in deutscher sprache hier", "en" if i % 2 else "de") for i in range(200)]
+    docs += [(1000 + i, "kort norsk tekst som sjelden finnes", "no") for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language.train(df, sample=60)
+    assert model.languages == ("de", "en", "no")
+    odd = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ"), (3, "deutscher sprache"), (4, "norsk tekst som")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language.identify(odd, model).collect()} == {1: "und", 2: "und", 3: "de", 4: "no"}
+
+
+def test_decoding_by_hand():
+    """Two bits, three languages: the loss of each codeword summed up plainly."""
+    code = np.array([[1.0, 1.0], [1.0, -1.0], [-1.0, 1.0]])
+    model = language.LanguageModel(("a", "b", "c"), code, np.eye(2), np.array([0.1, -0.2]), np.array([2.0, 0.5]))
+    for x in ([0.3, 0.4], [1.0, -2.0], [-1.5, 0.1], [0.0, 0.0]):
+        f = [x[0] + 0.1, x[1] - 0.2]
+        loss = [sum(t * np.log1p(np.exp(-c * v)) for t, c, v in zip((2.0, 0.5), row, f, strict=True)) for row in code.tolist()]
+        belief = np.exp(-np.array(loss)) / np.exp(-np.array(loss)).sum()
+        best, score, gap = model.decode(np.array([x]))
+        assert best[0] == int(np.argmin(loss)) and abs(score[0] - belief.max()) < 1e-12
+        assert abs(gap[0] - (np.sort(belief)[-1] - np.sort(belief)[-2])) < 1e-12
+
+
+def plain_features(text):
+    import unicodedata
+
+    t = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = t.split("\n")
+    chars, n, m = max(len(t), 1), max(len(words), 1), max(len(lines), 1)
+    count = lambda p: len(re.findall(p, t))
+    return {
+        "upper_share": sum(unicodedata.category(c) == "Lu" for c in t) / chars, "digits_share": count("[0-9]") / chars,
+        "stops_per_word": count(r"[.?]") / n, "shouts_per_word": count("!") / n, "commas_per_word": count("[,;:]") / n,
+        "bars_per_word": count(r"\|") / n, "marks_per_word": count(r"[$%&*#@^~<>{}=+_/\\-]") / n, "dots_per_line": count(r"\.\.\.") / m,
+        "word_length": chars / n, "line_length": chars / m, "new_words": len(set(words)) / n, "new_lines": len(set(lines)) / m, "words": float(n),
+    }
+
+
+def test_scores_by_hand(spark):
+    """The score of each text from features counted plainly and rules added up one by one."""
+    docs, labels = table(spark, SF, "documents").select("doc_id", "text"), table(spark, SF, "labels")
+    model = rules.train(docs, labels)
+    assert model.rules
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "É!! a|b ... 12 $x"), (-4, "w\x0b\x1cw " * 3000)], DOCS)
+    got = rules.classify(docs.unionByName(odd), model).select("text", "score").collect()
+    for r in got:
+        x = plain_features(r.text)
+        z = model.bias
+        for rule, w in zip(model.rules, model.weights, strict=True):
+            z += w if all((x[model.names[f]] > t) == above for f, above, t in rule.conditions) else 0.0
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9

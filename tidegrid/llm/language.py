@@ -22,7 +22,7 @@ from tidegrid.llm.common import hashed_sample, held_out
 FOLDS, FOLD = 4, 2
 BINS = 4096  # hash bins of the n-grams
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_PLAIN_LETTER = re.compile("[A-Za-z]")
 _MIX = np.uint32(2654435761)
 
 
@@ -81,14 +81,17 @@ class LanguageModel:
         return belief.argmax(axis=1), ranked[:, -1], gap
 
 
-def fit(texts: list[str], langs: list[str], rounds: int = 200, penalty: float = 1e-5) -> LanguageModel | None:
-    """None without a labelled text."""
+def has_letter(text: str) -> bool:
+    return bool(_PLAIN_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
+def fit(x: np.ndarray, langs: list[str], rounds: int = 200, penalty: float = 1e-5) -> LanguageModel | None:
+    """A model of profiles (one row each) and their languages; None without any."""
     languages = sorted(set(langs))
     if not languages:
         return None
     code = codewords(len(languages))
     y = code[[languages.index(v) for v in langs]]
-    x = np.vstack([profile(t) for t in texts])
     check = np.arange(len(x)) % 5 == 4 if len(x) >= 50 else np.zeros(len(x), dtype=bool)
     w, bias = np.zeros((x.shape[1], y.shape[1])), np.zeros(y.shape[1])
     a, t = x[~check], y[~check]
@@ -105,25 +108,42 @@ def fit(texts: list[str], langs: list[str], rounds: int = 200, penalty: float =
     return LanguageModel(tuple(languages), code, w, bias, 0.5 * np.log((1 - error) / error))
 
 
-def train(docs: DataFrame, sample: int = 4_000, chars: int = 4_000) -> LanguageModel | None:
-    """A model from at most ``sample`` documents outside the held-out fold with a language and a letter.
+def train(docs: DataFrame, sample: int = 1_000) -> LanguageModel | None:
+    """A model from at most ``sample`` documents of each language, outside the held-out fold and with a letter.
 
-    Those with the smallest hashes of their ids are taken. To bound what reaches
-    the driver, of a longer text up to ``chars`` characters from a place set by
-    the same hash are learnt from. Predictions look at whole texts.
+    Those with the smallest hashes of their ids are taken, so a language that is
+    rare in a large corpus is learnt like the others. Rows that are alike in id,
+    language and text count once. Profiles are taken of whole texts inside the
+    tasks; the driver gets ``sample`` times as many of them as there are
+    languages, of a fixed length each, and no text.
     """
-    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - chars, F.lit(1))) + 1
     usable = docs.where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, FOLD)
         & F.col("text").rlike(r"\p{L}")
     )
-    # Ids first: their texts are fetched once they are chosen. At most ``sample`` ids are broadcast.
-    ids = hashed_sample(usable.select("doc_id").distinct(), "doc_id", sample)
-    part = usable.join(F.broadcast(ids), "doc_id").select(
-        "doc_id", "lang", F.substring("text", start.cast("int"), F.lit(chars)).alias("part")
-    )
-    rows = hashed_sample(part, "doc_id", sample, "lang", "part").collect()
-    return fit([r["part"] for r in rows], [r["lang"] for r in rows])
+    usable = usable.select("doc_id", "lang", F.xxhash64("text").alias("_text"), "text")
+    # Places first: their texts are fetched once they are chosen. The list that is broadcast is as short as the sample.
+    chosen = hashed_sample(usable.drop("text").distinct(), "doc_id", sample, "_text", by="lang")
+    keys = ["doc_id", "lang", "_text"]
+
+    def work(parts):
+        for b in parts:
+            rows = [profile(t.as_py()).astype(np.float32) for t in b.column(3)]
+            at = [np.flatnonzero(r) for r in rows]
+            yield pa.record_batch(
+                [*b.columns[:3], pa.array([i.astype(np.int32) for i in at], pa.list_(pa.int32())),
+                 pa.array([r[i] for r, i in zip(rows, at, strict=True)], pa.list_(pa.float32()))],
+                names=["doc_id", "lang", "_text", "at", "share"],
+            )
+
+    once = usable.join(F.broadcast(chosen), keys).groupBy(*keys).agg(F.any_value("text").alias("text"))
+    found = once.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "_text", "text").mapInArrow(work, "doc_id long, lang string, _text long, at array<int>, share array<float>").toArrow()
+    places = list(zip(*(found[c].to_pylist() for c in keys), strict=True))
+    order = sorted(range(len(places)), key=places.__getitem__)
+    x = np.zeros((found.num_rows, BINS))
+    for row, i in enumerate(order):
+        x[row, found["at"][i].values.to_numpy()] = found["share"][i].values.to_numpy()
+    return fit(x, [places[i][1] for i in order])
 
 
 PREDICTION = "doc_id long, lang_pred string, score double, ambiguous boolean"
@@ -141,7 +161,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, sure: float = 0.2) ->
         for b in parts:
             texts = [t.as_py() or "" for t in b.column(1)]
             names, scores, doubt = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
-            at = [i for i, t in enumerate(texts) if model and _LETTER.search(t)]
+            at = [i for i, t in enumerate(texts) if model and has_letter(t)]
             for block in range(0, len(at), 512):
                 rows = at[block : block + 512]
                 best, score, gap = model.decode(np.vstack([profile(texts[i]) for i in rows]))

@@ -196,18 +196,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     """A model from at most ``sample`` labelled rows outside the held-out fold.
 
     The rows with the smallest hashes of their ids are taken, so the sample is
-    the same in each run. Labels that are NULL or neither 0 nor 1 are not used.
-    Ids and at most ``sample`` rows of features reach the driver; the id list is
-    broadcast, its size being bounded by ``sample``.
+    the same in each run. Labels that are NULL or neither 0 nor 1 are not used;
+    repeated labels and repeated documents count once. At most ``sample`` rows of
+    features reach the driver; the list of chosen labels is broadcast, its size
+    being bounded by ``sample``.
     """
     usable = labels.select(F.col("doc_id"), F.col(f"`{label}`").cast("int").alias("_y")).where(
         F.col("doc_id").isNotNull() & F.col("_y").isin(0, 1) & ~held_out(F.col("doc_id"), FOLDS, FOLD)
     )
-    chosen = hashed_sample(usable, "doc_id", sample, "_y")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows, names = with_features(rows)
-    got = rows.select("doc_id", "_y", *(f"_f_{n}" for n in names)).toPandas().sort_values(["doc_id", "_y"])
-    return fit(got[[f"_f_{n}" for n in names]].to_numpy(float), got["_y"].to_numpy(int), names)
+    chosen = hashed_sample(usable.distinct(), "doc_id", sample, "_y")
+    rows, names = with_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+    features = [f"_f_{n}" for n in names]
+    # Rows that repeat an id may be many: they are reduced where they lie, and counted against the bound.
+    once = rows.select("doc_id", "_y", *features).distinct()
+    got = once.orderBy(F.xxhash64("doc_id"), "doc_id", "_y", *features).limit(sample).toPandas()
+    got = got.sort_values(["doc_id", "_y", *features])
+    return fit(got[features].to_numpy(float), got["_y"].to_numpy(int), names)
 
 
 def classify(docs: DataFrame, model: RuleModel, score: str = "score") -> DataFrame:
