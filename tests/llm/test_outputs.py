@@ -40,7 +40,7 @@ def test_wavelet_matrix(n, top):
 
 def test_words_from_memory_equal_whole_texts():
     path = tokens.vocabulary()
-    whole, encoder = Tokenizer.from_file(path), tokens.WordEncoder(path, most=50)
+    whole, encoder = Tokenizer.from_file(path), tokens.WordEncoder(path, most=5_000)
     r = random.Random(1)
     parts = [*"abcXYZ'sté.,!?0 12\n\t", "́", "̈", "é", "K", "İ", "ß", "Σς", "ẛ̣", "가", "ᄀ", "🙂", "‍", "\x1c", "\x85", "\xa0", "　", "<|endoftext|>", " <|startoftext|> ", "'ll", "ﬁ"]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 25))) for _ in range(3000)]
@@ -48,6 +48,25 @@ def test_words_from_memory_equal_whole_texts():
         assert np.frombuffer(raw, dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids + [2], text
 
 
+def test_texts_parted_in_pieces_of_any_size(monkeypatch):
+    path = tokens.vocabulary()
+    whole = Tokenizer.from_file(path)
+    r = random.Random(3)
+    parts = [*"abXY 12\n\t.,!_<|>'", "é", "×", "÷", "İ", "»", "=\u0338", "e\u0301", "ſ", "<|endoftext|>", "日本", "\x00", "\x7f", "\x1c"]
+    texts = [None, "", " ", *("".join(r.choice(parts) for _ in range(r.randint(0, 60))) for _ in range(400)), None]
+    for piece in (1, 100, 1 << 23):
+        monkeypatch.setattr(tokens, "_PIECE", piece)
+        for text, raw in zip(texts, tokens.WordEncoder(path).encode(texts), strict=True):
+            assert np.frombuffer(raw, dtype="<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids + [2], text
+
+
+def test_memory_of_pieces_is_bounded():
+    encoder = tokens.WordEncoder(tokens.vocabulary(), most=20_000)
+    for i in range(40):
+        list(encoder.encode([f"word{chr(97 + i % 26) * (i // 26 + 1)} " + " ".join("".join(p) for p in zip("abcdefgh" * 9, "qrstuv" * 12, chr(97 + i % 26) * 72))]))
+        assert encoder._held <= 20_000 and len(encoder._young) + len(encoder._old) < 250
+
+
 def test_plain_words_take_the_short_way():
     path = tokens.vocabulary()
     whole, encoder = Tokenizer.from_file(path), tokens.WordEncoder(path)

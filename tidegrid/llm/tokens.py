@@ -14,13 +14,15 @@ bits and its block counts.
 from __future__ import annotations
 
 import json
-import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ from tidegrid.llm.files import NewFile
 from tidegrid.session import own_root, work_dir
 
 END_ID = 2
-MAGIC = b"WMTOKEN1"
+MAGIC = b"WMTOKEN2"
 BLOCK = 512  # bits between two counts of ones
 SHARD_TOKENS = 1 << 21
 
@@ -59,7 +61,7 @@ class WaveletMatrix:
     def build(cls, values: np.ndarray) -> WaveletMatrix:
         width = max(int(values.max()).bit_length(), 1) if len(values) else 1
         planes, zeros, counts = [], [], []
-        v = values
+        v = values.astype(np.uint16) if width <= 16 else values
         for level in range(width - 1, -1, -1):
             bits = (v >> level) & 1 == 1
             planes.append(np.packbits(bits))
@@ -128,14 +130,15 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """All ids in order: the planes undone from the last to the first."""
-        v = np.zeros(self.n, dtype=np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        v = np.zeros(self.n, dtype=kind)
         for level in range(len(self.planes) - 1, -1, -1):
             bits = np.unpackbits(self.planes[level], count=self.n).astype(bool)
             up = np.empty_like(v)
             zeros = self.zeros[level]
             up[~bits], up[bits] = v[:zeros], v[zeros:]
-            v = up | (bits.astype(np.uint32) << np.uint32(len(self.planes) - 1 - level))
-        return v
+            v = up | (bits.astype(kind) << kind(len(self.planes) - 1 - level))
+        return v.astype(np.uint32)
 
 
 def dump(values: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> bytes:
@@ -146,7 +149,8 @@ def dump(values: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) ->
     sections = [ids, known, np.asarray(lengths, dtype="<u8")]
     for plane, counts in zip(wm.planes, wm.counts, strict=True):
         sections += [plane, counts.astype("<u8")]
-    packed = [zlib.compress(s.tobytes(), 1) for s in sections]
+    squeeze = zstandard.ZstdCompressor(level=1)
+    packed = [squeeze.compress(s.tobytes()) for s in sections]
     places = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).tolist()
     head = json.dumps({"n": wm.n, "docs": len(doc_ids), "zeros": wm.zeros, "places": places}).encode()
     return b"".join([MAGIC, len(head).to_bytes(4, "little"), head, *packed])
@@ -169,7 +173,7 @@ class Shard:
 
     def _section(self, i: int, kind) -> np.ndarray:
         a, b = self.head["places"][i : i + 2]
-        return np.frombuffer(zlib.decompress(self._raw[self._base + a : self._base + b]), dtype=kind)
+        return np.frombuffer(zstandard.ZstdDecompressor().decompress(self._raw[self._base + a : self._base + b]), dtype=kind)
 
     @property
     def matrix(self) -> WaveletMatrix:
@@ -181,9 +185,30 @@ class Shard:
         return self._wm
 
 
-# Letters up to U+024F (but one whose lower case is two characters), then ASCII marks other than the apostrophe:
-# normalising such a word is lower-casing its letters, and the tokenizer parts it just there.
-_PLAIN = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\[-`{-~]*)\Z")
+# Kinds of bytes. Letters: ASCII ones and those up to U+023F, whose first UTF-8 byte is C3 to C8. Such letters,
+# digits and ASCII marks other than the apostrophe are parted by the tokenizer just where their kind changes, each
+# digit for itself. A word with any other byte is left to the tokenizer as it is.
+_SPACE, _LETTER, _DIGIT, _MARK, _OTHER = range(5)
+_SPACES = b"\t\n\x0b\x0c\r "
+_APOSTROPHE = ord("'")
+
+
+def _kinds() -> np.ndarray:
+    kinds = np.full(256, _OTHER, dtype=np.uint8)
+    kinds[33:127] = _MARK
+    kinds[list(_SPACES)] = _SPACE
+    kinds[list(range(65, 91)) + list(range(97, 123)) + list(range(0x80, 0xC0)) + list(range(0xC3, 0xC9))] = _LETTER
+    kinds[48:58] = _DIGIT
+    kinds[_APOSTROPHE] = _OTHER
+    return kinds
+
+
+_KINDS = _kinds()
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+#: Of the letters' range the characters that are no letters (multiplication and division sign) or grow when lower-cased.
+_ODD = tuple(c.encode() for c in "\u00d7\u00f7\u0130")
+#: Bytes of text that are parted at a time, about.
+_PIECE = 8 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -193,63 +218,127 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
-    """Whole texts by the tokenizer, words that occur again from memory.
+    """Whole texts by the tokenizer, pieces that occur again from memory.
 
     The tokenizer drops white space and never joins what it parts, so the ids
-    of a text are those of its words. A plain word's letters go straight to the
-    tokenizer's model, its marks and all other words through the whole
-    tokenizer. Words and letters are remembered up to a number; then all are
-    forgotten, so memory is bounded.
+    of a text are those of its pieces: runs of letters, single digits, runs of
+    marks, and whole words where these rules do not hold. Texts are parted and
+    ids put together in arrays; the tokenizer sees different pieces only.
+    Pieces are remembered in two generations: when the younger one has ``most``
+    bytes, about, it becomes the older one, and what is met again moves over.
     """
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 96 << 20):
         from tokenizers import Tokenizer
 
-        self._tok, self._most, self._known, self._stems = Tokenizer.from_file(path), most, {}, {}
+        self._tok, self._most = Tokenizer.from_file(path), most
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+        self._held = 0
         self._letters = _byte_letters()
+        self._kinds = _KINDS.copy()
+        # Added tokens are found in the raw text, so words that could hold one stay whole.
+        for token in self._tok.get_added_tokens_decoder().values():
+            first = token.content.encode()[0]
+            self._kinds[[first] if first in range(33, 48) or first in range(58, 65) else slice(33, None)] = _OTHER
+        self._others = np.flatnonzero(self._kinds == _OTHER).astype(np.uint8).tobytes()
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _stem(self, letters: str) -> bytes:
-        spelt = "".join([self._letters[b] for b in letters.encode()]) if not letters.isascii() else letters
-        return np.array([t.id for t in self._tok.model.tokenize(spelt)], dtype="<u4").tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        known, stems = self._known, self._stems
-        if len(known) + len(stems) > self._most:
-            known.clear()
-            stems.clear()
-        for w in words:
-            if w in known:
-                continue
-            text = w.decode("utf-8", "replace")
-            if not (m := _PLAIN.match(text)):
-                known[w] = self._whole(text)
-                continue
-            letters, marks = m[1].lower(), m[2]
-            ids = stems.get(letters)
+        return _packed(self._tok.encode(text, add_special_tokens=False).ids)
+
+    def _ids(self, piece: bytes) -> bytes:
+        """The ids of a piece of which nothing is remembered."""
+        if piece.isalpha():
+            return self._model(piece.decode("ascii"))
+        letters = len(piece.translate(None, self._others)) == len(piece) and not any(o in piece for o in _ODD)
+        text = piece.decode("utf-8", "replace")
+        if piece.isascii() or not letters:
+            return self._whole(text)
+        return self._model("".join(map(self._letters.__getitem__, text.lower().encode())))
+
+    def _model(self, spelt: str) -> bytes:
+        return _packed([t.id for t in self._tok.model.tokenize(spelt)])
+
+    def _of(self, piece: bytes) -> bytes:
+        ids = self._young.get(piece)
+        if ids is None:
+            ids = self._old.pop(piece, None)
             if ids is None:
-                ids = stems[letters] = self._stem(letters)
-            if marks:
-                end = stems.get(marks)
-                if end is None:
-                    end = stems[marks] = self._whole(marks)
-                ids += end
-            known[w] = ids
+                ids = self._ids(piece)
+            self._young[piece] = ids
+            self._held += len(piece) + len(ids) + 200  # what a dictionary holds beside them
+            if self._held > self._most:
+                self._old, self._young, self._held = self._young, {}, 0
+        return ids
+
+    def _pieces(self, raw: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of the texts that begin at ``starts`` in ``raw``, and the number of pieces before each text."""
+        kinds = self._kinds[raw]
+        for odd in _ODD:
+            kinds[:-1][(raw[:-1] == odd[0]) & (raw[1:] == odd[1])] = _OTHER
+        begins = np.zeros(len(raw) + 1, dtype=bool)
+        begins[starts] = True
+        begins = begins[:-1]
+        begins[1:] |= kinds[:-1] == _SPACE
+        at = np.flatnonzero(begins & (kinds != _SPACE))  # where words begin
+        whole = np.zeros(len(raw), dtype=bool)
+        if len(at) and (kinds == _OTHER).any():
+            odd_word = np.logical_or.reduceat(kinds == _OTHER, at)
+            ends = np.append(at[1:], len(raw))
+            for i in np.flatnonzero(odd_word).tolist():
+                whole[at[i] : ends[i]] = True  # white space behind the word does no harm
+        parted = np.zeros(len(raw), dtype=bool)
+        parted[1:] = kinds[1:] != kinds[:-1]
+        parted |= kinds == _DIGIT
+        parted &= ~whole
+        parted |= begins
+        kept = kinds != _SPACE
+        raw = np.where(whole, raw, _LOWER[raw])[kept]
+        parted = parted[kept]
+        first = np.flatnonzero(parted)
+        offsets = np.append(first, len(raw)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+        kept_before = np.concatenate([[0], np.cumsum(kept)])[starts]
+        return pieces, np.searchsorted(first, kept_before)
+
+    def encode_texts(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of consecutive texts, each with the end id behind it, and their numbers; NULL is empty."""
+        texts = pc.fill_null(texts.cast(pa.binary()), b"")
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // _PIECE
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b > a:
+                yield self._encode(texts.slice(a, b - a), sizes[a:b])
+
+    def _encode(self, texts: pa.Array, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = np.cumsum(sizes) - sizes
+        raw = np.frombuffer(b"".join(texts.to_pylist()), dtype=np.uint8)
+        pieces, before = self._pieces(raw, starts)
+        coded = pieces.dictionary_encode()
+        known = [END_ID.to_bytes(4, "little"), *map(self._of, coded.dictionary.to_pylist())]
+        flat = np.frombuffer(b"".join(known), dtype="<u4")
+        n = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        first = np.cumsum(n) - n
+        # The end id stands behind the pieces of each text.
+        ends = np.append(before[1:], len(pieces))
+        order = np.insert(coded.indices.to_numpy().astype(np.int64) + 1, ends, 0)
+        counts = n[order]
+        upto = np.cumsum(counts)
+        ids = flat[np.repeat(first[order] - (upto - counts), counts) + np.arange(upto[-1])]
+        last = upto[ends + np.arange(len(ends))]
+        return ids, np.diff(last, prepend=0)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text and the end id, as little-endian unsigned 32-bit integers."""
-        end = END_ID.to_bytes(4, "little")
-        for text in texts:
-            words = (text or "").encode("utf-8", "replace").split()
-            ids = list(map(self._known.get, words))
-            if None in ids:
-                self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
-                ids = [self._known[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-            ids.append(end)
-            yield b"".join(ids)
+        for ids, lengths in self.encode_texts(pa.array(list(texts), pa.string())):
+            yield from (x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(lengths)[:-1]))
 
 
 @lru_cache(maxsize=1)
@@ -272,32 +361,40 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_tokens: int
         part = task.partitionId() if task else 0
         encoder, seq = _encoder(tokenizer), 0
         ids: list[int | None] = []
-        blobs: list[bytes] = []
+        blobs: list[np.ndarray] = []
+        lengths: list[int] = []
         size = 0
 
         def close():
             nonlocal seq, size
-            values = np.frombuffer(b"".join(blobs), dtype="<u4")
-            lengths = np.array([len(x) // 4 for x in blobs], dtype=np.int64)
+            values = np.concatenate(blobs)
             out = NewFile(folder, f"tokens-{part:05d}-{seq:05d}", ".wm")
-            out.write(dump(values, ids, lengths))
+            out.write(dump(values, ids, np.array(lengths, dtype=np.int64)))
             out.close()
             row = pa.record_batch(
                 [pa.array([v], t) for v, t in zip((part, seq, out.name, len(ids), len(values)), _SHARD_TYPES, strict=True)],
                 names=["task", "seq", "file", "docs", "tokens"],
             )
             seq, size = seq + 1, 0
-            ids.clear()
-            blobs.clear()
+            for held in (ids, blobs, lengths):
+                held.clear()
             return row
 
         for b in parts:
-            for doc, blob in zip(b.column(0).to_pylist(), encoder.encode(t.as_py() for t in b.column(1)), strict=True):
-                ids.append(doc)
-                blobs.append(blob)
-                size += len(blob) // 4
-                if size >= shard_tokens:
-                    yield close()
+            docs_ids, at = b.column(0).to_pylist(), 0
+            for values, counts in encoder.encode_texts(b.column(1)):
+                taken = 0  # ids of this piece that are in a file or waiting for one
+                for n in counts.tolist():
+                    ids.append(docs_ids[at])
+                    lengths.append(n)
+                    at, size = at + 1, size + n
+                    if size >= shard_tokens:
+                        upto = size - sum(map(len, blobs)) + taken
+                        blobs.append(values[taken:upto])
+                        taken = upto
+                        yield close()
+                if taken < len(values):
+                    blobs.append(values[taken:])
         if ids:
             yield close()
 
@@ -380,7 +477,9 @@ def round_trip(docs: DataFrame, tokenizer: str, as_stored: bool = False) -> Data
     spark = docs.sparkSession
     own_root(spark)
     folder = work_dir(spark, "tokens")
-    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")] if as_stored else None
+    name = F.col("_metadata.file_name")  # files are numbered; as text, the hundred-thousandth would come before the second
+    number = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long")
+    order = [number, name, F.col("_metadata.row_index")] if as_stored else None
     shards = stored(write_shards(docs, folder, tokenizer, order=order), "token-shards")
     if shards.isEmpty():
         return spark.createDataFrame([], DOCUMENT)
