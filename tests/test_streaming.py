@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidegrid import Settings, schemas
 from tidegrid.config import TOPICS
-from tidegrid.plans.enrich import enrich
-from tidegrid.sinks import ddl
+from tidegrid.plans.enrich import enrich, thinned
+from tidegrid.sinks import ddl, parts
 from tidegrid.sinks.streams import ONCE, write_daily, write_memory
 from tidegrid.sources.topics import TopicSource, read_topic_batch, read_topic_stream
 from tidegrid.streaming import flow
@@ -177,6 +177,25 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(t).collect()) == [1, 2]
 
 
+def test_live_thinning_refuses_bins_longer_than_its_memory(spark, tmp_path):
+    spark.createDataFrame([("a", "1", datetime(2026, 5, 1))], "aq_source string, aq_location_id string, aq_event_ts timestamp").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("aq_source string, aq_location_id string, aq_event_ts timestamp").parquet(str(tmp_path / "in"))
+    stream = stream.withWatermark("aq_event_ts", "15 minutes")
+    with pytest.raises(ValueError, match="longer than the watermark delay"):
+        thinned(stream, ["aq_source", "aq_location_id"], "aq_event_ts", Settings(thin_seconds=3600))
+    assert thinned(stream, ["aq_source", "aq_location_id"], "aq_event_ts", Settings(thin_seconds=900)).isStreaming
+
+
+def test_a_new_reader_refuses_merged_parts(spark, tmp_path):
+    out = str(tmp_path / "out")
+    (tmp_path / "out" / "event_date=2026-05-01" / "batch_id=merged-1").mkdir(parents=True)
+    with pytest.raises(parts.MergedParts):
+        parts.refuse_late_reader(spark, out, str(tmp_path / "c"))
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "metadata").write_text('{"id": "x"}')
+    parts.refuse_late_reader(spark, out, str(tmp_path / "c"))
+
+
 def test_newest_first_is_refused_for_files(spark, tmp_path):
     with pytest.raises(ValueError, match="earliest"):
         read_topic_stream(spark, TOPICS["traffic"], TopicSource(str(tmp_path)), starting="latest")

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.catalogue import operators, reports, sources, streams
+from tidegrid.catalogue import operators, reports, sources, streams, upkept
 from tidegrid.session import own_root, without_zone
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_ALL: dict[str, tuple[Query, str | None]] = {**operators.QUERIES, **reports.QUERIES, **streams.QUERIES, **sources.QUERIES}
+_ALL: dict[str, tuple[Query, str | None]] = {**operators.QUERIES, **reports.QUERIES, **streams.QUERIES, **sources.QUERIES, **upkept.QUERIES}
 
 
 def _plain(query: Query) -> Query:

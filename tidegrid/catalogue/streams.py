@@ -6,13 +6,17 @@ the future, which moves the watermark past all real rows at the end.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.catalogue import feeds
 from tidegrid.catalogue.oracle import on_business, upto
 from tidegrid.config import TOPICS
+from tidegrid.functions import times
 from tidegrid.operators.joins import interval_join
+from tidegrid.plans.enrich import thinned
 from tidegrid.plans.refine import refine_weather
 from tidegrid.session import STATE_CONF, use_utc, work_dir
 from tidegrid.sinks.streams import ONCE, checkpoint_path, write_daily, write_stream_parquet
@@ -236,6 +240,63 @@ def compact_streamed(spark, sf):
     return spark.read.parquet(table).select("id", "traffic_event_ts", "speed", F.lit(done.files_after < done.files_before).alias("fewer_files"))
 
 
+def versions_streamed(spark, sf):
+    """Two versions of a query, each with its own checkpoint, on one table that is compacted between and after them."""
+    out = work_dir(spark, "versions")
+    session = stream_session(spark)
+    rows = feeds.refined_tables(spark, sf)[0].select("id", "traffic_event_ts", "speed")
+    for version in (1, 2):
+        mine = F.pmod(F.xxhash64("id"), F.lit(3)) < 2 if version == 1 else F.pmod(F.xxhash64("id"), F.lit(3)) == 2
+        rows.where(mine).repartition(3).write.parquet(f"{out}/in{version}")
+        stream = read_table_stream(session, f"{out}/in{version}", rows.schema, 1)
+        finish(write_daily(stream, f"{out}/table", checkpoint_path(out, "daily", version), ONCE, "traffic_event_ts"))
+        compact(spark, f"{out}/table")
+    return spark.read.parquet(f"{out}/table").select("id", "traffic_event_ts", "speed")
+
+
+def flow_compacted(spark, sf):
+    """The live flow over the first half of the messages, all its tables compacted, then the flow over the rest."""
+    out = work_dir(spark, "kept-up")
+    session = stream_session(spark)
+    lookup = session.read.parquet(feeds.stored(spark, sf, "lookup", lambda: feeds.lookup(spark, sf)))
+    root = message_files(spark, sf)
+    cut = F.lit("2024-01-16").cast("timestamp")
+    fewer = []
+    for later in (False, True):
+        for topic in TOPICS.values():
+            messages = spark.read.parquet(f"{root}/{topic}")
+            mine = F.col("timestamp") >= cut if later else F.col("timestamp") < cut
+            for part in range(1 if later else 3):
+                some = messages.where(mine if later else mine & (F.pmod(F.xxhash64("value"), F.lit(3)) == part))
+                some.repartition(2).write.mode("append").parquet(f"{out}/in/{topic}")
+        if later:
+            flow.run_once(session, TopicSource(f"{out}/in"), lookup, out, CFG)
+            break
+        # Two files a batch, so that there are batches to put together.
+        flow.run_once(session, TopicSource(f"{out}/in", max_files_per_trigger=2), lookup, out, CFG)
+        for feed in TOPICS:
+            fewer.append(compact(spark, flow.raw_path(out, feed), more=(flow.BROKEN,)))
+        for name in flow.REFINED:
+            fewer.append(compact(spark, flow.refined_path(out, name)))
+        fewer.append(compact(spark, f"{out}/business"))
+    rows = _real(spark.read.parquet(f"{out}/business"), "traffic_id").select("traffic_id", "traffic_event_ts", "aq_source", "aq_location_id", "aq_event_ts", "weather_event_ts")
+    raw = flow.read_raw(spark, out, "traffic").count()
+    return rows.withColumns({"fewer_files": F.lit(all(c.files_after <= c.files_before for c in fewer) and any(c.partitions for c in fewer)), "raw_rows": F.lit(raw - 1)})
+
+
+def stream_thinned(spark, sf):
+    """Readings of a stream thinned to one per station and quarter of an hour: how many rows each bin keeps."""
+    out = work_dir(spark, "thinned")
+    aq = spark.read.parquet(_refined_paths(spark, sf)[1]).drop(PARTITION, BATCH)
+    aq.write.parquet(f"{out}/in")
+    aq.write.mode("append").parquet(f"{out}/in")
+    stream = read_table_stream(stream_session(spark), f"{out}/in", aq.schema, 100).withWatermark("aq_event_ts", CFG.watermark_delay)
+    cfg = replace(CFG, thin_seconds=900)
+    finish(write_stream_parquet(thinned(stream, ["aq_source", "aq_location_id"], "aq_event_ts", cfg), f"{out}/rows", f"{out}/ckpt", trigger=ONCE))
+    rows = _real(spark.read.parquet(f"{out}/rows"), "aq_location_id")
+    return rows.groupBy("aq_source", "aq_location_id", times.time_bin(F.col("aq_event_ts"), 900).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def retention_streamed(spark, sf):
     """A streamed table whose older days were removed, and the stream started again on its checkpoint."""
     run, rows, folder, table = _daily(spark, sf, "retention")
@@ -318,6 +379,21 @@ QUERIES = {
         compact_streamed,
         upto("traffic", "SELECT id, event_ts AS traffic_event_ts, speed, true AS fewer_files FROM traffic"),
     ),
+    "versions_streamed": (
+        versions_streamed,
+        upto("traffic", "SELECT id, event_ts AS traffic_event_ts, speed FROM traffic"),
+    ),
+    "flow_compacted": (
+        flow_compacted,
+        on_business(
+            """SELECT traffic_id, traffic_event_ts, aq_source, aq_location_id, aq_event_ts, weather_event_ts, true AS fewer_files,
+            (SELECT count(*) FROM events WHERE event_type = 'view' AND event_id % 10 <> 0) AS raw_rows FROM business"""
+        ),
+    ),
+    "stream_thinned": (
+        stream_thinned,
+        upto("aq", "SELECT DISTINCT aq_source, aq_location_id, time_bucket(INTERVAL 15 MINUTE, aq_event_ts) AS bin, 1 AS n FROM aq"),
+    ),
     "retention_streamed": (
         retention_streamed,
         upto("traffic", "SELECT id, event_ts AS traffic_event_ts, speed FROM traffic WHERE event_ts >= TIMESTAMP '2024-01-15'"),

@@ -53,6 +53,8 @@ class Settings:
     future_slack_seconds: int | None = None
     # One reading per station and bin of so many seconds: feeds that stamp an unchanged value anew do not multiply rows.
     thin_seconds: int | None = None
+    # With a clock: how far behind it a silent feed's event time is moved on; a feed may be silent that long without loss.
+    idle_hold: str = "1 hour"
     skew: Skew = field(default_factory=Skew)
 
 

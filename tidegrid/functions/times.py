@@ -52,6 +52,15 @@ def interval(seconds: float) -> Column:
     return F.lit(timedelta(seconds=seconds))
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def seconds(delay: str) -> int:
+    """Seconds of a delay such as ``15 minutes``."""
+    number, unit = delay.split()
+    return int(number) * _UNITS[unit.removesuffix("s")]
+
+
 def lag_minutes(ts: Column, as_of: Column) -> Column:
     behind = F.unix_timestamp(as_of) - F.unix_timestamp(ts)
     return F.round((behind / F.lit(60.0)).cast("decimal(28,10)"), 2).cast("double")

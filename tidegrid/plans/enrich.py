@@ -36,11 +36,16 @@ def _against_skew(right: DataFrame, key: str, ts: str, seconds: int, salt: int |
 
 
 def thinned(readings: DataFrame, keys: list[str], ts: str, cfg: Settings, *tie: str) -> DataFrame:
-    """One reading per key and time bin if ``cfg.thin_seconds`` is set: the first by time, in a stream the first to arrive."""
+    """One reading per key and time bin if ``cfg.thin_seconds`` is set: the first by time, in a stream the first to arrive.
+
+    A stream remembers a reading for the watermark delay, so it refuses longer bins.
+    """
     if cfg.thin_seconds is None:
         return readings
     if not readings.isStreaming:
         return thin_readings(readings, keys, ts, cfg.thin_seconds, *tie)
+    if cfg.thin_seconds > times.seconds(cfg.watermark_delay):
+        raise ValueError(f"bins of {cfg.thin_seconds} s are longer than the watermark delay of {cfg.watermark_delay}")
     binned = readings.withColumn("_bin", times.time_bin(F.col(ts), cfg.thin_seconds))
     return binned.dropDuplicatesWithinWatermark([*keys, "_bin"]).drop("_bin")
 

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegrid.sources.tables import BATCH, PARTITION
+from tidegrid.sinks.parts import batch_name, files, put_parts, run_of, with_event_date
 
 ONCE = {"availableNow": True}
 
@@ -35,23 +34,26 @@ def write_stream_parquet(
     return writer.start()
 
 
-def with_event_date(df: DataFrame, ts: str = "traffic_event_ts") -> DataFrame:
-    return df.withColumn(PARTITION, F.col(ts).cast("date"))
-
-
-def write_daily(df: DataFrame, path: str, checkpoint: str, trigger: dict, ts: str, name: str | None = None) -> StreamingQuery:
-    """Rows to a Parquet folder partitioned by event day and batch.
+def write_daily(
+    df: DataFrame, path: str, checkpoint: str, trigger: dict, ts: str, name: str | None = None, more: tuple[str, ...] = (),
+    mode: str = "append",
+) -> StreamingQuery:
+    """Rows to a table in parts by event day and batch (see ``sinks.parts``).
 
-    A batch that is repeated after a failure overwrites its own partitions, so
-    no row comes twice. The table has no log of files beside its folders: it can
-    be compacted and cut, and the stream goes on (see ``upkeep.tables``).
+    A batch that is repeated after a failure adds no row twice. Batches are
+    named by the run that its checkpoint holds: a new version with a new
+    checkpoint adds to the table and replaces nothing.
     """
+    run: list[str] = []
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        rows = with_event_date(batch, ts).withColumn(BATCH, F.lit(batch_id))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION, BATCH).parquet(path)
+        if not run:
+            run.append(run_of(batch.sparkSession, checkpoint))
+        put_parts(batch, path, batch_name(run[0], batch_id), ts, more)
 
-    writer = df.writeStream.foreachBatch(put).outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger)
+    fs, at = files(df.sparkSession, path)
+    fs.mkdirs(at(path))  # readers may start before the first part is there
+    writer = df.writeStream.foreachBatch(put).outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger)
     return (writer.queryName(name) if name else writer).start()
 
 
@@ -72,3 +74,8 @@ def write_memory(df: DataFrame, name: str, trigger: dict | None = None) -> Strea
     """For probes and tests: the rows land on the driver."""
     writer = df.writeStream.format("memory").queryName(name).outputMode("append")
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+__all__ = [
+    "ONCE", "checkpoint_path", "every", "with_event_date", "write_business", "write_daily", "write_memory", "write_stream_parquet",
+]

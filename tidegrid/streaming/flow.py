@@ -21,12 +21,14 @@ from tidegrid.operators.parse import parse_json, quarantine, split_valid, with_b
 from tidegrid.plans import enrich as enriching
 from tidegrid.plans import refine
 from tidegrid.schemas import FEEDS
-from tidegrid.sinks.streams import checkpoint_path, every, write_business, write_stream_parquet
-from tidegrid.sources.tables import read_table_stream
+from tidegrid.sinks.parts import part_schema, read_parts_stream, refuse_late_reader
+from tidegrid.sinks.streams import checkpoint_path, every, write_business, write_daily
+from tidegrid.sources.tables import BATCH, PARTITION, read_table_stream
 from tidegrid.sources.topics import TopicSource, read_topic_stream
+from tidegrid.streaming.heartbeat import MARK, kept_above, with_heartbeat, without_heartbeat
 from tidegrid.streaming.replay import finish
 
-SCHEMA_VERSION = 2
+SCHEMA_VERSION = 3
 BROKEN = "broken"
 _ARRIVAL = ["source_topic", "kafka_timestamp", "raw_payload"]
 
@@ -67,20 +69,21 @@ def raw_path(out: str, feed: str) -> str:
 
 def read_raw(spark: SparkSession, out: str, feed: str) -> DataFrame:
     """The valid rows of a stored raw table, payload included."""
-    return spark.read.schema(raw_schema(feed)).parquet(raw_path(out, feed)).where(~F.col(BROKEN)).drop(BROKEN, "source_topic")
+    rows = spark.read.schema(part_schema(raw_schema(feed), (BROKEN,))).parquet(raw_path(out, feed))
+    return rows.where(~F.col(BROKEN)).drop(BROKEN, "source_topic", PARTITION, BATCH)
 
 
 def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
     """The broken messages of all raw tables; only their partitions are read."""
     parts = (
-        spark.read.schema(raw_schema(feed)).parquet(raw_path(out, feed)).where(F.col(BROKEN)).select(*_ARRIVAL)
+        spark.read.schema(part_schema(raw_schema(feed), (BROKEN,))).parquet(raw_path(out, feed)).where(F.col(BROKEN)).select(*_ARRIVAL)
         for feed in TOPICS
     )
     return reduce(DataFrame.unionByName, parts)
 
 
 def _raw_stream(spark: SparkSession, out: str, feed: str) -> DataFrame:
-    rows = read_table_stream(spark, raw_path(out, feed), raw_schema(feed), None)
+    rows = read_parts_stream(spark, raw_path(out, feed), raw_schema(feed), more=(BROKEN,))
     return rows.where(~F.col(BROKEN)).drop(BROKEN, "source_topic", "raw_payload")
 
 
@@ -94,6 +97,7 @@ def refined(feeds: Feeds, cfg: Settings = Settings()) -> tuple[DataFrame, DataFr
 
 
 REFINED = {"traffic": "traffic_event_ts", "air_quality": "aq_event_ts", "weather": "weather_event_ts"}
+_FEEDS_OF = {"traffic": ("traffic",), "air_quality": ("openaq", "purpleair"), "weather": ("weather",)}
 
 
 def refined_path(out: str, name: str) -> str:
@@ -105,50 +109,72 @@ def _refined_plans(spark: SparkSession, out: str, cfg: Settings) -> dict[str, Da
     return dict(zip(REFINED, refined(rows, cfg), strict=True))
 
 
-def business_rows(spark: SparkSession, out: str, lookup: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """The business rows as a stream over the stored refined tables."""
+#: Per refined table what a heartbeat has beside its time: keys that meet no row, not even another feed's beat.
+_BEATS = {
+    "traffic": {"id": MARK, "h3_index": f"{MARK} of traffic", "borough": MARK},
+    "air_quality": {"h3_index": f"{MARK} of air quality", "aq_source": MARK, "aq_location_id": MARK},
+    "weather": {"weather_join_key": f"{MARK} of weather", "weather_period_name": MARK},
+}
+
+
+def business_rows(
+    spark: SparkSession, out: str, lookup: DataFrame, cfg: Settings = Settings(), clock: DataFrame | None = None
+) -> DataFrame:
+    """The business rows as a stream over the stored refined tables.
+
+    With a ``clock`` (``heartbeat.rate_clock``) and ``cfg.idle_hold`` no feed
+    that falls silent holds back the rows of the others for longer than that.
+    """
     plans = _refined_plans(spark, out, cfg)
-    traffic, aq, weather = (
-        with_event_time(read_table_stream(spark, refined_path(out, name), plans[name].schema, None), ts, cfg.watermark_delay)
-        for name, ts in REFINED.items()
-    )
-    return enriching.enrich(traffic, aq, weather, lookup, cfg)
+    tables = {}
+    for name, ts in REFINED.items():
+        rows = read_parts_stream(spark, refined_path(out, name), plans[name].schema)
+        if clock is not None:
+            rows = with_heartbeat(rows, clock, ts, cfg.idle_hold, _BEATS[name])
+        tables[name] = with_event_time(rows, ts, cfg.watermark_delay)
+        if clock is not None:
+            tables[name] = kept_above(tables[name], ts, "weather_join_key" if name == "weather" else "h3_index")
+    rows = enriching.enrich(*tables.values(), lookup, cfg)
+    return rows if clock is None else without_heartbeat(rows, "traffic_id", "traffic_event_ts")
 
 
 def start_raw(spark: SparkSession, source: TopicSource, out: str, cfg: Settings = Settings(), trigger: dict | None = None) -> dict[str, StreamingQuery]:
     """One query per topic: the only ones that read and parse messages."""
     return {
-        f"raw_{feed}": write_stream_parquet(
+        f"raw_{feed}": write_daily(
             raw_rows(read_topic_stream(spark, topic, source, cfg), feed), raw_path(out, feed),
-            checkpoint_path(out, f"raw_{feed}", SCHEMA_VERSION), f"raw_{feed}", trigger, (BROKEN,),
+            checkpoint_path(out, f"raw_{feed}", SCHEMA_VERSION), trigger or every(cfg.trigger), "kafka_timestamp", f"raw_{feed}", (BROKEN,),
         )
         for feed, topic in TOPICS.items()
     }
 
 
 def start_refined(spark: SparkSession, out: str, cfg: Settings = Settings(), trigger: dict | None = None) -> dict[str, StreamingQuery]:
-    return {
-        f"refined_{name}": write_stream_parquet(
-            df, refined_path(out, name), checkpoint_path(out, f"refined_{name}", SCHEMA_VERSION), f"refined_{name}", trigger
-        )
-        for name, df in _refined_plans(spark, out, cfg).items()
-    }
+    started = {}
+    for name, df in _refined_plans(spark, out, cfg).items():
+        checkpoint = checkpoint_path(out, f"refined_{name}", SCHEMA_VERSION)
+        for feed in _FEEDS_OF[name]:
+            refuse_late_reader(spark, raw_path(out, feed), checkpoint)
+        started[f"refined_{name}"] = write_daily(df, refined_path(out, name), checkpoint, trigger or every(cfg.trigger), REFINED[name], f"refined_{name}")
+    return started
 
 
 def start_business(
     spark: SparkSession, out: str, lookup: DataFrame, cfg: Settings = Settings(), trigger: dict | None = None,
-    target: str | None = None, provider: str = "parquet",
+    target: str | None = None, provider: str = "parquet", clock: DataFrame | None = None,
 ) -> dict[str, StreamingQuery]:
+    checkpoint = checkpoint_path(out, "business", SCHEMA_VERSION)
+    for name in REFINED:
+        refuse_late_reader(spark, refined_path(out, name), checkpoint)
     query = write_business(
-        business_rows(spark, out, lookup, cfg), target or f"{out}/business",
-        checkpoint_path(out, "business", SCHEMA_VERSION), trigger or every(cfg.trigger), provider=provider,
+        business_rows(spark, out, lookup, cfg, clock), target or f"{out}/business", checkpoint, trigger or every(cfg.trigger), provider=provider
     )
     return {"business": query}
 
 
 def start_all(
     spark: SparkSession, source: TopicSource, lookup: DataFrame, out: str, cfg: Settings = Settings(),
-    trigger: dict | None = None, business_target: str | None = None, provider: str = "parquet",
+    trigger: dict | None = None, business_target: str | None = None, provider: str = "parquet", clock: DataFrame | None = None,
 ) -> dict[str, StreamingQuery]:
     """Eight live queries: four raw tables, three refined ones, and the business table.
 
@@ -159,7 +185,7 @@ def start_all(
     return (
         start_raw(spark, source, out, cfg, trigger)
         | start_refined(spark, out, cfg, trigger)
-        | start_business(spark, out, lookup, cfg, trigger, business_target, provider)
+        | start_business(spark, out, lookup, cfg, trigger, business_target, provider, clock)
     )
 
 
