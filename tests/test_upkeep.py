@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.functions.times import as_of_literal
-from tidegrid.session import work_dir
+from tidegrid.session import own_root, work_dir
 from tidegrid.sinks.streams import ONCE, with_event_date, write_daily, write_stream_parquet
 from tidegrid.sources.tables import between, register_views, sql_over_path
 from tidegrid.streaming.replay import finish
@@ -193,3 +193,26 @@ def test_work_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(Session(), "x")
+
+
+def test_a_cluster_with_a_local_warehouse_is_refused(spark, monkeypatch):
+    """Where no shared folder is named, the warehouse serves on one machine only."""
+    named = []
+
+    class Context:
+        master, _jvm, _jsc = "spark://host:7077", spark.sparkContext._jvm, spark.sparkContext._jsc
+        getCheckpointDir = staticmethod(lambda: None)
+        setCheckpointDir = staticmethod(named.append)
+
+    class Conf:
+        def get(self, name, *default):
+            return default[0] if default else "file:/tmp/warehouse"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="local folder"):
+        own_root(Session())
+    Context.master = "local[4]"
+    own_root(Session())
+    assert named == ["file:/tmp/warehouse/_work"]

@@ -9,7 +9,7 @@ from test_streaming import CFG, fill, lookup, message, sentinel, write
 
 from tidegrid.config import TOPICS
 from tidegrid.operators import ledger
-from tidegrid.plans import reports, rollups
+from tidegrid.plans import reports, rollups, sketches
 from tidegrid.plans.enrich import enrich
 from tidegrid.schemas import BUSINESS
 from tidegrid.sinks import parts
@@ -228,3 +228,26 @@ def test_nothing_to_repair(spark, tmp_path):
     assert repair.repair(spark, str(tmp_path / "out"), None, CFG) == []
     with pytest.raises(ValueError, match="arrived"):
         ledger.too_late(spark.range(1), ledger.LateLoad("x", "id", ()), ledger._START)
+
+
+# Sketches --------------------------------------------------------------------
+
+def test_sketches_of_parts_estimate_any_range(spark, tmp_path):
+    table, kept = str(tmp_path / "table"), str(tmp_path / "sketches")
+    for i in range(2):
+        rows = spark.range(i * 30_000, 30_000 + i * 30_000).select(
+            F.concat(F.lit("id"), F.col("id") % 40_000).alias("traffic_id"), F.concat(F.lit("c"), F.col("id") % 97).alias("h3_index"),
+            F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), F.col("id") % 5_000)).alias("aq_location_id"), F.lit("Bronx").alias("traffic_borough"),
+            (F.lit(DAY) + F.make_dt_interval(F.col("id") % 6)).alias("traffic_event_ts"),
+        )
+        rows = rows.select(*(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in BUSINESS.fields))
+        parts.put_parts(rows, table, f"q1-{i:012d}", "traffic_event_ts")
+        assert len(sketches.refresh(spark, table, kept).made) == 6
+    for days in ((0, 5), (2, 4)):
+        ends = [(DAY + timedelta(days=d)).date() for d in days]
+        got, true = (sketches.distincts(spark, table, kept, *ends, exact_days=n).first() for n in (1, 99))
+        assert not got.exact and true.exact
+        for c in sketches.COUNTED:
+            assert abs(got[c] - true[c]) <= 0.03 * true[c], c
+    one = sketches.distincts(spark, table, kept, DAY.date(), DAY.date(), by="traffic_borough").collect()
+    assert len(one) == 1 and one[0].exact

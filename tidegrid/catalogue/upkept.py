@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from tidegrid.catalogue.oracle import mean, on_business, pct, upto
 from tidegrid.config import TOPICS
 from tidegrid.functions import stats
 from tidegrid.operators import ledger
-from tidegrid.plans import rollups
+from tidegrid.operators.joins import interval_join
+from tidegrid.operators.runs import overlap_join, unchanged_runs
+from tidegrid.plans import rollups, sketches, versions
 from tidegrid.session import work_dir
 from tidegrid.sinks.parts import put_parts, read_parts_stream
 from tidegrid.sinks.streams import ONCE
@@ -64,6 +68,32 @@ def _rollup(name: str, report) -> tuple:
     return (lambda spark, sf: report(_states(spark, sf))), reports.QUERIES[name][1]
 
 
+_RANGES = {"two days": (date(2024, 1, 10), date(2024, 1, 11)), "all": (date(2024, 1, 1), date(2024, 12, 31))}
+
+
+def distincts_over_ranges(spark, sf):
+    """Distinct ids, cells and stations per region: two days counted, the whole time from sketches that are put together.
+
+    Estimates are compared with the true counts here; a row says whether they are within 3 %.
+    """
+    out = work_dir(spark, "sketches")
+    for i, half in enumerate(_halves(spark, sf)):
+        put_parts(half, f"{out}/business", f"q1-{i:012d}", "traffic_event_ts")
+        sketches.refresh(spark, f"{out}/business", f"{out}/sketches")
+    found = []
+    for name, (first, last) in _RANGES.items():
+        got = sketches.distincts(spark, f"{out}/business", f"{out}/sketches", first, last, "traffic_borough")
+        true = sketches.distincts(spark, f"{out}/business", f"{out}/sketches", first, last, "traffic_borough", exact_days=1000)
+        true = true.select(F.col("traffic_borough").alias("_b"), *(F.col(c).alias(f"_{c}") for c in sketches.COUNTED))
+        close = F.lit(True)
+        for c in sketches.COUNTED:
+            close = close & (F.abs(F.col(c) - F.col(f"_{c}")) <= F.col(f"_{c}") * 0.03)
+        both = got.join(true, F.col("traffic_borough").eqNullSafe(F.col("_b")))
+        values = [F.col(f"_{c}").alias(c) for c in sketches.COUNTED]
+        found.append(both.select(F.lit(name).alias("days"), "traffic_borough", *values, "exact", close.alias("close")))
+    return found[0].unionByName(found[1])
+
+
 def _live(name: str, digits: int = 6):
     """A series kept up by a stream that is stopped in between and started again on its checkpoint."""
 
@@ -118,8 +148,63 @@ def idle_feed(spark, sf):
     return table.select("traffic_id", "traffic_event_ts", "aq_source", "aq_location_id", "aq_event_ts", "has_weather_match")
 
 
+_GAP = 6 * 3600
+_AQ_KEYS, _AQ_VALUES = ["h3_index", "aq_source", "aq_location_id"], ["aq_level"]
+
+
+def _aq_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of air-quality readings whose level, in steps of 40, does not change."""
+    aq = feeds.refined_tables(spark, sf)[1].withColumn("aq_level", F.floor(F.col("aq_pm25_ugm3") / 40.0))
+    return unchanged_runs(aq, _AQ_KEYS, "aq_event_ts", _AQ_VALUES, _GAP)
+
+
+def aq_runs(spark, sf):
+    return _aq_runs(spark, sf).select("aq_source", "aq_location_id", "h3_index", "aq_level", "run_from", "run_to", "readings")
+
+
+def enriched_by_runs(spark, sf):
+    """Rows per traffic event when it meets runs instead of single readings, beside those of the plain join."""
+    traffic, aq, _ = feeds.refined_tables(spark, sf)
+    events = traffic.select("id", "h3_index", "traffic_event_ts")
+    by_runs = overlap_join(events, _aq_runs(spark, sf), ["h3_index"], "traffic_event_ts", "run_from", "run_to", 900, 900, "left")
+    plain = interval_join(events, aq.select("h3_index", "aq_event_ts"), ["h3_index"], "traffic_event_ts", "aq_event_ts", 900, 900, "left")
+    counts = by_runs.groupBy("id").agg(F.count("run_from").alias("runs"))
+    return counts.join(plain.groupBy("id").agg(F.count("aq_event_ts").alias("matches")), "id").select("id", "runs", "matches")
+
+
+def versioned_flags(spark, sf):
+    """The flow with cell flags that change in mid-stream: rows are flagged by their event time."""
+    out = work_dir(spark, "versioned")
+    session = streams.stream_session(spark)
+    lookup = spark.read.parquet(feeds.stored(spark, sf, "lookup", lambda: feeds.lookup(spark, sf)))
+    cut = datetime(2024, 1, 16)
+    turned = lookup.select("h3_lookup_index", *((~F.col(f)).alias(f) for f in versions.FLAGS))
+    for valid_from, flags, mine in (
+        (datetime(1970, 1, 1), lookup, F.col("timestamp") < F.lit(cut)), (cut, turned, F.col("timestamp") >= F.lit(cut)),
+    ):
+        versions.put_version(spark, f"{out}/flags", flags, valid_from)
+        for topic in TOPICS.values():
+            messages = spark.read.parquet(f"{streams.message_files(spark, sf)}/{topic}")
+            messages.where(mine).write.mode("append").parquet(f"{out}/in/{topic}")
+        flow.run_once(session, TopicSource(f"{out}/in"), f"{out}/flags", out, CFG)
+    table = spark.read.parquet(f"{out}/business").where(F.coalesce(F.col("traffic_id") != "sentinel", F.lit(True)))
+    return table.select("traffic_id", "traffic_event_ts", *versions.FLAGS, "is_congestion_zone", "is_truck_route").distinct()
+
+
+def _turned(flag: str) -> str:
+    return f"""coalesce(CASE WHEN t.event_ts >= TIMESTAMP '2024-01-16' THEN NOT {flag} ELSE {flag} END, false)"""
+
+
 _MINUTE = "date_trunc('minute', traffic_event_ts) AS time"
 
+#: Gaps and islands in SQL.
+_NUMBERED = f"""
+levels AS (SELECT *, cast(floor(pm25 / cast(40 as double)) as bigint) AS level FROM aq),
+marked AS (SELECT *, CASE WHEN level = lag(level) OVER w AND aq_event_ts <= lag(aq_event_ts) OVER w + INTERVAL {_GAP} SECOND THEN 0 ELSE 1 END AS new
+  FROM levels WINDOW w AS (PARTITION BY cell, aq_source, aq_location_id ORDER BY aq_event_ts, level)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY cell, aq_source, aq_location_id ORDER BY aq_event_ts, level ROWS UNBOUNDED PRECEDING) AS island
+  FROM marked)"""
+
 QUERIES = {
     "incremental_late": (incremental_late, "SELECT event_id, ts FROM events"),
     "rollup_region": _rollup("rpt_region_rollup", rollups.region_rollup),
@@ -128,6 +213,17 @@ QUERIES = {
     "rollup_match_pct_by_region": _rollup("rpt_match_pct_by_region", lambda s: rollups.match_pct(s, "traffic_borough")),
     "rollup_speed_buckets": _rollup("rpt_speed_buckets", rollups.speed_buckets),
     "rollup_region_hour": _rollup("rpt_region_hour", rollups.region_hour),
+    "distincts_over_ranges": (
+        distincts_over_ranges,
+        on_business(
+            " UNION ALL ".join(
+                f"""SELECT '{name}' AS days, traffic_borough, count(DISTINCT traffic_id) AS traffic_ids, count(DISTINCT h3_index) AS cells,
+                count(DISTINCT aq_location_id) AS aq_stations, {name != 'all'} AS exact, true AS close FROM business
+                WHERE cast(traffic_event_ts as date) BETWEEN DATE '{first}' AND DATE '{last}' GROUP BY traffic_borough"""
+                for name, (first, last) in _RANGES.items()
+            )
+        ),
+    ),
     "live_speed_pm25": (
         _live("speed_pm25"),
         on_business(f"SELECT {_MINUTE}, {mean('traffic_speed', 6)} AS avg_speed, {mean('aq_pm25_ugm3', 6)} AS avg_pm25 FROM business GROUP BY 1"),
@@ -143,6 +239,37 @@ QUERIES = {
             FROM business GROUP BY 1"""
         ),
     ),
+    "aq_runs": (
+        aq_runs,
+        upto(
+            "aq",
+            """SELECT aq_source, aq_location_id, cell AS h3_index, level AS aq_level, min(aq_event_ts) AS run_from, max(aq_event_ts) AS run_to,
+            count(*) AS readings FROM numbered GROUP BY aq_source, aq_location_id, cell, level, island""",
+            _NUMBERED,
+        ),
+    ),
+    "enriched_by_runs": (
+        enriched_by_runs,
+        upto(
+            "aq",
+            """SELECT id, (SELECT count(*) FROM runs r WHERE r.cell = t.cell AND r.run_from <= t.event_ts + INTERVAL 15 MINUTE
+              AND r.run_to >= t.event_ts - INTERVAL 15 MINUTE) AS runs,
+            (SELECT count(*) FROM aq a WHERE a.cell = t.cell AND a.aq_event_ts BETWEEN t.event_ts - INTERVAL 15 MINUTE
+              AND t.event_ts + INTERVAL 15 MINUTE) AS matches FROM traffic t""",
+            _NUMBERED,
+            """runs AS (SELECT cell, min(aq_event_ts) AS run_from, max(aq_event_ts) AS run_to FROM numbered
+              GROUP BY aq_source, aq_location_id, cell, level, island)""",
+        ),
+    ),
+    "versioned_flags": (
+        versioned_flags,
+        upto(
+            "lookup",
+            f"""SELECT DISTINCT id AS traffic_id, event_ts AS traffic_event_ts, {', '.join(f'{_turned(f)} AS {f}' for f in versions.FLAGS)},
+            {_turned(versions.FLAGS[0])} AS is_congestion_zone, {_turned(versions.FLAGS[1])} AS is_truck_route
+            FROM traffic t LEFT JOIN flags ON h3_lookup_index = t.cell""",
+        ),
+    ),
     "late_repaired": (late_repaired, on_business("SELECT * FROM business")),
     "idle_feed": (
         idle_feed,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-CORRUPT = "_corrupt_json"
+CORRUPT = "unparsed_text"
 
 
 def parse_json(topic: DataFrame, schema: StructType) -> DataFrame:

@@ -9,6 +9,7 @@ together or mended have new names, so their states are made anew.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from tidegrid.config import SPEED_BUCKETS
 from tidegrid.functions import stats, text
 from tidegrid.plans.reports import REGION, TS
-from tidegrid.sinks.parts import add_parts, files, merged_name, part_schema, parts
 from tidegrid.schemas import BUSINESS
+from tidegrid.sinks.parts import add_parts, files, merged_name, part_schema, parts
 from tidegrid.sources.tables import BATCH, PARTITION
 
 KEYS = [REGION, "hour_of_day", "speed_bucket", "matched"]
@@ -52,18 +53,23 @@ def states(rows: DataFrame, *keys: str) -> DataFrame:
 
 def refresh(spark: SparkSession, table: str, rollup: str) -> Refreshed:
     """Makes the states of new parts of ``table`` and removes those of parts that are gone."""
-    table, rollup = table.rstrip("/"), rollup.rstrip("/")
-    there, have = set(parts(spark, table)), set(parts(spark, rollup))
+    return refresh_parts(spark, table, rollup, lambda rows: states(rows, PARTITION, BATCH))
+
+
+def refresh_parts(spark: SparkSession, table: str, kept: str, make: Callable[[DataFrame], DataFrame]) -> Refreshed:
+    """Brings ``kept`` up to date with the parts of ``table``: ``make`` turns rows of new parts into what is kept of them."""
+    table, kept = table.rstrip("/"), kept.rstrip("/")
+    there, have = set(parts(spark, table)), set(parts(spark, kept))
     made, removed = sorted(there - have), sorted(have - there)
     read: tuple[str, ...] = ()
     if made:
         folders = [f"{table}/{PARTITION}={d}/{BATCH}={b}" for d, b in made] if have else [table]
         rows = spark.read.schema(part_schema(BUSINESS)).option("basePath", table).parquet(*folders)
         read = tuple(rows.inputFiles())
-        add_parts(states(rows, PARTITION, BATCH), rollup, merged_name())
-    fs, at = files(spark, rollup)
+        add_parts(make(rows), kept, merged_name())
+    fs, at = files(spark, kept)
     for day, batch in removed:
-        fs.delete(at(f"{rollup}/{PARTITION}={day}/{BATCH}={batch}"), True)
+        fs.delete(at(f"{kept}/{PARTITION}={day}/{BATCH}={batch}"), True)
     return Refreshed(tuple(made), tuple(removed), read)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,9 +52,18 @@ def shared_root(spark: SparkSession) -> str | None:
 
 
 def own_root(spark: SparkSession) -> None:
-    """Names a folder in the warehouse for intermediate data where the session names none."""
-    if not shared_root(spark):
-        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
+    """Names a folder in the warehouse for intermediate data where the session names none.
+
+    Raises on a cluster whose warehouse is on the local disk: each machine would see its own files only.
+    """
+    if shared_root(spark):
+        return
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    local = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme() == "file"
+    if local and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share; the warehouse is a local folder")
+    spark.sparkContext.setCheckpointDir(root)
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,20 +38,21 @@ def write_stream_parquet(
 
 def write_daily(
     df: DataFrame, path: str, checkpoint: str, trigger: dict, ts: str, name: str | None = None, more: tuple[str, ...] = (),
-    mode: str = "append",
+    mode: str = "append", each: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Rows to a table in parts by event day and batch (see ``sinks.parts``).
 
     A batch that is repeated after a failure adds no row twice. Batches are
     named by the run that its checkpoint holds: a new version with a new
-    checkpoint adds to the table and replaces nothing.
+    checkpoint adds to the table and replaces nothing. ``each`` is applied to
+    every batch, for joins with tables that change meanwhile.
     """
     run: list[str] = []
 
     def put(batch: DataFrame, batch_id: int) -> None:
         if not run:
             run.append(run_of(batch.sparkSession, checkpoint))
-        put_parts(batch, path, batch_name(run[0], batch_id), ts, more)
+        put_parts(each(batch) if each else batch, path, batch_name(run[0], batch_id), ts, more)
 
     fs, at = files(df.sparkSession, path)
     fs.mkdirs(at(path))  # readers may start before the first part is there
@@ -58,14 +61,17 @@ def write_daily(
 
 
 def write_business(
-    df: DataFrame, target: str, checkpoint: str, trigger: dict, name: str = "business", provider: str = "parquet"
+    df: DataFrame, target: str, checkpoint: str, trigger: dict, name: str = "business", provider: str = "parquet",
+    each: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Business rows to a Parquet folder by event day and batch, or to a catalog table of another provider.
 
     A table with its own day partition transform (Iceberg) takes the 34 columns as they are.
     """
     if provider == "parquet":
-        return write_daily(df, target, checkpoint, trigger, "traffic_event_ts", name)
+        return write_daily(df, target, checkpoint, trigger, "traffic_event_ts", name, each=each)
+    if each is not None:
+        raise ValueError("batches are only changed on the way to a table in parts")
     writer = df.writeStream.format(provider).outputMode("append").queryName(name).trigger(**trigger)
     return writer.option("checkpointLocation", checkpoint).toTable(target)
 

@@ -19,7 +19,7 @@ from tidegrid.config import TOPICS, Settings
 from tidegrid.operators.joins import interval_join
 from tidegrid.operators.parse import parse_json, quarantine, split_valid, with_broken_mark
 from tidegrid.plans import enrich as enriching
-from tidegrid.plans import refine
+from tidegrid.plans import refine, versions
 from tidegrid.schemas import FEEDS
 from tidegrid.sinks.parts import part_schema, read_parts_stream, refuse_late_reader
 from tidegrid.sinks.streams import checkpoint_path, every, write_business, write_daily
@@ -160,20 +160,29 @@ def start_refined(spark: SparkSession, out: str, cfg: Settings = Settings(), tri
 
 
 def start_business(
-    spark: SparkSession, out: str, lookup: DataFrame, cfg: Settings = Settings(), trigger: dict | None = None,
+    spark: SparkSession, out: str, lookup: DataFrame | str, cfg: Settings = Settings(), trigger: dict | None = None,
     target: str | None = None, provider: str = "parquet", clock: DataFrame | None = None,
 ) -> dict[str, StreamingQuery]:
+    """``lookup``: the flags as they are now and stay, or the path of their versions (``plans.versions``), read for each batch."""
+    each = None
+    if isinstance(lookup, str):
+        path, lookup = lookup, versions.current(spark.createDataFrame([], versions.read_versions(spark, lookup).schema))
+
+        def each(batch: DataFrame) -> DataFrame:
+            return versions.with_versioned_flags(batch, versions.read_versions(batch.sparkSession, path))
+
     checkpoint = checkpoint_path(out, "business", SCHEMA_VERSION)
     for name in REFINED:
         refuse_late_reader(spark, refined_path(out, name), checkpoint)
     query = write_business(
-        business_rows(spark, out, lookup, cfg, clock), target or f"{out}/business", checkpoint, trigger or every(cfg.trigger), provider=provider
+        business_rows(spark, out, lookup, cfg, clock), target or f"{out}/business", checkpoint, trigger or every(cfg.trigger),
+        provider=provider, each=each,
     )
     return {"business": query}
 
 
 def start_all(
-    spark: SparkSession, source: TopicSource, lookup: DataFrame, out: str, cfg: Settings = Settings(),
+    spark: SparkSession, source: TopicSource, lookup: DataFrame | str, out: str, cfg: Settings = Settings(),
     trigger: dict | None = None, business_target: str | None = None, provider: str = "parquet", clock: DataFrame | None = None,
 ) -> dict[str, StreamingQuery]:
     """Eight live queries: four raw tables, three refined ones, and the business table.
@@ -190,7 +199,7 @@ def start_all(
 
 
 def run_once(
-    spark: SparkSession, source: TopicSource, lookup: DataFrame, out: str, cfg: Settings = Settings(), trigger: dict | None = None
+    spark: SparkSession, source: TopicSource, lookup: DataFrame | str, out: str, cfg: Settings = Settings(), trigger: dict | None = None
 ) -> dict[str, StreamingQuery]:
     """The same queries over what is there now: stage by stage, each until it has caught up."""
     trigger = trigger or {"availableNow": True}
