@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.common import carried, restored, stored
 
-#: Shorter lines are only equal or different: one edit changes too much of them.
+#: Shorter lines are only equal or different by default: one edit changes too much of them. An argument; with 0 every
+#: line is compared, and lines of a few characters, which are within one edit of very many others, cost most.
 LEAST_CHARS = 12
 EDITS = 1
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -31,11 +32,16 @@ def content(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
 
 
+def row_key() -> Column:
+    """128 bits of hash of a row's id and text: rows that share an id are told apart by it."""
+    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("text"))))
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line`` of all lines with content, from 0; ``docs``: doc_id, text."""
+    """``row, doc_id, line_no, line`` of all lines with content, from 0; ``docs``: doc_id, text."""
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    rows = docs.select("doc_id", F.posexplode(lines).alias("line_no", "line"))
-    return rows.select("doc_id", "line_no", content(F.col("line")).alias("line")).where("line != ''")
+    rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(lines).alias("line_no", "line"))
+    return rows.select("row", "doc_id", "line_no", content(F.col("line")).alias("line")).where("line != ''")
 
 
 def _line_key(line: Column) -> Column:
@@ -92,60 +98,74 @@ VARIANT = "id long, doc_id long, line_no int, key long, at int"
 def _variants(lines: DataFrame) -> DataFrame:
     """Per line (id, doc_id, line_no, line) the keys of the line itself (at -1) and of it without its character ``at``."""
 
+    names, kinds = ["id", "doc_id", "line_no", "key", "at"], (pa.int64(), pa.int64(), pa.int32())
+
+    def batch(b, at, keys):
+        n = [len(k) for k in keys]
+        of = [b.column(i).take(pa.array(np.repeat(at, n))).cast(kinds[i]) for i in range(3)]
+        place = np.concatenate([np.arange(-1, m - 1, dtype=np.int32) for m in n])
+        return pa.record_batch([*of, pa.array(np.concatenate(keys)), pa.array(place)], names=names)
+
     def work(parts):
         for b in parts:
-            for *of, line in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                keys = np.concatenate([[np.uint64(whole_key(line))], deletion_keys(line)]).view(np.int64)
-                for s in range(0, len(keys), 1 << 16):
-                    part = keys[s : s + (1 << 16)]
-                    n, at = len(part), np.arange(s - 1, s - 1 + len(part), dtype=np.int32)
-                    i, d, l = (np.full(n, v, dtype=k) for v, k in zip(of, (np.int64, np.int64, np.int32), strict=True))
-                    yield pa.record_batch([pa.array(v) for v in (i, d, l, part, at)], names=["id", "doc_id", "line_no", "key", "at"])
+            at, keys, held = [], [], 0
+            for i, line in enumerate(b.column(3).to_pylist()):
+                at.append(i)
+                keys.append(np.concatenate([[np.uint64(whole_key(line))], deletion_keys(line)]).view(np.int64))
+                held += len(keys[-1])
+                if held > 1 << 18:
+                    yield batch(b, at, keys)
+                    at, keys, held = [], [], 0
+            if keys:
+                yield batch(b, at, keys)
 
     return lines.select("id", "doc_id", "line_no", "line").mapInArrow(work, VARIANT)
 
 
-def later_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no`` of every line that an earlier equal line, or an earlier line within one edit, repeats.
+def _order(*last: str) -> Column:
+    """Places in order: by ``doc_id``, those without one last, then line number."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line_no", *last)
 
-    Order is by ``doc_id``, then line number. Whether a line goes depends on the
-    first places of the different lines only: a line goes everywhere if a line
-    within one edit of it first stands earlier; else it stays at its first
-    place. (The earlier line may itself go, if a third one precedes it.)
-    Documents without an id take no part.
+
+def later_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """``row, line_no`` of every line that an earlier equal line, or an earlier line within one edit, repeats.
+
+    ``row`` is the ``row_key``. Order is by ``doc_id``, then line number; rows
+    without an id come last, and what is level then goes by hashes. Whether a
+    line goes depends on the first places of the different lines only: a line
+    goes everywhere if a line within one edit of it first stands earlier; else
+    it stays at its first place. (The earlier line may itself go, if a third one
+    precedes it.) Rows that are alike in id and text are one row.
     """
-    rows = line_rows(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()))
-    keyed = stored(
-        rows.select(
-            "doc_id", "line_no", _line_key(F.col("line")).alias("line_key"),
-            F.when(F.length("line") >= LEAST_CHARS, _halves(F.col("line"))).alias("halves"),
-        ),
-        "lines",
+    rows = line_rows(docs.select("doc_id", "text"))
+    keyed = rows.select(
+        "row", "doc_id", "line_no", _line_key(F.col("line")).alias("line_key"),
+        F.when(F.length("line") >= least_chars, _halves(F.col("line"))).alias("halves"),
     )
-    place = F.struct("doc_id", "line_no")
-    # The hash of a place stands for the distinct line that is first there.
+    # The hash of a line stands for it.
+    keyed = stored(keyed.withColumn("id", F.xxhash64("line_key.a", "line_key.b")), "lines")
+    place = _order("id", "row")
     firsts = stored(
-        keyed.groupBy("line_key")
-        .agg(F.min(place).alias("first"), F.any_value("halves").alias("halves"), F.count(F.lit(1)).alias("n"))
-        .withColumn("id", F.xxhash64("line_key.a", "line_key.b")),
+        keyed.groupBy("line_key", "id").agg(F.min(place).alias("first"), F.any_value("halves").alias("halves"), F.count(F.lit(1)).alias("n")),
         "first-lines",
-    )
+    )
     # The small sides below are joined by hash at every size, so that shuffles grow with the input and not by steps.
-    # Dealt out by half once: the halves that occur twice are counted and looked up where they lie.
-    halves = firsts.select("id", F.explode("halves").alias("half")).repartition("half")
-    shared = halves.groupBy("half").count().where("count > 1").select("half")
-    near = halves.join(shared.hint("shuffle_hash"), "half", "left_semi").select("id").distinct()
-    near = stored(firsts.join(near.hint("shuffle_hash"), "id", "left_semi").select("id", "first.doc_id", "first.line_no"), "near-places")
+    # A half that very many lines begin with is counted before the shuffle, and joined, not dealt out: adaptive
+    # execution can split it there.
+    halves = firsts.select("id", F.explode("halves").alias("half"))
+    shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("half")
+    near = halves.join(shared, "half", "left_semi").select("id").distinct()
+    near = stored(firsts.join(near.hint("shuffle_hash"), "id", "left_semi").select("id", "first.row", "first.doc_id", "first.line_no"), "near-places")
     # Only documents in which such a line first stands are cut into lines again.
-    theirs = docs.select("doc_id", "text").join(near.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
-    lines = line_rows(theirs).join(near.hint("shuffle_hash"), ["doc_id", "line_no"]).groupBy("id", "doc_id", "line_no").agg(F.min("line").alias("line"))
-    lines = stored(lines, "near-lines")
+    theirs = docs.select("doc_id", "text", row_key().alias("row")).join(near.select("row").distinct().hint("shuffle_hash"), "row", "left_semi")
+    lines = line_rows(theirs).select("row", "line_no", "line").join(near.hint("shuffle_hash"), ["row", "line_no"])
+    lines = stored(lines.groupBy("id", "doc_id", "line_no").agg(F.any_value("line").alias("line")), "near-lines")
     # Of the variants, too, only those go on that another line shares; runs of a letter repeat a key within a line.
     dealt = _variants(lines).repartition("key")
     several = dealt.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a != b").select("key")
     known = stored(dealt.join(several.hint("shuffle_hash"), "key", "left_semi"), "shared-variants")
     # An order over lines: by the place where each first stands.
-    known = known.select("id", "key", "at", F.struct("doc_id", "line_no", "id").alias("o"))
+    known = known.select("id", "key", "at", _order("id").alias("o"))
     deleted = known.where("at >= 0")
     # Lines that lack the same character place and are else equal: all of them are within one replacement.
     replaced = deleted.groupBy("key", "at").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("c")).where("c > 1")
@@ -160,29 +180,29 @@ def later_lines(docs: DataFrame) -> DataFrame:
         .unionByName(shorter_first.select("id", F.col("o.id").alias("other")))
         .unionByName(longer_first.select("id", F.col("o.id").alias("other"))).distinct()
     )
-    a = lines.select("id", place.alias("first"), "line")
-    b = lines.select(F.col("id").alias("other"), place.alias("other_first"), F.col("line").alias("other_line"))
+    a = lines.select("id", _order("id").alias("first"), "line")
+    b = lines.select(F.col("id").alias("other"), _order("id").alias("other_first"), F.col("line").alias("other_line"))
     both = pairs.join(a, "id").join(b, "other").where("other_first < first")
     distance = F.levenshtein(F.col("line"), F.col("other_line"), EDITS)
     gone = stored(both.where((distance >= 0) & (distance <= EDITS)).select("id").distinct(), "near-repeats")
 
     marked = firsts.join(gone.withColumn("gone", F.lit(True)), "id", "left")
     marked = marked.where("n > 1 OR gone").select("line_key", "first", "gone")
-    again = keyed.select("line_key", "doc_id", "line_no").join(marked.hint("shuffle_hash"), "line_key")
-    late = F.coalesce("gone", F.lit(False)) | (place != F.col("first"))
-    return again.where(late).select("doc_id", "line_no")
+    again = keyed.select("line_key", "id", "row", "doc_id", "line_no").join(marked.hint("shuffle_hash"), "line_key")
+    late = F.coalesce("gone", F.lit(False)) | ~place.eqNullSafe(F.col("first"))
+    return again.where(late).select("row", "line_no")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``docs`` without their repeated lines (see ``later_lines``), in the same columns and rows.
 
     Blank lines stay. A text loses nothing but whole lines; NULL stays NULL.
-    Rows that share a ``doc_id`` lose the lines with the same numbers.
+    Rows that share a ``doc_id``, and rows without one, are documents of their own.
     """
-    late = later_lines(docs).groupBy("doc_id").agg(F.collect_set("line_no").alias("_late"))
+    late = later_lines(docs, least_chars).groupBy("row").agg(F.collect_set("line_no").alias("_late"))
     others = [c for c in docs.columns if c != "text"]
-    split = docs.select("doc_id", F.split("text", "\n", -1).alias("_lines"), *carried(others))
-    rows = split.join(late.hint("shuffle_hash"), "doc_id", "left")
+    split = docs.select(row_key().alias("row"), F.split("text", "\n", -1).alias("_lines"), *carried(others))
+    rows = split.join(late.hint("shuffle_hash"), "row", "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("_late", F.array().cast("array<int>")))
     text = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
     back = dict(zip(others, restored(others), strict=True)) | {"text": F.when(F.col("_lines").isNotNull(), text).alias("text")}
