@@ -40,7 +40,9 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         spark, path = df.sparkSession, df._stored_at
         remove(spark, path)
-        _scratch[spark.sparkContext.applicationId].remove(path)
+        mine = _scratch.get(spark.sparkContext.applicationId, [])
+        if path in mine:
+            mine.remove(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -116,6 +118,20 @@ def hashed_sample(rows: DataFrame, key: str, sample: int, *ties: str, by: str |
     return some.select(*columns)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, hot_keys: int = 2_000) -> DataFrame:
+    """``rows`` with the columns of their group; ``groups``: one row per ``key``, with its number of rows in ``size``.
+
+    A key with more than one in ``hot_keys`` of all rows is hot. There cannot be
+    more than ``hot_keys`` of them, so their groups are broadcast, and rows of a
+    hot key are not brought together. All other rows meet in an equi-join.
+    """
+    total = rows.count()
+    hot = F.col(size) * F.lit(hot_keys) > F.lit(total)
+    often, others = groups.where(hot), groups.where(~hot)
+    rest = rows.join(F.broadcast(often.select(key)), key, "left_anti").join(others, key)
+    return rows.join(F.broadcast(often), key).unionByName(rest)
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into the held-out fold; a NULL id does not."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import stored
+from tidegrid.llm.common import discard, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -41,7 +41,10 @@ def components(edges: DataFrame) -> DataFrame:
         if not r[0] or (r[0], r[1]) == state:
             break
         state = (r[0], r[1])
-        current = stored(_small_star(stored(_large_star(current), "large-star")), "small-star")
+        large = stored(_large_star(current), "large-star")
+        small = stored(_small_star(large), "small-star")
+        discard(current, large)
+        current = small
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
