@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.llm import resemblance
-from tidegrid.llm.common import stored
+from tidegrid.llm.common import join_groups, stored
 from tidegrid.llm.components import smallest_reachable
 
 SEED = 42
@@ -120,13 +120,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     columns are not looked at.
     """
     prints = stored(fingerprints(docs, doc_id, text), "simhash")
-    groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
+    groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "simhash-groups")
     pairs = near_pairs(groups.select("fp"))
     linked = smallest_reachable(pairs, groups.select(F.col("fp").alias("node"), F.col("least").alias("value")))
-    found = groups.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("value", "least").alias("component_id")
-    )
-    return prints.join(found, "fp").select("doc_id", "fp", "component_id")
+    found = groups.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    found = stored(found.select("fp", "rows", F.coalesce("value", "least").alias("component_id")), "simhash-found")
+    return join_groups(prints, found, "fp", "rows").select("doc_id", "fp", "component_id")
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
@@ -134,21 +133,19 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
 
     Near copies share at least 80 % of their five-word shingles, or are linked
     over others that do (``resemblance``); fingerprints and their contract
-    settings have no part in this. Of rows with the smallest id the one with the
-    smallest hash of its columns stays, once. Ids play no part in matching: rows
-    that share an id with different texts are rows of their own. Rows without an
-    id are kept.
+    settings have no part in this. Rows without an id come after all others. Of
+    rows with the smallest id the one with the smallest hash of its columns
+    stays, once. Ids play no part in matching: rows that share an id, or have
+    none, are rows of their own. NULL and empty texts are copies of each other.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    row = F.xxhash64(*columns)
-    texts = docs.where(F.col("doc_id").isNotNull()).select(
-        resemblance.text_key(F.col("text")).alias("node"), "text", F.struct(F.col("doc_id"), row.alias("hash")).alias("place")
-    )
+    row = F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("row"), *columns).alias("b"))  # 128 bits
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), row.alias("hash"))
+    texts = docs.select(resemblance.text_key(F.col("text")).alias("node"), "text", place.alias("place"))
     linked = resemblance.groups(texts.select("node", "text"))
     best = texts.groupBy("node").agg(F.min("place").alias("place"))
     group = F.coalesce("root", "node").alias("root")
     keep = best.join(linked, "node", "left").groupBy(group).agg(F.min("place").alias("place"))
-    keep = keep.select(F.col("place.doc_id").alias("_id"), F.col("place.hash").alias("_hash"))
-    rows = docs.select(F.col("doc_id").alias("_id"), row.alias("_hash"), F.struct(*columns).alias("_row"))
-    once = rows.join(keep, ["_id", "_hash"], "left_semi").groupBy("_id", "_hash").agg(F.any_value("_row").alias("_row"))
-    return once.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+    keep = stored(keep.select(F.col("place.hash").alias("_hash")), "kept-rows")
+    rows = docs.select(row.alias("_hash"), F.struct(*columns).alias("_row"))
+    return rows.join(keep, "_hash", "left_semi").groupBy("_hash").agg(F.any_value("_row").alias("_row")).select("_row.*")
