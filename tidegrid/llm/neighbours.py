@@ -1,7 +1,7 @@
 """Approximate nearest neighbours with randomly rotated one-bit codes.
 
-A vector minus the centre is rotated at random; the signs of its components are
-its code, packed to bits. Two scalars correct it: the distance to the centre
+A vector minus the centre is filled up with zeros to ``BITS`` dimensions and
+rotated at random; the signs of its components are its code, packed to bits. Two scalars correct it: the distance to the centre
 and the inner product of the unit vector with its code. Together they give an
 unbiased estimate of the inner product with any query, and an error bound that
 holds with high probability. A block keeps, per query, the vectors whose upper
@@ -18,15 +18,20 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.common import hashed_sample, stored
 
+BITS = 512  # of a code at least
 ERROR = 2.5  # width of the bound, in standard deviations of the estimate
 SAMPLE = 10_000  # rows from which the centre is taken
 ROWS, QUERIES = 16_384, 1_024  # per block
 
 
-def rotation(dim: int, seed: int = 5) -> np.ndarray:
-    """A random orthogonal matrix, the same for the same seed."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+def rotation(dim: int, bits: int | None = None, seed: int = 5) -> np.ndarray:
+    """A random rotation of vectors that are filled up with zeros to ``bits`` dimensions (rows: the ``dim`` that count).
+
+    The same for the same seed. Inner products stay as they are; the more bits, the narrower the error bounds.
+    """
+    bits = max(bits or dim, dim)
+    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits, dim)))
+    return (q * np.sign(np.diag(r))).T
 
 
 def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -40,7 +45,7 @@ def encode(x: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndar
 
 def estimate(query: np.ndarray, centre: np.ndarray, turn: np.ndarray, code: np.ndarray, norm: np.ndarray, fit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Estimated inner products (queries x rows) and how far the true ones may be off."""
-    dim = len(centre)
+    dim = turn.shape[1]
     signs = np.unpackbits(code, axis=1, count=dim).astype(np.float32)
     q = (query @ turn).astype(np.float32)
     # <q, sign code> = 2 <q, bits> - sum(q)
@@ -135,7 +140,7 @@ def search(df: DataFrame, k: int = 20, every: int = 20, vec_id: str = "vec_id",
     centre = centre_of(rows)
     if centre is None:
         return spark.createDataFrame([], empty)
-    dim, turn = len(centre), rotation(len(centre))
+    dim, turn = len(centre), rotation(len(centre), BITS)
     indexed = stored(index(rows, centre, turn), "codes")
     n = indexed.count()
     row_blocks, query_blocks = -(-n // ROWS), -(-n // (every * QUERIES))
