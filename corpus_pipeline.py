@@ -1,5 +1,5 @@
 """From raw documents to token shards: the stages are in ``tidegrid.llm.corpus``."""
 
-from tidegrid.llm.corpus import ORACLE_SQL, STAGES, run
+from tidegrid.llm.corpus import ORACLE_SQL, STAGES, decontaminate, mix, near_dedup, quality, run, tokens
 
-__all__ = ["ORACLE_SQL", "STAGES", "run"]
+__all__ = ["ORACLE_SQL", "STAGES", "decontaminate", "mix", "near_dedup", "quality", "run", "tokens"]
