@@ -207,6 +207,23 @@ def test_mix_meets_its_targets(spark, monkeypatch, per_range):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+def test_decisions_come_from_the_sorted_training_order(spark, monkeypatch):
+    rows = mix_rows()
+    sized = mixing.with_sizes(spark.createDataFrame(rows, DOCS + ", source string")).drop("text")
+    orders = []
+
+    def in_order(passes, plain=mixing.in_order):
+        out = plain(passes)
+        orders.append([r["_at"] for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(mixing, "in_order", in_order)
+    got = [tuple(r) for r in mixing.decisions(sized).select("doc_id", "source", "_size", "_taken", "_first").collect()]
+    places = [(r.doc_id, r.source, r["_size"], r["_taken"], min((s.position for s in r["_slots"]), default=None)) for r in mixing.assign(sized).collect()]
+    assert sorted(got, key=str) == sorted(places, key=str) and len(got) == len(rows)
+    assert len(orders) == 1 and orders[0] == sorted(orders[0]) and len(orders[0]) > len(rows)
+
+
 def test_schedules_integrate_to_one(spark):
     share = spark.range(101).select((F.col("id") / 100).alias("u"))
     for slope in (-0.9, -0.5, 0.0, 0.5, 0.9):

@@ -67,7 +67,7 @@ def with_sizes(docs: DataFrame) -> DataFrame:
 
 
 def assign(sized: DataFrame, keys: DataFrame | None = None, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, budget: float = BUDGET, passes: int = PASSES, seed: str = "mix") -> DataFrame:
-    """``sized`` with ``_source_size, _target, _taken, _slots``.
+    """``sized`` with ``_source_size, _target, _taken, _begin, _slots``; ``_begin``: the words of the source before the row.
 
     ``sized``: doc_id, source, _size and any other columns; ``keys``: these
     three of the same rows, where they can be read more cheaply. ``_slots`` has
@@ -117,10 +117,33 @@ def assign(sized: DataFrame, keys: DataFrame | None = None, weights: tuple = WEI
     slots = F.filter(F.array(*(slot(p) for p in range(passes))), lambda s: s["words"] > 0)
     taken = F.aggregate("_slots", F.lit(0).cast("bigint"), lambda n, s: n + s["words"])
     return placed.withColumn("_slots", slots).withColumn("_taken", taken).select(
-        *(f"`{c}`" for c in sized.columns), "_source_size", "_target", "_taken", "_slots"
+        *(f"`{c}`" for c in sized.columns), "_source_size", "_target", "_taken", F.col("_at").alias("_begin"), "_slots"
     )
 
 
+def in_order(passes: DataFrame) -> DataFrame:
+    """The training order: rows of one pass of a document each, range-sorted by position (``_at``), id and ``_pass``."""
+    order = ["_at", "doc_id", "_pass"]
+    return passes.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def decisions(sized: DataFrame) -> DataFrame:
+    """``doc_id, source, _size, _source_size, _target, _taken, _first`` per row of ``sized``, from the stored training order.
+
+    What a row gives and its first position are taken from its places in that
+    order; rows without a place give no words. The words before a row tell rows
+    of a source with words apart.
+    """
+    of = ["doc_id", "source", "_size", "_source_size", "_target", "_begin"]
+    rows = stored(assign(sized).select(*of, "_slots"), "assigned")
+    placed = rows.withColumn("_slot", F.explode("_slots"))
+    placed = placed.select(*of, F.col("_slot.words").alias("_words"), F.col("_slot.pass").alias("_pass"), F.col("_slot.position").alias("_at"))
+    order = stored(in_order(placed), "training-order")
+    found = order.groupBy(*of).agg(F.sum("_words").alias("_taken"), F.min_by("_at", "_pass").alias("_first"))
+    none = rows.where(F.size("_slots") == 0).select(*of, F.lit(0).cast("bigint").alias("_taken"), F.lit(None).cast("double").alias("_first"))
+    return found.unionByName(none).drop("_begin")
+
+
 def first_words(text: Column, size: Column, words: Column) -> Column:
     """The text itself, or its first ``words`` words joined by spaces where it gives fewer than ``size``."""
     found = F.slice(F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)), F.lit(1), words.cast("int"))
@@ -144,6 +167,5 @@ def mixed(docs: DataFrame, whole: bool = False, **how) -> DataFrame:
         rows = rows.withColumn("_text", first_words(F.col("text"), F.col("_size"), F.col("_slot.words")))
     numbered = [f"_c{i}" for i in range(len(others))]
     out = stored(rows.select("doc_id", F.col("_slot.position").alias("_at"), F.col("_slot.pass").alias("_pass"), "_text", *numbered), "mixed")
-    order = ["_at", "doc_id", "_pass"]
     back = dict(zip(others, restored(others), strict=True)) | {"text": F.col("_text").alias("text")}
-    return out.repartitionByRange(*order).sortWithinPartitions(*order).select(*(back[c] for c in docs.columns))
+    return in_order(out).select(*(back[c] for c in docs.columns))

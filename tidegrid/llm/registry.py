@@ -54,13 +54,13 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = stored(mixing.with_sizes(docs.select("doc_id", "source", "text")).drop("text"), "sizes")
-    return mixing.assign(sized).select(
+    return mixing.decisions(sized).select(
         "doc_id",
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),
         F.col("_taken").alias("taken"),
-        F.round(F.get("_slots", F.lit(0))["position"], 6).alias("first_position"),
+        F.round("_first", 6).alias("first_position"),
     )
 
 
