@@ -151,6 +151,23 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, common):
     assert len(far) > 20 and len(set(least.values())) > 60
 
 
+def test_near_copies_are_linked_by_fingerprints_first(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    docs = [(d, " ".join([*words[:380], f"x{d}"])) for d in range(3)] + [(3, "quite another text of some words"), (4, None)]
+    calls = []
+
+    def groups(texts, similarity=resemblance.SIMILARITY, first=None, plain=resemblance.groups):
+        calls.append({frozenset(r) for r in first.collect()})
+        return plain(texts, similarity, first)
+
+    monkeypatch.setattr(resemblance, "groups", groups)
+    got = simhash.one_of_each_group(spark.createDataFrame(docs, DOCS))
+    prints = [simhash.fingerprint(t, resemblance.SHINGLE) for _, t in docs[:3]]
+    assert max((a ^ b).bit_count() for a in prints for b in prints) <= simhash.DISTANCE
+    assert len(calls) == 1 and len(calls[0]) == 2
+    assert sorted(r.doc_id for r in got.collect()) == [0, 3, 4]
+
+
 def test_rows_that_share_an_id_are_rows_of_their_own(spark):
     r = random.Random(7)
     a, b, c = (" ".join(r.choices([f"w{i}" for i in range(300)], k=40)) for _ in range(3))

@@ -109,8 +109,8 @@ def near_pairs(distinct: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp, component_id`` per row of ``docs``.
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
+    """``doc_id, fp, component_id`` per row of ``docs``; ``size``: words of a shingle.
 
     ``component_id`` is the smallest id reachable over links of at most 3 bits.
     Copies meet in their fingerprint before any join, so a large group of equal
@@ -119,7 +119,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     candidate for the smallest (a component of NULL ids only has NULL). Other
     columns are not looked at.
     """
-    prints = stored(fingerprints(docs, doc_id, text), "simhash")
+    prints = stored(fingerprints(docs, doc_id, text, size), "simhash")
     groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")), "simhash-groups")
     pairs = near_pairs(groups.select("fp"))
     linked = smallest_reachable(pairs, groups.select(F.col("fp").alias("node"), F.col("least").alias("value")))
@@ -132,8 +132,10 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     """Of each group of near copies the row with the smallest ``doc_id``, in the columns of ``docs``.
 
     Near copies share at least 80 % of their five-word shingles, or are linked
-    over others that do (``resemblance``); fingerprints and their contract
-    settings have no part in this. Rows without an id come after all others. Of
+    over others that do. Different texts are linked by the fingerprints of these
+    shingles first (``near_duplicates``); each is then compared exactly with the
+    text that stands for its component, and what fingerprints miss or have put
+    together wrongly is settled on whole shingle sets (``resemblance``). Rows without an id come after all others. Of
     rows with the smallest id the one with the smallest hash of its columns
     stays, once. Ids play no part in matching: rows that share an id, or have
     none, are rows of their own. NULL and empty texts are copies of each other.
@@ -142,7 +144,10 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     row = F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit("row"), *columns).alias("b"))  # 128 bits
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), row.alias("hash"))
     texts = docs.select(resemblance.text_key(F.col("text")).alias("node"), "text", place.alias("place"))
-    linked = resemblance.groups(texts.select("node", "text"))
+    texts_only = texts.select("node", "text")
+    close = near_duplicates(texts_only, "node", "text", resemblance.SHINGLE).where("doc_id != component_id")
+    first = stored(close.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "fingerprint-pairs")
+    linked = resemblance.groups(texts_only, first=first)
     best = texts.groupBy("node").agg(F.min("place").alias("place"))
     group = F.coalesce("root", "node").alias("root")
     keep = best.join(linked, "node", "left").groupBy(group).agg(F.min("place").alias("place"))
