@@ -208,7 +208,7 @@ _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np
 #: Of the letters' range the characters that are no letters (multiplication and division sign) or grow when lower-cased.
 _ODD = tuple(c.encode() for c in "\u00d7\u00f7\u0130")
 #: Bytes of text that are parted at a time, about.
-_PIECE = 8 << 20
+_PIECE = 2 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -234,7 +234,7 @@ class WordEncoder:
     bytes, about, it becomes the older one, and what is met again moves over.
     """
 
-    def __init__(self, path: str, most: int = 96 << 20):
+    def __init__(self, path: str, most: int = 64 << 20):
         from tokenizers import Tokenizer
 
         self._tok, self._most = Tokenizer.from_file(path), most
