@@ -10,6 +10,10 @@ from tidegrid import Settings
 from tidegrid.catalogue import feeds
 from tidegrid.plans import counted, reports
 from tidegrid.plans.enrich import enrich
+from tidegrid.sinks.parts import put_parts
+from tidegrid.sinks.streams import ONCE
+from tidegrid.streaming import live_reports
+from tidegrid.streaming.replay import finish
 
 START = datetime(2024, 1, 10)
 TRAFFIC = "id string, status string, speed double, travel_time double, link_name string, borough string, from_street string, to_street string, traffic_event_ts timestamp, traffic_lat double, traffic_lon double, h3_index string"
@@ -84,6 +88,15 @@ def test_recent_rows_hold_the_most_recent(tables):
     assert counted.recent_rows(counts.limit(0), 20, *tables).count() == 0
 
 
+def test_live_series_on_counted_rows_equal_those_on_business_rows(spark, tables, tmp_path):
+    counts, out = counted.event_counts(*tables), str(tmp_path / "out")
+    for i, half in enumerate((F.col("traffic_event_ts") < ends()[1], F.col("traffic_event_ts") >= ends()[1])):
+        put_parts(counts.where(half).coalesce(1), f"{tmp_path}/table", f"q1-{i:012d}", "traffic_event_ts")
+        finish(live_reports.start_report(spark, f"{tmp_path}/table", out, "speed_pm25", ONCE, schema=counts.schema))
+    want = reports.speed_pm25_by_minute(enrich(*tables), ends()[0], ends()[1] + F.expr("INTERVAL 9 DAYS"))
+    assert rows_of(live_reports.read_report(spark, out, "speed_pm25")) == rows_of(want)
+
+
 def test_reports_do_not_write_the_business_rows_out(spark, monkeypatch):
     from tidegrid.catalogue import operators
     from tidegrid.catalogue import reports as queries
