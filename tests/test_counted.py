@@ -107,3 +107,33 @@ def test_reports_do_not_write_the_business_rows_out(spark, monkeypatch):
         assert queries.QUERIES[name][0](spark, "/root/testdata/sf0.001") is not None
     assert operators.QUERIES["late_audit"][0](spark, "/root/testdata/sf0.001").columns == ["id"]
     assert operators.QUERIES["missing_columns"][0](spark, "/root/testdata/sf0.001").first()["missing"] == 0
+
+
+def test_events_and_readings_are_counted_without_pairs(spark, tables, monkeypatch):
+    """What windows hold comes from running sums: no join of events with readings, which grows with the product of both."""
+    counts = counted.event_counts(*tables)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "aq_event_ts" in plan and "Window" in plan
+    # Joins are equi-joins on the key and the event's own time, none has a range of times.
+    joins = [line for line in plan.splitlines() if " Join " in f" {line}" or "Join Left" in line or "Join Inner" in line]
+    assert joins and not any(">=" in line or "<=" in line for line in joins)
+
+
+def test_windows_hold_both_ends_and_slots_before_1970(spark):
+    """Readings exactly at a window's ends count, those a microsecond beyond do not; equal events and missing keys stay."""
+    def at(day, micro):
+        return day + timedelta(microseconds=micro)
+
+    half, rows, readings, want = 900 * 10**6, [], [], {}
+    for n, day in enumerate((START, datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(1970, 1, 1), START + timedelta(seconds=900 * 7 + 1))):
+        name = f"k{n}"
+        rows += [(str(n), "0", 5.0, 1.0, "l", None, "f", "t", day, 40.5, -74.0, name)] * (n + 1)
+        readings += [("s", str(i), "n", 1.0 * 10**i, None, None, at(day, off), name) for i, off in enumerate((-half - 1, -half, 0, half, half + 1))]
+        want[str(n)] = (3 * (n + 1), 1110.0 * (n + 1), at(day, -half), at(day, half))
+    rows += [("none", "0", 5.0, 1.0, "l", None, "f", "t", START, 40.5, -74.0, None), ("no time", "0", 5.0, 1.0, "l", None, "f", "t", None, 40.5, -74.0, "k0")]
+    want |= {"none": (1, None, None, None), "no time": (1, None, None, None)}
+    aq = spark.createDataFrame([*readings, ("s", "x", "n", 7.0, None, None, START, None), ("s", "x", "n", 7.0, None, None, None, "k0")], AQ)
+    lookup = spark.createDataFrame([], "h3_lookup_index string, is_in_congestion_zone boolean, is_near_truck_route boolean, is_near_high_emission_bldg boolean")
+    found = counted.event_counts(spark.createDataFrame(rows, TRAFFIC), aq, spark.createDataFrame([], WEATHER), lookup)
+    got = found.select("traffic_id", counted.ROWS, counted.PM25_TOTAL, "aq_first_ts", "aq_last_ts").collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == want
