@@ -91,6 +91,32 @@ def near_texts():
     return out + [(300, None), (301, ""), (302, " \n"), (303, "one"), (303, "one"), (None, "one"), (304, "x " * 30000)]
 
 
+def test_further_links_move_known_components_only(spark, monkeypatch):
+    r = random.Random(6)
+    edges = [(r.randint(1, 400), r.randint(1, 400)) for _ in range(330)]
+    want, label = plain_components(edges, {i: i for e in edges for i in e}), None
+    worked = []
+    plain = components.components
+    monkeypatch.setattr(components, "components", lambda e: worked.append(e.where("a != b").distinct().count()) or plain(e))
+    for part in (edges[:250], edges[250:300], edges[300:], [], edges[:100]):
+        label = components.with_links(label, spark.createDataFrame(part, "a long, b long"))
+    got = label.collect()
+    assert {x.node: x.root for x in got} == want and len(got) == len(want)
+    assert worked[1] <= 50 and worked[2] <= 30 and worked[3:] == [0, 0]  # known links are not gone through again
+
+
+def test_groups_start_no_components_anew(spark, monkeypatch):
+    """Each turn works on the links that it has found, not on all links so far."""
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words[:39] + [f"x{k}"]) for k in range(30)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(resemblance.text_key(F.col("text")).alias("node"), "text")
+    edges = []
+    plain = components.components
+    monkeypatch.setattr(components, "components", lambda e: edges.append(e.where("a != b").distinct().count()) or plain(e))
+    assert resemblance.groups(df).select("root").distinct().count() == 1
+    assert edges[0] >= 29 and sum(edges[1:]) == 0
+
+
 def test_near_duplicates_equal_brute_force(spark):
     docs = near_texts()
     df = spark.createDataFrame(docs, DOCS).withColumn("fp", F.lit("clash")).withColumn("component_id", F.lit(1))

@@ -50,6 +50,22 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def with_links(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components ``label`` (node, root; as ``components`` returns them) with further ``links`` a, b.
+
+    Only the components that these links bring together are worked on, a node each; not the links that made them.
+    """
+    if label is None:
+        return components(links)
+    ends = links
+    for c in ("a", "b"):
+        ends = ends.join(label.select(F.col("node").alias(c), F.col("root").alias(f"_{c}")), c, "left")
+    merged = components(ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")))
+    fresh = merged.select("node", F.col("node").alias("root")).join(label.select("node"), "node", "left_anti")
+    moved = merged.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    return label.unionByName(fresh).join(moved, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+
+
 def smallest_reachable(edges: DataFrame, values: DataFrame) -> DataFrame:
     """``node, value``: the smallest ``value`` of the component, for every node that has an edge.
 
