@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -117,6 +118,34 @@ def test_groups_start_no_components_anew(spark, monkeypatch):
     assert edges[0] >= 29 and sum(edges[1:]) == 0
 
 
+def test_sketches_never_tell_more_apart_than_there_is():
+    r = random.Random(12)
+    for n, m, shared in ((1, 1, 0), (1, 1, 1), (40, 50, 39), (70, 60, 60), (130, 128, 110), (900, 1100, 870), (2100, 2040, 0)):
+        both = [r.getrandbits(64) - (1 << 63) for _ in range(shared)]
+        a, b = (np.array(both + [r.getrandbits(64) - (1 << 63) for _ in range(k - shared)], dtype=np.int64) for k in (n, m))
+        found = resemblance.apart(resemblance.sketch(a), resemblance.sketch(b))
+        assert found == resemblance.apart(resemblance.sketch(b), resemblance.sketch(a)) <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert found > 0 or n == m == shared
+
+
+def test_texts_of_one_passage_meet_once_and_whole_sets_are_not_read(spark, monkeypatch):
+    r = random.Random(13)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"t{k}-{r.random()}" for _ in range(60)]) for k in range(6)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(resemblance.text_key(F.col("text")).alias("node"), "text").repartition(2)
+    rows, plain = {}, resemblance.stored
+
+    def stored(df, name):
+        out = plain(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(resemblance, "stored", stored)
+    assert resemblance.groups(df).count() == 0
+    assert rows["tested-pairs"] >= 5 and rows["shingle-sets"] == 0
+    assert rows["shared-shingles"] < 40  # a passage is a key for each set of texts that have it in their prefixes
+
+
 def test_near_duplicates_equal_brute_force(spark):
     docs = near_texts()
     df = spark.createDataFrame(docs, DOCS).withColumn("fp", F.lit("clash")).withColumn("component_id", F.lit(1))
