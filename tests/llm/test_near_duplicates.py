@@ -66,6 +66,14 @@ def test_pairs_equal_brute_force(spark):
     assert len(got) == len(want)
 
 
+def test_exploded_chain_keys_are_not_broadcast(spark, tmp_path):
+    """A stored table of fingerprints is below the threshold when its keys, up to 68 times as many, are not."""
+    spark.range(2000).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/prints")
+    pairs = simhash.near_pairs(spark.read.parquet(f"{tmp_path}/prints"))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2
+
+
 def test_components_equal_union_find(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(r.randrange(100, 200), r.randrange(100, 200)) for _ in range(60)]

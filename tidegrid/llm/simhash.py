@@ -103,9 +103,10 @@ def near_pairs(distinct: DataFrame) -> DataFrame:
     # Of several starts that hold, the first one reports the pair.
     first = F.coalesce(*(F.when(_chain_holds(a, b, s), F.lit(s)) for s in range(_SEGMENTS)))
     exact = (_apart(a, b) <= DISTANCE) & (first == start)
+    # Spark takes the exploded keys for no more than the fingerprints and would broadcast them: up to 64 for each.
     return (
-        held.join(same, "key").where((a < b) & exact).select("a", "b")
-        .unionByName(held.join(cleared, "key").where((a != b) & exact).select("a", "b"))
+        held.join(same.hint("merge"), "key").where((a < b) & exact).select("a", "b")
+        .unionByName(held.join(cleared.hint("merge"), "key").where((a != b) & exact).select("a", "b"))
     )
 
 
