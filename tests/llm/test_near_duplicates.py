@@ -74,6 +74,17 @@ def test_exploded_chain_keys_are_not_broadcast(spark, tmp_path):
     assert "Broadcast" not in plan and plan.count("SortMergeJoin") >= 2
 
 
+def test_texts_that_share_shingles_meet_without_broadcast(spark, tmp_path):
+    rows = spark.range(3000).select((F.col("id") % 900).alias("key"), F.lit(1).alias("weight"), F.col("id").alias("node"), F.lit(9).alias("n"), F.col("id").alias("root"), F.lit(9).alias("held"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    tested = rows.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    for met in (resemblance._met(rows, ["key"], 0.8), resemblance._binned_pairs(rows, tested, 1, 0.8)):
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [key" in plan
+        assert not any("node_a" in x or "LeftAnti" in x for x in plan.splitlines() if "BroadcastHashJoin" in x)
+
+
 def test_components_equal_union_find(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(r.randrange(100, 200), r.randrange(100, 200)) for _ in range(60)]
