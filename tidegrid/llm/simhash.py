@@ -132,11 +132,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """Of each group of near copies the row with the smallest ``doc_id``, in the columns of ``docs``.
 
-    Near copies share at least 80 % of their five-word shingles, or are linked
-    over others that do. Different texts are linked by the fingerprints of these
-    shingles first (``near_duplicates``); each is then compared exactly with the
-    text that stands for its component, and what fingerprints miss or have put
-    together wrongly is settled on whole shingle sets (``resemblance``). Rows without an id come after all others. Of
+    Near copies are the components of the fingerprints of their five-word
+    shingles (``near_duplicates``), all of whose links hold, and texts that
+    share at least 80 % of these shingles, which fingerprints can miss and which
+    are found on whole shingle sets (``resemblance``); or texts that are linked
+    over others by either. Rows without an id come after all others. Of
     rows with the smallest id the one with the smallest hash of its columns
     stays, once. Ids play no part in matching: rows that share an id, or have
     none, are rows of their own. NULL and empty texts are copies of each other.
